@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -61,22 +62,29 @@ class Series:
 
 
 def with_block(df: DataFrame, series: Series) -> DataFrame:
-    """Add the block number, a step function of the order column."""
+    """Add the block number, a step function of the order column.
+
+    Rows without a key or a position belong to no series and are left out. Said
+    here once for all, that filter reaches the scan and keeps later joins on the
+    keys from adding it to one of two otherwise equal branches, which would
+    then not share their shuffle. The block is never NULL for the same reason.
+    """
     is_date = isinstance(df.schema[series.order].dataType, T.DateType)
     span = series.span_days or (DATE_SPAN_DAYS if is_date else TIMESTAMP_SPAN_DAYS)
+    placed = reduce(Column.__and__, [F.col(c).isNotNull() for c in (*series.keys, series.order)])
     day = F.unix_date(F.col(series.order).cast("date"))
-    return df.withColumn(BLOCK, F.floor(day / F.lit(span)).cast("int"))
+    block = F.floor(day / F.lit(span)).cast("int")
+    return df.where(placed).withColumn(BLOCK, F.coalesce(block, F.lit(0)))
 
 
 def _lead_in_rows(df: DataFrame, series: Series, columns: Sequence[str], n: int) -> DataFrame:
-    row = F.struct(series.order, *columns)
+    over_blocks = series.over_blocks()
     if n == 1:
-        newest = df.groupBy(*series.block_keys).agg(F.max_by(row, F.col(series.order)).alias("_row"))
-        return newest.select(
-            *series.keys,
-            F.col(BLOCK),
-            F.lag("_row").over(series.over_blocks()).alias("_row"),
-        ).where(F.col("_row").isNotNull())
+        last = df.groupBy(*series.block_keys).agg(
+            *[F.max_by(c, series.order).alias(c) for c in columns], F.max(series.order).alias(series.order)
+        )
+        moved = {c: F.lag(c).over(over_blocks) for c in (*columns, series.order)}
+        return last.withColumns(moved).where(F.col(series.order).isNotNull())
 
     newest_first = Window.partitionBy(*series.block_keys).orderBy(F.desc(series.order))
     tails = (
@@ -84,15 +92,15 @@ def _lead_in_rows(df: DataFrame, series: Series, columns: Sequence[str], n: int)
         .withColumn("_from_end", F.row_number().over(newest_first))
         .where(F.col("_from_end") <= n)
         .groupBy(*series.block_keys)
-        .agg(F.sort_array(F.collect_list(row)).alias("_tail"))
+        .agg(F.sort_array(F.collect_list(F.struct(series.order, *columns))).alias("_tail"))
     )
     # A sparse block may hold fewer than n rows, but never none, so the n blocks
     # before always hold the n rows wanted if the series has them.
-    before = F.flatten(F.collect_list("_tail").over(series.over_blocks().rowsBetween(-n, -1)))
+    before = F.flatten(F.collect_list("_tail").over(over_blocks.rowsBetween(-n, -1)))
     skipped = F.greatest(F.size("_before") - F.lit(n), F.lit(0))
     return (
         tails.withColumn("_before", before)
-        .select(*series.block_keys, F.explode(F.slice("_before", skipped + 1, F.lit(n))).alias("_row"))
+        .select(*series.block_keys, F.inline(F.slice("_before", skipped + 1, F.lit(n))))
     )
 
 
@@ -104,7 +112,7 @@ def with_lead_in(df: DataFrame, series: Series, n: int, columns: Sequence[str] |
     """
     columns = list(columns or [series.value])
     blocked = with_block(df, series)
-    copies = _lead_in_rows(blocked, series, columns, n).select(*series.block_keys, "_row.*")
+    copies = _lead_in_rows(blocked, series, columns, n)
     return blocked.withColumn(LEAD_IN, F.lit(False)).unionByName(
         copies.withColumn(LEAD_IN, F.lit(True)), allowMissingColumns=True
     )

@@ -91,7 +91,7 @@ def _with_growth(rows: DataFrame, series: Series) -> DataFrame:
         )
     )
 
-    joined = reached.join(carries, series.block_keys)
+    joined = reached.join(carries, series.block_keys, "left")
     here = peak(F.col("_carry"), F.col("_high"), F.col("_low"), F.col("_restarted"))
     return joined.withColumns(
         {
