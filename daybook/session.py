@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -22,6 +23,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="daybook-")
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     """A fresh sub-path of the folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -32,6 +38,5 @@ def shared_path(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="daybook-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/daybook/{label}-{uuid.uuid4().hex}"

@@ -11,7 +11,6 @@ CSV_OPTIONS = {
     "header": "true",
     "escape": '"',
     "nullValue": "",
-    "emptyValue": '""',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",

@@ -30,7 +30,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else value + 0.0
+        return None if math.isnan(value) else repr(value)
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None)
     return value
