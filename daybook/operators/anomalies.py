@@ -13,8 +13,10 @@ from daybook.operators.blocks import Series, own_rows, with_lead_in, without_mar
 from daybook.operators.concat import repeated_in_order
 from daybook.schemas import PRICE_SIGNAL, SENTIMENT_SIGNAL, SIGNAL_SEPARATOR, VOLATILITY_SIGNAL
 
-SENTIMENT_SERIES = Series(keys=("series_id",), order="date", value="fng_value")
-VOLATILITY_SERIES = Series(keys=("series_id",), order="date", value="vix_close")
+# One series each, without a key column; a table of several such indexes takes
+# ``Series(keys=("series_id",), ...)``.
+SENTIMENT_SERIES = Series(keys=(), order="date", value="fng_value")
+VOLATILITY_SERIES = Series(keys=(), order="date", value="vix_close")
 
 SIGMAS = 2.0
 SENTIMENT_MINIMUM, SENTIMENT_SCALE = 10.0, 10.0

@@ -91,7 +91,7 @@ def src_csv_inferred(spark, folder):
 def sink_overwrite_idempotent(spark, folder):
     path = shared_path(spark, "vix")
     overwrite_files(rel.vix(spark, folder), path)
-    return overwrite_files(rel.vix(spark, folder), path).drop("series_id")
+    return overwrite_files(rel.vix(spark, folder), path)
 
 
 def export(spark, folder):
@@ -294,8 +294,8 @@ def key_events(spark, folder):
 
 
 def global_lag_bucketed(spark, folder):
-    one_series = Series(keys=("series_id",), order="date", value="vix_close", span_days=365)
-    return anomalies.row_change(rel.vix(spark, folder), one_series, "abs").drop("series_id")
+    one_series = Series(keys=(), order="date", value="vix_close", span_days=365)
+    return anomalies.row_change(rel.vix(spark, folder), one_series, "abs")
 
 
 # Headlines

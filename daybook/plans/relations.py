@@ -63,7 +63,6 @@ def fear_greed(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy(F.to_date("l_shipdate").alias("date"))
         .agg(value.alias("fng_value"))
         .select(
-            F.lit("mood").alias("series_id"),
             "date",
             "fng_value",
             F.when(F.col("fng_value") < 50, "Fear").otherwise("Greed").alias("fng_classification"),
@@ -76,7 +75,6 @@ def vix(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "lineitem")
         .groupBy(F.to_date("l_shipdate").alias("date"))
         .agg(F.count(F.lit(1)).cast("double").alias("vix_close"))
-        .select(F.lit("implied").alias("series_id"), "date", "vix_close")
     )
 
 

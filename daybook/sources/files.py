@@ -5,18 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# Quotes are doubled, as other CSV readers expect; NULL is an empty field and an
-# empty string a quoted one; nothing is trimmed.
+# Quotes are doubled, as other CSV readers expect; NULL is written as an empty
+# field and an empty string as a quoted one; nothing is trimmed.
 CSV_OPTIONS = {
     "header": "true",
     "escape": '"',
-    "nullValue": "",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "dateFormat": "yyyy-MM-dd",
 }
 
+# What the reader puts for an empty field before it becomes NULL. Its default is
+# the empty string, which would turn quoted empty strings into NULL as well.
+EMPTY_FIELD = "\u0000"
+
 
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False
@@ -26,7 +29,7 @@ def read_csv(
     Inference costs a pass over the data. ``multi_line`` allows line breaks
     inside quoted fields, at the price that a file is not split between tasks.
     """
-    options = dict(CSV_OPTIONS, multiLine=str(multi_line).lower())
+    options = dict(CSV_OPTIONS, nullValue=EMPTY_FIELD, multiLine=str(multi_line).lower())
     if schema is None:
         return spark.read.options(**options).option("inferSchema", True).csv(path)
     return spark.read.options(**options).option("enforceSchema", False).schema(schema).csv(path)

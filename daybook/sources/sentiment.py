@@ -15,9 +15,14 @@ def landed_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def sentiment_days(payloads: DataFrame, column: str = "payload") -> DataFrame:
-    """One row per element of ``data``: time, index value, its class."""
-    entry = F.from_json(F.col(column), SENTIMENT_PAYLOAD)["data"]
-    return payloads.select(F.explode(entry).alias("_entry")).select(
+    """One row per element of ``data``: time, index value, its class.
+
+    A payload that is not JSON, or has no ``data``, is an error: its days would
+    be missing without a trace otherwise.
+    """
+    entries = F.from_json(F.col(column), SENTIMENT_PAYLOAD, {"mode": "FAILFAST"})["data"]
+    present = F.coalesce(entries, F.raise_error(F.lit("sentiment payload without data")))
+    return payloads.select(F.explode(present).alias("_entry")).select(
         utc_time(F.col("_entry.timestamp").cast("long")).alias("date"),
         F.col("_entry.value").cast("int").alias("fng_value"),
         F.col("_entry.value_classification").alias("fng_classification"),

@@ -6,14 +6,14 @@ import pytest
 from conftest import rows
 
 from daybook.operators import anomalies
+from daybook.operators.blocks import Series
 from daybook.schemas import PRICE_SIGNAL, SENTIMENT_SIGNAL, VOLATILITY_SIGNAL
 
 D = [dt.date(2021, 5, 1) + dt.timedelta(i) for i in range(400)]
 
 
 def _index(spark, values, column, kind):
-    records = [("s", d, v) for d, v in zip(D, values)]
-    return spark.createDataFrame(records, f"series_id string, date date, {column} {kind}")
+    return spark.createDataFrame(list(zip(D, values)), f"date date, {column} {kind}")
 
 
 def _signals(spark, records):
@@ -35,6 +35,14 @@ def test_volatility_counts_rises_only_and_is_strict(spark):
     assert rows(out)[0][2] == pytest.approx(2.5)
 
 
+def test_several_indexes_in_one_table(spark):
+    records = [(s, d, v) for s, values in (("x", [10, 30]), ("y", [70, 72, 10])) for d, v in zip(D, values)]
+    both = spark.createDataFrame(records, "series_id string, date date, fng_value int")
+    keyed = Series(keys=("series_id",), value="fng_value", span_days=1)
+    out = anomalies.sentiment_anomaly(both, keyed)
+    assert sorted((d, s) for d, _, s in rows(out)) == [(D[1], 2.0), (D[2], 6.2)]
+
+
 def test_change_after_zero_or_missing_is_not_anomalous(spark):
     out = anomalies.volatility_anomaly(_index(spark, [0.0, 5.0, None, 50.0], "vix_close", "double"))
     assert rows(out) == []

@@ -89,8 +89,15 @@ def test_sentiment_time_is_utc_in_any_session(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_payload_without_data_gives_no_rows(spark):
-    docs = spark.createDataFrame([("{}",), ("not json",)], "payload string")
+@pytest.mark.parametrize("text", ["{}", "not json"])
+def test_payload_without_data_is_an_error(spark, text):
+    docs = spark.createDataFrame([(text,)], "payload string")
+    with pytest.raises(Exception, match="without data|MALFORMED"):
+        sentiment.sentiment_days(docs).collect()
+
+
+def test_payload_with_no_days(spark):
+    docs = spark.createDataFrame([('{"data": []}',)], "payload string")
     assert rows(sentiment.sentiment_days(docs)) == []
 
 
