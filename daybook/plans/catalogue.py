@@ -17,7 +17,8 @@ from daybook.operators.blocks import Series
 from daybook.plans import relations as rel
 from daybook.session import shared_path
 from daybook.sinks import export_tables, overwrite_files, write_csv
-from daybook.sources import feeds, files, prices, sentiment
+from daybook.sources import feeds, files, sentiment
+from daybook.sources import prices as landed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,13 +41,13 @@ def _rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
 
 
 def src_prices(spark, folder):
-    landed = shared_path(spark, "quotes")
-    write_csv(rel.quotes(spark, folder), landed, partition_by=["asset"])
-    return prices.landed_prices(spark, landed)
+    path = shared_path(spark, "quotes")
+    write_csv(rel.quotes(spark, folder), path, partition_by=["asset"])
+    return landed.landed_prices(spark, path)
 
 
 def src_volatility_series(spark, folder):
-    landed = shared_path(spark, "volatility")
+    path = shared_path(spark, "volatility")
     close = F.col("vix_close")
     daily = rel.vix(spark, folder).select(
         F.col("date").alias("Date"),
@@ -56,8 +57,8 @@ def src_volatility_series(spark, folder):
         close.alias("Close"),
         F.lit(0).cast("long").alias("Volume"),
     )
-    write_csv(daily, landed)
-    return prices.landed_volatility(spark, landed)
+    write_csv(daily, path)
+    return landed.landed_volatility(spark, path)
 
 
 def src_sentiment_payload(spark, folder):
@@ -95,16 +96,25 @@ def sink_overwrite_idempotent(spark, folder):
 
 
 def export(spark, folder):
-    close = rel.prices(spark, folder)
-    events = rel.key_events_table(spark, folder)
+    """Tables are stored first, each from stored ones, and exported from there."""
+    path = shared_path(spark, "export")
+
+    def stored(name, df):
+        return overwrite_files(df, f"{path}/{name}")
+
+    prices = stored("prices", series.cumulative_return(rel.prices(spark, folder)))
+    events = stored(
+        "key_events",
+        anomalies.key_events_from(prices, rel.fear_greed(spark, folder), rel.vix(spark, folder)),
+    )
     items = news.first_items(news.items_of_events(rel.items(spark, folder), events, bounded=True))
     tables = {
-        "prices": series.cumulative_return(close),
-        "metrics": metrics.portfolio_metrics(close),
+        "prices": prices,
+        "metrics": stored("metrics", metrics.portfolio_metrics(prices)),
         "key_events": events,
         "key_events_news": items.select("event_date", "title", "pub_date", "source", "link"),
     }
-    return export_tables(spark, tables, shared_path(spark, "export"))
+    return export_tables(spark, tables, f"{path}/csv")
 
 
 # Filters and scalar functions
