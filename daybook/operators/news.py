@@ -26,25 +26,33 @@ def _day(items: DataFrame) -> Column:
     return F.to_date(items["event_date"])
 
 
-def items_of_events(items: DataFrame, events: DataFrame, bounded: bool = False) -> DataFrame:
+def items_of_events(items: DataFrame, events: DataFrame) -> DataFrame:
     """Items whose day is an event day.
 
-    With ``bounded`` the caller states that ``events`` is a ranked table (so many
-    rows per year), and its dates are sent to the items instead of shuffling
-    those. Otherwise Spark chooses from the sizes it sees.
+    Meant for ``events`` read from its stored table: Spark then knows its size,
+    and sends the dates to the items as long as that is below the broadcast
+    threshold, so that no item is shuffled. Beyond it both sides are.
     """
     days = events.select(F.to_date("date").alias("_event_day"))
-    return items.join(F.broadcast(days) if bounded else days, _day(items) == days["_event_day"], "left_semi")
+    return items.join(days, _day(items) == days["_event_day"], "left_semi")
 
 
 def first_items(items: DataFrame, n: int = ITEMS_PER_EVENT, order: str = "position") -> DataFrame:
-    """The first ``n`` items of each event day in feed order."""
+    """The first ``n`` items of each event day in feed order.
+
+    The limit is applied before the shuffle too. Filter to event days first: the
+    rows are sorted locally for it.
+    """
     in_order = Window.partitionBy("event_date").orderBy(order)
     return items.withColumn("_nth", F.row_number().over(in_order)).where(F.col("_nth") <= n).drop("_nth")
 
 
 def enrich_events(
-    events: DataFrame, items: DataFrame, separator: str = HEADLINE_SEPARATOR, bounded: bool = False
+    events: DataFrame,
+    items: DataFrame,
+    first: int | None = None,
+    order: str = "position",
+    separator: str = HEADLINE_SEPARATOR,
 ) -> DataFrame:
     """Events with the titles and sources of their day, each list sorted on its own.
 
@@ -52,7 +60,9 @@ def enrich_events(
     counted before the shuffle, titles and sources in the same pass. Days
     without items keep their row, with NULL in both columns.
     """
-    wanted = items_of_events(items, events, bounded)
+    wanted = items_of_events(items, events)
+    if first is not None:
+        wanted = first_items(wanted, first, order)
     texts = F.array(
         F.struct(F.lit("title").alias("_part"), F.col("title").alias("_text")),
         F.struct(F.lit("source").alias("_part"), F.col("source").alias("_text")),

@@ -107,7 +107,7 @@ def export(spark, folder):
         "key_events",
         anomalies.key_events_from(prices, rel.fear_greed(spark, folder), rel.vix(spark, folder)),
     )
-    items = news.first_items(news.items_of_events(rel.items(spark, folder), events, bounded=True))
+    items = news.first_items(news.items_of_events(rel.items(spark, folder), events))
     tables = {
         "prices": prices,
         "metrics": stored("metrics", metrics.portfolio_metrics(prices)),
@@ -316,8 +316,8 @@ def news_request_plan(spark, folder):
 
 
 def key_events_with_news(spark, folder):
-    kept = news.first_items(rel.items(spark, folder))
-    return news.enrich_events(rel.key_events_table(spark, folder), kept, bounded=True)
+    events = overwrite_files(rel.key_events_table(spark, folder), shared_path(spark, "key_events"))
+    return news.enrich_events(events, rel.items(spark, folder), first=news.ITEMS_PER_EVENT)
 
 
 # Profiles

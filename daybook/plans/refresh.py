@@ -63,7 +63,7 @@ def load_events(tables: dict[str, DataFrame], out: str) -> dict[str, DataFrame]:
 
 def load_headlines(spark: SparkSession, events: DataFrame, feeds: str, out: str) -> DataFrame:
     """Headlines of the event days from the feeds landed for the requests."""
-    items = items_of_events(feed_items(landed_feeds(spark, feeds)), events, bounded=True)
+    items = items_of_events(feed_items(landed_feeds(spark, feeds)), events)
     news = items.select("event_date", "title", "pub_date", "source", "link")
     return overwrite_files(news, f"{out}/key_events_news")
 
@@ -72,7 +72,7 @@ def export(spark: SparkSession, tables: dict[str, DataFrame], out: str) -> DataF
     """CSV copies of the tables, and of the events with their headlines."""
     names = ("prices", "metrics", "key_events", "key_events_news")
     counts = export_tables(spark, {n: tables[n] for n in names}, f"{out}/export")
-    merged = enrich_events(tables["key_events"], tables["key_events_news"], bounded=True)
+    merged = enrich_events(tables["key_events"], tables["key_events_news"])
     write_csv(merged, f"{out}/export/key_events_with_news.csv")
     return counts
 

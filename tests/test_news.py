@@ -41,9 +41,8 @@ def test_copies_stay_and_missing_sources_are_skipped(spark):
 
 def test_event_without_items_keeps_its_row(spark):
     items = _items(spark, ("2020-03-12", "a", None), ("1999-01-01", "other", "s"))
-    for bounded in (False, True):
-        out = rows(news.enrich_events(_events(spark, A, B), items, bounded=bounded))
-        assert out == [(A, 2020, 1, "a", None), (B, 2021, 2, None, None)]
+    out = rows(news.enrich_events(_events(spark, A, B), items))
+    assert out == [(A, 2020, 1, "a", None), (B, 2021, 2, None, None)]
 
 
 def test_separator_in_a_title(spark):
@@ -60,6 +59,18 @@ def test_first_items_follow_the_feed_order(spark):
     assert sorted(r[2] for r in rows(kept)) == ["b", "c", "d", "e"]
 
 
+def test_result_does_not_depend_on_a_broadcast(spark):
+    items = _items(spark, ("2020-03-12", "b", "s"), ("2020-03-12", "a", None), ("1999-01-01", "c", "s"))
+    events = _events(spark, A, B)
+    with_broadcast = rows(news.enrich_events(events, items))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows(news.enrich_events(events, items)) == with_broadcast
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_only_items_of_event_days_are_aggregated(spark):
     items = _items(spark, ("2020-03-12", "a", "s"), ("2020-03-13", "b", "s"))
-    assert [r[2] for r in rows(news.items_of_events(items, _events(spark, A), bounded=True))] == ["a"]
+    assert [r[2] for r in rows(news.items_of_events(items, _events(spark, A)))] == ["a"]

@@ -7,6 +7,7 @@ import re
 from daybook.operators import anomalies, news, ranges, series
 from daybook.plans import relations as rel
 from daybook.plans.catalogue import QUERIES
+from daybook.sinks import overwrite_files
 
 
 def _plan(df) -> str:
@@ -52,12 +53,13 @@ def test_ranking_is_limited_before_the_shuffle(spark, small):
     assert re.search(r"WindowGroupLimit \[year#\d+\].*Partial", plan)
 
 
-def test_items_are_filtered_without_a_shuffle_and_limited_before_one(spark, small):
-    events = rel.key_events_table(spark, small)
-    kept = news.first_items(news.items_of_events(rel.items(spark, small), events, bounded=True))
-    plan = _plan(kept)
-    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+def test_items_are_filtered_without_a_shuffle_and_limited_before_one(spark, small, tmp_path):
+    events = overwrite_files(rel.key_events_table(spark, small), str(tmp_path / "events"))
+    plan = _plan(news.enrich_events(events, rel.items(spark, small), first=3))
     assert re.search(r"WindowGroupLimit \[event_date#\d+\].*Partial", plan)
+    # Plans read upwards: the semi join is below the limit, and not a sorted one.
+    assert plan.index("WindowGroupLimit") < plan.index("LeftSemi")
+    assert not re.search("SortMergeJoin.*LeftSemi", plan)
 
 
 def test_date_bounds_reach_the_scan(spark, small):
