@@ -14,7 +14,8 @@ what a block needs from earlier blocks reaches it in one of two ways:
   already partitioned on (key, block), so the join does not move it again.
 
 The order column must be unique within a series, which also bounds a block: a
-block of ``span_days`` days holds at most that many daily rows.
+block of ``span_days`` days holds at most that many daily rows. The number of
+summary rows per series is bounded by the time it covers, not by its rows.
 """
 
 from __future__ import annotations
@@ -30,7 +31,9 @@ from pyspark.sql import types as T
 BLOCK = "_block"
 LEAD_IN = "_lead_in"
 
-# Ten years of daily rows, or a month of finer ones.
+# Ten years of daily rows, or a month of finer ones. Shorter blocks cost more
+# lead-in rows, longer ones more memory per task; some thousand rows per block
+# keep a window's row buffer in its in-memory form.
 DATE_SPAN_DAYS = 3652
 TIMESTAMP_SPAN_DAYS = 30
 

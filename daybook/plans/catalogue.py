@@ -86,7 +86,7 @@ def src_csv_roundtrip(spark, folder):
 def src_csv_inferred(spark, folder):
     path = shared_path(spark, "orders")
     write_csv(rel.table(spark, folder, "orders"), path)
-    return files.read_csv(spark, path)
+    return files.read_csv(spark, path).withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
 
 
 def sink_overwrite_idempotent(spark, folder):

@@ -178,7 +178,10 @@ ORACLE: dict[str, str] = {
         "usable",
     ),
     "src_csv_roundtrip": "SELECT * FROM documents",
-    "src_csv_inferred": "SELECT * FROM orders",
+    "src_csv_inferred": """
+        SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus,
+               o_totalprice, o_orderdate, o_orderpriority
+        FROM orders""",
     "sink_overwrite_idempotent": _sql("SELECT date, vix_close FROM implied", "implied"),
     "export_tables": _sql(
         """SELECT 'prices' AS table_name, count(*) AS row_count, 5 AS column_count FROM px

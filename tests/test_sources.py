@@ -134,6 +134,15 @@ def test_csv_round_trip_of_awkward_text(spark, tmp_path):
     assert sorted(rows(back)) == sorted(rows(df))
 
 
+def test_csv_round_trip_of_times_and_numbers(spark, tmp_path):
+    df = spark.sql(
+        "SELECT timestamp_ntz '2020-01-01 01:02:03.000456' AS local, timestamp '2020-01-01 01:02:03.9' AS instant,"
+        " date '1969-12-31' AS day, 0.1D + 0.2D AS x, cast(null AS double) AS missing, 9223372036854775807 AS n"
+    )
+    write_csv(df, str(tmp_path / "t"))
+    assert rows(files.read_csv(spark, str(tmp_path / "t"), df.schema)) == rows(df)
+
+
 def test_csv_types_can_be_inferred(spark, tmp_path):
     (tmp_path / "t.csv").write_text("date,n,x,s\n2020-01-01,1,1.5,a\n")
     out = files.read_csv(spark, str(tmp_path / "t.csv"))
