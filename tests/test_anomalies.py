@@ -73,6 +73,17 @@ def test_score_counts_a_repeated_signal_once_but_adds_it_twice(spark):
     assert row["anomaly_types"] == "a + b + b"
 
 
+def test_a_day_made_of_copies_travels_as_one_row(spark):
+    copies = spark.range(20_000).selectExpr("DATE '2021-05-01' AS date", "'b' AS anomaly_type", "0.5D AS severity")
+    scores = anomalies.daily_score(copies.unionByName(_signals(spark, [(D[0], "a", 1.0)])))
+    [row] = scores.collect()
+    assert (row["anomaly_count"], row["severity_score"]) == (2, 10_001.0)
+    assert row["anomaly_types"] == "a" + " + b" * 20_000
+    plan = scores._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    text = next(line for line in plan.splitlines() if "listagg" in line)
+    assert plan.index(text) < plan.index("hashpartitioning(date") < plan.index("partial_count(1)")
+
+
 def test_signal_names_are_ordered_by_code_point(spark):
     names = [PRICE_SIGNAL, SENTIMENT_SIGNAL, VOLATILITY_SIGNAL]
     [row] = anomalies.daily_score(_signals(spark, [(D[0], n, 1.0) for n in names])).collect()

@@ -32,6 +32,29 @@ def test_features_shuffle_the_prices_once(spark, small, tmp_path):
     assert "SinglePartition" not in final
 
 
+def test_join_back_does_not_move_the_rows_even_without_broadcast(spark, small):
+    thresholds = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in thresholds:
+        spark.conf.set(name, "-1")
+    try:
+        lines = _plan(series.cumulative_return(rel.prices(spark, small))).splitlines()
+    finally:
+        for name in thresholds:
+            spark.conf.unset(name)
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    depth = lines[join + 1].index(":-")
+    left = []
+    for line in lines[join + 1 :]:
+        if line[depth : depth + 2] == "+-":
+            break
+        left.append(line)
+    windows = [i for i, line in enumerate(left) if "Window [" in line]
+    exchanges = [i for i, line in enumerate(left) if "Exchange" in line]
+    # The nearest shuffle on the row side is the one below the windows.
+    assert min(exchanges) > min(windows)
+    assert "_block" in left[min(exchanges)]
+
+
 def test_whole_history_windows_never_partition_by_asset_alone(spark, small):
     """Rows are windowed per block; only block summaries are windowed per asset."""
     plan = _plan(series.price_features(rel.prices(spark, small)))
