@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.series import (
@@ -38,24 +38,25 @@ def _with_momentum(rows: DataFrame, series: Series, spans: Sequence[int]) -> Dat
     )
 
 
-def _with_volatility(rows: DataFrame, series: Series, n: int) -> DataFrame:
-    return rows.withColumn(f"volatility_{n}d", rolling_stddev(F.col("daily_return"), n, series.in_block()))
+def _volatility(series: Series, n: int) -> dict[str, Column]:
+    return {f"volatility_{n}d": rolling_stddev(F.col("daily_return"), n, series.in_block())}
 
 
-def _with_growth(rows: DataFrame, series: Series) -> DataFrame:
+def _with_growth(rows: DataFrame, series: Series, alongside: dict[str, Column] | None = None) -> DataFrame:
     """Add ``cum_return``, its peak so far, and the peak of the value itself.
 
     ``rows`` still has its lead-in rows and ``daily_return``; they are dropped
     here. A row without a return has growth 1, and the product goes on after it.
     Growth relative to the start of the block is scaled by what was carried into
     the block; both its highest and its lowest point are kept, since a negative
-    carry turns the lowest into the peak.
+    carry turns the lowest into the peak. Window columns given in ``alongside``
+    also build on the return and share one pass with the product.
     """
     so_far = series.so_far()
     present = F.col("daily_return").isNotNull()
     factor = F.when(present & ~F.col(LEAD_IN), F.col("daily_return") + 1)
 
-    rows = own_rows(rows.withColumn("_growth", F.product(factor).over(so_far)))
+    rows = own_rows(rows.withColumns({"_growth": F.product(factor).over(so_far), **(alongside or {})}))
     rows = rows.withColumn("_growth", F.when(present, F.col("_growth")))
     reached = rows.withColumns(
         {
@@ -121,7 +122,7 @@ def rolling_volatility(
 ) -> DataFrame:
     """Sample deviation of the last ``n`` daily returns."""
     rows = _with_return(with_lead_in(prices, series, n), series)
-    return without_marks(own_rows(_with_volatility(rows, series, n)))
+    return without_marks(own_rows(rows.withColumns(_volatility(series, n))))
 
 
 def cumulative_return(prices: DataFrame, series: Series = PRICE_SERIES) -> DataFrame:
@@ -156,7 +157,7 @@ def _features(
 ) -> DataFrame:
     rows = with_lead_in(prices, series, max(volatility_rows, *momentum_rows, 1))
     rows = _with_momentum(_with_return(rows, series), series, momentum_rows)
-    rows = _with_growth(_with_volatility(rows, series, volatility_rows), series)
+    rows = _with_growth(rows, series, _volatility(series, volatility_rows))
     drawdown = relative_change(F.col(series.value), F.col("rolling_max"))
     return without_marks(rows.withColumn("drawdown", drawdown))
 
@@ -166,7 +167,7 @@ def growth_and_risk(
 ) -> DataFrame:
     """Input of the per-series metrics: volatility and drawdown of the growth."""
     rows = _with_return(with_lead_in(prices, series, volatility_rows), series)
-    rows = _with_growth(_with_volatility(rows, series, volatility_rows), series)
+    rows = _with_growth(rows, series, _volatility(series, volatility_rows))
     return without_marks(
         rows.withColumn("growth_drawdown", below_peak(F.col("cum_return"), F.col("growth_peak")))
     ).drop("growth_peak", "rolling_max")

@@ -18,6 +18,7 @@ from daybook.operators.metrics import portfolio_metrics
 from daybook.operators.news import enrich_events, items_of_events, news_request_plan
 from daybook.operators.ranges import between_dates, history_window
 from daybook.operators.series import cumulative_return
+from daybook.schemas import FEAR_GREED, KEY_EVENTS, KEY_EVENTS_NEWS, METRICS, PRICES, VIX
 from daybook.sinks import export_tables, overwrite_files, write_csv
 from daybook.sources.feeds import feed_items, landed_feeds
 from daybook.sources.prices import landed_prices, landed_volatility
@@ -43,34 +44,30 @@ def load_tables(
     """
     landed = history_window(landed_prices(spark, quotes), "date", start, end)
     closes = overwrite_files(landed, f"{out}/closes")
-    prices = overwrite_files(
-        cumulative_return(closes).select("date", "close", "asset", "daily_return", "cum_return"),
-        f"{out}/prices",
-    )
+    prices = overwrite_files(cumulative_return(closes).to(PRICES), f"{out}/prices")
     metrics = portfolio_metrics(prices.select("asset", "date", "close"))
     sentiment = between_dates(sentiment_days(landed_payloads(spark, payloads)), "date", start, end)
     index = history_window(landed_volatility(spark, volatility), "date", start, end)
     return {
         "prices": prices,
-        "metrics": overwrite_files(metrics, f"{out}/metrics"),
-        "fear_greed": overwrite_files(sentiment, f"{out}/fear_greed"),
-        "vix": overwrite_files(index, f"{out}/vix"),
+        "metrics": overwrite_files(metrics.to(METRICS), f"{out}/metrics"),
+        "fear_greed": overwrite_files(sentiment.to(FEAR_GREED), f"{out}/fear_greed"),
+        "vix": overwrite_files(index.to(VIX), f"{out}/vix"),
     }
 
 
 def load_events(tables: dict[str, DataFrame], out: str) -> dict[str, DataFrame]:
     """The ranked days, and the search request of each."""
     events = key_events_from(tables["prices"], tables["fear_greed"], tables["vix"])
-    written = overwrite_files(events, f"{out}/key_events")
+    written = overwrite_files(events.to(KEY_EVENTS), f"{out}/key_events")
     requests = overwrite_files(news_request_plan(written), f"{out}/news_requests")
     return {"key_events": written, "news_requests": requests}
 
 
 def load_headlines(spark: SparkSession, events: DataFrame, feeds: str, out: str) -> DataFrame:
     """Headlines of the event days from the feeds landed for the requests."""
-    items = items_of_events(feed_items(landed_feeds(spark, feeds)), events)
-    news = items.select("event_date", "title", "pub_date", "source", "link")
-    return overwrite_files(news, f"{out}/key_events_news")
+    documents = items_of_events(landed_feeds(spark, feeds), events)
+    return overwrite_files(feed_items(documents).to(KEY_EVENTS_NEWS), f"{out}/key_events_news")
 
 
 def export(spark: SparkSession, tables: dict[str, DataFrame], out: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from daybook.plans import refresh as job
 from daybook.plans import relations as rel
+from daybook.schemas import KEY_EVENTS, PRICES
 from daybook.sinks import write_csv
 from daybook.sources.files import read_csv
 
@@ -62,6 +63,9 @@ def test_refresh(spark, small, landed, tmp_path):
     written = spark.read.parquet(f"{out}/key_events")
     assert sorted(rows(written)) == sorted(rows(expected))
 
+    assert written.schema == KEY_EVENTS
+    assert spark.read.parquet(f"{out}/prices").schema == PRICES
+
     merged = read_csv(spark, f"{out}/export/key_events_with_news.csv", multi_line=True)
     assert merged.columns == [*expected.columns, "news_titles", "news_sources"]
     assert merged.count() == expected.count()
