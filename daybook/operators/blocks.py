@@ -13,8 +13,8 @@ what a block needs from earlier blocks reaches it in one of two ways:
   a running total over those few rows, and an equi join back. The large side is
   already partitioned on (key, block), so the join does not move it again.
 
-The order column must be unique within a series, which also bounds a block: a
-block of ``span_days`` days holds at most that many daily rows. The number of
+The order column is taken to be unique within a series, which also bounds a
+block: ``span_days`` days hold at most that many daily rows. The number of
 summary rows per series is bounded by the time it covers, not by its rows.
 """
 
@@ -52,7 +52,9 @@ class Series:
         return [*self.keys, BLOCK]
 
     def in_block(self) -> WindowSpec:
-        return Window.partitionBy(*self.block_keys).orderBy(self.order)
+        # The value only decides where an order position is repeated: both
+        # branches of a plan, and tasks that are run again, must agree on it.
+        return Window.partitionBy(*self.block_keys).orderBy(self.order, self.value)
 
     def so_far(self) -> WindowSpec:
         return self.in_block().rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -89,7 +91,7 @@ def _lead_in_rows(df: DataFrame, series: Series, columns: Sequence[str], n: int)
         moved = {c: F.lag(c).over(over_blocks) for c in (*columns, series.order)}
         return last.withColumns(moved).where(F.col(series.order).isNotNull())
 
-    newest_first = Window.partitionBy(*series.block_keys).orderBy(F.desc(series.order))
+    newest_first = Window.partitionBy(*series.block_keys).orderBy(F.desc(series.order), F.desc(series.value))
     tails = (
         df.select(*series.block_keys, series.order, *columns)
         .withColumn("_from_end", F.row_number().over(newest_first))
@@ -110,10 +112,10 @@ def _lead_in_rows(df: DataFrame, series: Series, columns: Sequence[str], n: int)
 def with_lead_in(df: DataFrame, series: Series, n: int, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows in blocks, each block led by copies of the ``n`` rows before it.
 
-    ``columns`` are the ones the copies carry (the value column by default);
-    other columns are NULL there. Drop the copies with ``own_rows``.
+    The copies carry keys, order, value and the given ``columns``; other columns
+    are NULL there. Drop the copies with ``own_rows``.
     """
-    columns = list(columns or [series.value])
+    columns = list(dict.fromkeys([series.value, *(columns or [])]))
     blocked = with_block(df, series)
     copies = _lead_in_rows(blocked, series, columns, n)
     return blocked.withColumn(LEAD_IN, F.lit(False)).unionByName(

@@ -224,3 +224,10 @@ def test_a_hot_series_is_spread_over_blocks(spark):
 def test_rows_without_key_or_date_are_left_out(spark):
     prices = spark.createDataFrame([("x", _day(0), 1.0), (None, _day(1), 2.0), ("x", None, 3.0)], SCHEMA)
     assert rows(series.daily_return(prices)) == [("x", _day(0), 1.0, None)]
+
+
+def test_repeated_days_are_ordered_by_value(spark):
+    closes = [(0, 1.0), (1, 8.0), (1, 2.0), (1, 4.0), (2, 16.0), (2, 16.0)]
+    prices = spark.createDataFrame([("x", _day(d), c) for d, c in closes], SCHEMA).repartition(4)
+    out = series.cumulative_return(prices).orderBy("date", "close", "cum_return")
+    assert rows(out.select("close", "cum_return")) == [(c, c) for c in (1.0, 2.0, 4.0, 8.0, 16.0, 16.0)]
