@@ -1,7 +1,7 @@
 """The whole refresh: landed files to tables, key events, headlines and exports.
 
-    spark-submit daybook/plans/refresh.py --quotes ... --volatility ... \\
-        --sentiment ... --feeds ... --out ...
+    spark-submit --py-files daybook.zip daybook/plans/refresh.py \\
+        --quotes ... --volatility ... --sentiment ... --feeds ... --out ...
 
 Every table is written once and later steps read the written table, so that a
 lost executor costs the work of one step and not of all before it.
