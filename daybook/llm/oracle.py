@@ -36,6 +36,32 @@ def jaccard_components(documents: str = "documents") -> str:
         LEFT JOIN sized USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = d.doc_id)"""
 
 
+def contamination(documents: str = "documents") -> str:
+    """CTEs ending in ``contaminated(doc_id, n_words, n_hit, n_items, items_sha256)``."""
+    separators = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    return f"""
+    item AS (SELECT item_id, {words('text', separators, True)} AS w FROM benchmark),
+    item_window AS (
+        SELECT item_id, unnest(CASE WHEN len(w) >= 10
+            THEN list_transform(generate_series(1, len(w) - 9), lambda i: w[i:i + 9])
+            WHEN len(w) > 0 THEN [w] ELSE [] END) AS win FROM item),
+    win AS (SELECT DISTINCT item_id, len(win) AS size, array_to_string(win, ' ') AS win FROM item_window),
+    doc AS (SELECT doc_id, {words('text', separators, True)} AS w FROM {documents}),
+    gram AS (
+        SELECT doc_id, size, at, array_to_string(w[at:at + size - 1], ' ') AS win FROM (
+            SELECT doc_id, w, size, unnest(generate_series(1, len(w) - size + 1)) AS at
+            FROM doc, (SELECT DISTINCT size FROM win) WHERE len(w) >= size)),
+    hit AS (SELECT doc_id, at, size, item_id FROM gram JOIN win USING (size, win)),
+    hit_word AS (SELECT DISTINCT doc_id, unnest(generate_series(at, at + size - 1)) AS at FROM hit),
+    hit_items AS (SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS items FROM hit GROUP BY doc_id),
+    contaminated AS (
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
+               sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256
+        FROM doc LEFT JOIN (SELECT doc_id, count(*) AS n FROM hit_word GROUP BY doc_id) h USING (doc_id)
+        LEFT JOIN hit_items USING (doc_id))"""
+
+
 ORACLE = {
     "op3_ngram_jaccard": f"WITH RECURSIVE {jaccard_components()} SELECT doc_id, n_shingles, component_id FROM component",
+    "op4_decontamination": f"WITH {contamination()} SELECT *, n_hit > 0 AS contaminated FROM contaminated",
 }

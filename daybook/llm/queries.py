@@ -3,16 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from daybook.llm.decontamination import contamination
 from daybook.llm.ngram_jaccard import ngram_jaccard
+from daybook.llm.quality_rules import quality_rules
 from daybook.llm.tables import table
 
 
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules(table(spark, folder, "documents"))
+    features = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged.select("doc_id", *[f"quality.{f}" for f in features])
+
+
 def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     joined = ngram_jaccard(table(spark, folder, "documents"))
     return joined.select("doc_id", "n_shingles", "component_id")
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    digest = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_decontamination": op4_decontamination,
 }
