@@ -48,11 +48,11 @@ def contamination(documents: str = "documents") -> str:
     win AS (SELECT DISTINCT item_id, len(win) AS size, array_to_string(win, ' ') AS win FROM item_window),
     doc AS (SELECT doc_id, {words('text', separators, True)} AS w FROM {documents}),
     gram AS (
-        SELECT doc_id, size, at, array_to_string(w[at:at + size - 1], ' ') AS win FROM (
-            SELECT doc_id, w, size, unnest(generate_series(1, len(w) - size + 1)) AS at
+        SELECT doc_id, size, p, array_to_string(w[p:p + size - 1], ' ') AS win FROM (
+            SELECT doc_id, w, size, unnest(generate_series(1, len(w) - size + 1)) AS p
             FROM doc, (SELECT DISTINCT size FROM win) WHERE len(w) >= size)),
-    hit AS (SELECT doc_id, at, size, item_id FROM gram JOIN win USING (size, win)),
-    hit_word AS (SELECT DISTINCT doc_id, unnest(generate_series(at, at + size - 1)) AS at FROM hit),
+    hit AS (SELECT doc_id, p, size, item_id FROM gram JOIN win USING (size, win)),
+    hit_word AS (SELECT DISTINCT doc_id, unnest(generate_series(p, p + size - 1)) AS p FROM hit),
     hit_items AS (SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS items FROM hit GROUP BY doc_id),
     contaminated AS (
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
@@ -61,7 +61,52 @@ def contamination(documents: str = "documents") -> str:
         LEFT JOIN hit_items USING (doc_id))"""
 
 
+def mixed(documents: str = "documents") -> str:
+    """CTEs ending in ``mix(doc_id, size, source_size, target, taken)`` and the quota."""
+    return f"""
+    sized AS (SELECT *, len({words('text')})::BIGINT AS size, md5(doc_id::VARCHAR) AS h FROM {documents}),
+    src AS (SELECT source, sum(size)::BIGINT AS s FROM sized GROUP BY source),
+    weighed AS (SELECT source, s, 3 * s AS cap, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM src),
+    running AS (
+        SELECT *, sum(s) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+               sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest_weight
+        FROM weighed),
+    level AS (SELECT rest, rest_weight FROM running WHERE rest * weight <= cap * rest_weight ORDER BY cap / weight, source NULLS LAST LIMIT 1),
+    targets AS (
+        SELECT source, s, CASE WHEN w.weight * l.rest <= w.cap * l.rest_weight
+            THEN (w.weight * l.rest)::DOUBLE / l.rest_weight::DOUBLE ELSE cap::DOUBLE END AS target
+        FROM weighed w, level l),
+    placed AS (
+        SELECT d.*, t.s, t.target, floor(t.target + 0.5)::BIGINT AS quota,
+               coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+        FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+    mix AS (
+        SELECT *, (greatest(0, least(size, quota - before)) + greatest(0, least(size, quota - s - before))
+                   + greatest(0, least(size, quota - 2 * s - before)))::BIGINT AS taken
+        FROM placed)"""
+
+
+def shards(limit: int, documents: str = "documents") -> str:
+    """CTEs ending in ``cut``: the shortest hash prefix whose rows fit the limit."""
+    return f"""
+    hashed AS (
+        SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS bits, coalesce(strlen(text), 0)::BIGINT AS bytes
+        FROM {documents}),
+    bucket AS (
+        SELECT depth, bits >> (60 - depth) AS prefix, sum(bytes)::BIGINT AS shard_bytes, count(*) AS shard_rows
+        FROM hashed, (SELECT unnest(generate_series(0, 60)) AS depth) GROUP BY ALL),
+    cut AS (
+        SELECT h.*, depth, prefix, shard_bytes, shard_rows, row_number() OVER (PARTITION BY doc_id ORDER BY depth) AS nth
+        FROM hashed h JOIN bucket b ON h.bits >> (60 - depth) = prefix WHERE shard_bytes <= {limit} OR depth = 60)"""
+
+
 ORACLE = {
     "op3_ngram_jaccard": f"WITH RECURSIVE {jaccard_components()} SELECT doc_id, n_shingles, component_id FROM component",
     "op4_decontamination": f"WITH {contamination()} SELECT *, n_hit > 0 AS contaminated FROM contaminated",
+    "op7_mixing": f"WITH {mixed()} SELECT doc_id, size, s AS source_size, target, taken FROM mix",
+    "op9_sharding": f"""
+        WITH {shards(1 << 20)}
+        SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), depth::INT, '0') END AS shard, depth::INT AS depth,
+               bytes, shard_bytes, shard_rows
+        FROM cut WHERE nth = 1""",
 }

@@ -6,10 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm.decontamination import contamination
+from daybook.llm.mixing import mixture
 from daybook.llm.ngram_jaccard import ngram_jaccard
 from daybook.llm.quality_rules import quality_rules
+from daybook.llm.sharding import sharded
 from daybook.llm.tables import table
 
+#: Bytes of text in a shard of the sharding query and of the pipeline.
+SHARD_BYTES = 1 << 20
+
 
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules(table(spark, folder, "documents"))
@@ -28,8 +33,20 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mix = mixture(table(spark, folder, "documents"))
+    return mix.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    cut = sharded(table(spark, folder, "documents").select("doc_id", "text"), limit=SHARD_BYTES)
+    return cut.select("doc_id", F.col("shard.id").alias("shard"), "shard.depth", "shard.bytes", "shard.shard_bytes", "shard.shard_rows")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_decontamination": op4_decontamination,
+    "op7_mixing": op7_mixing,
+    "op9_sharding": op9_sharding,
 }
