@@ -60,8 +60,8 @@ def _prefixes(common):
                 ends = np.cumsum([0] + [len(p) for p in prefixes]).astype(np.int32)
                 flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                    names=["doc_id", "key", "n", "prefix"],
+                    [part.column("doc_id"), part.column("text_hash"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                    names=["doc_id", "text_hash", "key", "n", "prefix"],
                 )
 
     return run
@@ -109,12 +109,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, label: str)
 
 
 def ngram_jaccard(documents: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc_id, n_shingles, set_key, component_id) per row of ``documents``.
+    """(doc_id, text_hash, n_shingles, set_key, component_key, component_id) per row.
 
     Texts are lower-cased (A-Z) and cut into words at space and 0x09-0x0D; a set is
     the distinct 5-word shingles, or the whole of a shorter text. Rows link when
     100 * intersection >= 80 * union; ``component_id`` is the smallest ``key``
-    reachable. Rows of one ``set_key`` have equal sets.
+    reachable. Rows of one ``set_key`` have equal sets, rows of one
+    ``component_key`` are linked.
 
     Method: the sparse product of the document by shingle incidence with its own
     transpose, in two blocks of columns. The first holds the columns a size-derived
@@ -131,10 +132,10 @@ def ngram_jaccard(documents: DataFrame, text: str = "text", key: str = "doc_id")
     keys, are compared by 64-bit hashes.
     """
     spark = documents.sparkSession
-    docs = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    docs = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
     counts = docs.select("text").mapInArrow(_counts, "token bigint, n bigint")
     common = spark.sparkContext.broadcast(setjoin.common_tokens(counts))
-    rows = stored(docs.mapInArrow(_prefixes(common), "doc_id bigint, key bigint, n int, prefix array<bigint>"), "prefixes")
+    rows = stored(docs.mapInArrow(_prefixes(common), "doc_id bigint, text_hash bigint, key bigint, n int, prefix array<bigint>"), "prefixes")
     known = rows.where("n > 0 and doc_id is not null")
     classes = stored(known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes")
 
@@ -151,10 +152,41 @@ def ngram_jaccard(documents: DataFrame, text: str = "text", key: str = "doc_id")
         "key", "rep", F.coalesce("component", "key").alias("component")
     )
     smallest = labelled.groupBy("component").agg(F.min("rep").alias("component_id"))
-    resolved = labelled.join(smallest, "component").select("key", "component_id")
+    resolved = labelled.join(smallest, "component").select("key", "component", "component_id")
     return rows.join(resolved, "key", "left").select(
         "doc_id",
+        "text_hash",
         F.col("n").cast("bigint").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("key")).alias("set_key"),
+        F.when(F.col("n") > 0, F.col("component")).alias("component_key"),
         F.when((F.col("n") == 0) | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
+
+
+def one_per_component(documents: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """Of each group of linked rows the one with the smallest ``key``, all columns.
+
+    Rows without words link with nothing and stay, and so do rows with a NULL key.
+    If the smallest key comes with several linked texts, the one of the smallest hash
+    stays; of repeated rows one stays, by a hash of all its columns.
+    """
+    found = ngram_jaccard(documents, text, key).where("component_key is not null and doc_id is not null")
+    found = stored(found.groupBy("doc_id", "text_hash", "component_key").agg(F.count(F.lit(1)).alias("copies")), "found")
+    first = found.groupBy("component_key").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    ranked = found.join(first, "component_key").withColumn("stays", F.struct("doc_id", "text_hash") == F.col("first"))
+    gone = stored(ranked.where(~F.col("stays")).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")), "gone")
+    again = stored(
+        ranked.where("stays and copies > 1").select(F.col("doc_id").alias("again_id"), F.col("text_hash").alias("again_hash")), "again"
+    )
+    own = F.col(f"`{key}`").cast("bigint")
+    digest = F.xxhash64(F.col(f"`{text}`"))
+    kept = documents.join(gone, (own == F.col("gone_id")) & (digest == F.col("gone_hash")), "left_anti")
+    if again.limit(1).count() == 0:
+        return kept
+    repeated = (own == F.col("again_id")) & (digest == F.col("again_hash"))
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    one = (
+        kept.join(again, repeated).groupBy("again_id", "again_hash")
+        .agg(F.min_by(row, F.xxhash64(*[F.col(f"`{c}`") for c in documents.columns])).alias("row")).select("row.*")
+    )
+    return kept.join(again, repeated, "left_anti").unionByName(one)

@@ -22,7 +22,7 @@ KEEP_FROM = 0.5
 SLICE = 256
 
 FEATURES = (
-    "n_words word_chars n_symbols n_lines n_dup_lines n_repeat_words n_adjacent n_distinct n_upper n_letters n_exclaim"
+    "n_words word_chars n_symbols n_lines n_dup_lines n_repeat_words n_adjacent n_distinct n_upper n_letters n_exclaim n_marked"
 ).split()
 
 
@@ -34,7 +34,7 @@ def _bytes_of(chars: str) -> np.ndarray:
 
 _SYMBOL = _bytes_of(SYMBOLS)
 _UPPER = _bytes_of("".join(map(chr, range(65, 91))))
-_LETTER = _UPPER | _bytes_of("".join(map(chr, range(97, 123))))
+_LETTER = _UPPER | _bytes_of("".join(map(chr, range(97, 123)))) | (np.arange(256) >= 0xC0)  # any beyond ASCII counts as one
 _EXCLAIM = _bytes_of("!")
 _CHAR = (np.arange(256) & 0xC0) != 0x80  # first byte of a code point
 
@@ -75,6 +75,7 @@ def _measure(column: pa.Array) -> list[np.ndarray]:
     starts, ends = spans(data, offsets)
     words = word_hashes(data, starts, ends)
     at = np.searchsorted(starts, offsets)
+    marked = np.add.reduceat(_SYMBOL[data], starts, dtype=np.int64) > 0 if len(starts) else np.zeros(0, dtype=bool)
     n = len(column)
     lines, dup_lines, repeat, adjacent, distinct = (np.zeros(n, dtype=np.int64) for _ in range(5))
     for i, text in enumerate(column.to_pylist()):
@@ -89,6 +90,7 @@ def _measure(column: pa.Array) -> list[np.ndarray]:
     return [
         np.diff(at), _per_row(_CHAR[data] & ~SPACE[data], offsets), _per_row(_SYMBOL[data], offsets), lines, dup_lines,
         repeat, adjacent, distinct, _per_row(_UPPER[data], offsets), _per_row(_LETTER[data], offsets), _per_row(_EXCLAIM[data], offsets),
+        _per_row(marked, at),
     ]
 
 
@@ -129,7 +131,8 @@ RULES = (
     Rule("variety", "n_distinct", "n_words", (0.3, 1), (0.1, 1)),
     Rule("duplicate lines", "n_dup_lines", "n_lines", (0, 0.1), (0, 0.3)),
     Rule("word length", "word_chars", "n_words", (3, 9), (2, 14)),
-    Rule("letters", "n_letters", "word_chars", (0.6, 1), (0.4, 1)),
+    Rule("letters", "n_letters", "word_chars", (0.9, 1), (0.8, 1)),
+    Rule("marked words", "n_marked", "n_words", (0, 0.02), (0, 0.1)),
 )
 
 
