@@ -22,18 +22,29 @@ _BYTES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint
 _LOWER = _BYTES.copy()
 _LOWER[65:91] = _BYTES[97:123]
 
-_powers: dict[str, np.ndarray] = {}
+class _Powers:
+    """base^i and base^-i modulo 2^64, as far as asked for; not sent along with code."""
 
+    def __init__(self) -> None:
+        self.up = self.down = np.zeros(0, dtype=np.uint64)
 
-def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """base^i and base^-i modulo 2^64 for i up to ``size``, kept for the worker's life."""
-    if not _powers or len(_powers["up"]) <= size:
-        size = max(size, WINDOW) + 1
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            table = np.full(size, base, dtype=np.uint64)
-            table[0] = 1
-            _powers[name] = np.cumprod(table)
-    return _powers["up"], _powers["down"]
+    def __reduce__(self):
+        return _Powers, ()
+
+    def tables(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) <= size:
+            size = max(size, WINDOW) + 1
+            self.up, self.down = (self._table(b, size) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
+        return self.up, self.down
+
+    @staticmethod
+    def _table(base: int, size: int) -> np.ndarray:
+        table = np.full(size, base, dtype=np.uint64)
+        table[0] = 1
+        return np.cumprod(table)
+
+
+_powers = _Powers()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -86,7 +97,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
         to = int(np.searchsorted(ends, starts[at] + WINDOW, side="right"))
         to = max(to, at + 1)
         origin, size = starts[at], int(ends[to - 1] - starts[at])
-        up, down = _power_tables(size)
+        up, down = _powers.tables(size)
         sums = np.zeros(size + 1, dtype=np.uint64)
         np.cumsum(table[data[origin : origin + size]] * up[:size], out=sums[1:])
         s, e = starts[at:to] - origin, ends[at:to] - origin

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from daybook.llm import setjoin
 from daybook.llm.arrowtext import grams, mix, signed, words_of
 from daybook.llm.graph import components
+from daybook.llm.setjoin import ordered, prefix_length
 from daybook.llm.tables import filter_slot, member_filter, stored
 
 SHINGLE = 5
@@ -56,7 +58,7 @@ def _prefixes(common):
                     n = len(tokens)
                     sizes.append(n)
                     keys.append(_key(tokens))
-                    prefixes.append(setjoin.ordered(tokens, shared)[: setjoin.prefix_length(n)] if n else tokens)
+                    prefixes.append(ordered(tokens, shared)[: prefix_length(n)] if n else tokens)
                 ends = np.cumsum([0] + [len(p) for p in prefixes]).astype(np.int32)
                 flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -79,10 +81,11 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, label: str) -> DataFrame:
+def _verified(pairs: DataFrame, prefixes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs of set keys whose whole sets reach the similarity."""
+    pairs = stored(setjoin.bounded_pairs(pairs, prefixes), "bounded")
     wanted = stored(
-        pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes, "key").select("rep"), label + "-wanted"
+        pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes, "key").select("rep"), "wanted"
     )
     slots = docs.sparkSession.sparkContext.broadcast(np.flatnonzero(member_filter(wanted, "rep")))
 
@@ -97,7 +100,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, label: str)
     few = docs.select("doc_id", "text", filter_slot("doc_id").alias("slot")).mapInArrow(chosen, "doc_id bigint, text string")
     texts = few.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
     # a document id that comes with several texts gives a set for each of them
-    sets = stored(texts.mapInArrow(_whole_sets, "key bigint, tokens array<bigint>").dropDuplicates(["key"]), label + "-sets")
+    sets = stored(texts.mapInArrow(_whole_sets, "key bigint, tokens array<bigint>").dropDuplicates(["key"]), "sets")
     a = sets.select(F.col("key").alias("a"), F.col("tokens").alias("a_tokens"))
     b = sets.select(F.col("key").alias("b"), F.col("tokens").alias("b_tokens"))
     both = F.size(F.array_intersect("a_tokens", "b_tokens"))
@@ -139,14 +142,16 @@ def ngram_jaccard(documents: DataFrame, text: str = "text", key: str = "doc_id")
     known = rows.where("n > 0 and doc_id is not null")
     classes = stored(known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes")
 
-    shared = setjoin.shared_tokens(known.select("key", "n", "prefix"), F.col("n"), "shared")
-    first = stored(setjoin.leader_pairs(shared), "pairs")
-    links = stored(_verified(first, docs, classes, "first"), "links")
-    groups = components(links)
-    second = stored(setjoin.remaining_pairs(shared, groups, first), "pairs")
-    more = stored(_verified(second, docs, classes, "second"), "links")
-    links = links.unionByName(more)
+    prefixes = known.select("key", "n", "prefix")
+    shared = setjoin.shared_tokens(prefixes, F.col("n"), "shared")
+    tested = stored(setjoin.leader_pairs(shared), "pairs")
+    links = stored(_verified(tested, prefixes, docs, classes), "links")
     groups = components(links)
+    for search in (partial(setjoin.probing_pairs, turn=1), setjoin.remaining_pairs):
+        pairs = stored(search(shared, groups, tested), "pairs")
+        tested = tested.unionByName(pairs)
+        links = links.unionByName(stored(_verified(pairs, prefixes, docs, classes), "links"))
+        groups = components(links)
 
     labelled = classes.join(groups.withColumnRenamed("node", "key"), "key", "left").select(
         "key", "rep", F.coalesce("component", "key").alias("component")

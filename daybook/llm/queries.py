@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm.decontamination import contamination
+from daybook.llm.lm_brown import brown_scores
 from daybook.llm.mixing import mixture
 from daybook.llm.ngram_jaccard import ngram_jaccard
 from daybook.llm.quality_rules import quality_rules
@@ -33,6 +34,10 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+def op5_lm_brown(spark: SparkSession, folder: str) -> DataFrame:
+    return brown_scores(table(spark, folder, "documents"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mix = mixture(table(spark, folder, "documents"))
     return mix.select("row.doc_id", "size", "source_size", "target", "taken")
@@ -47,6 +52,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_decontamination": op4_decontamination,
+    "op5_lm_brown": op5_lm_brown,
     "op7_mixing": op7_mixing,
     "op9_sharding": op9_sharding,
 }

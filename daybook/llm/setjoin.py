@@ -6,7 +6,8 @@ whatever the order is; the order only decides how few pairs share one.
 
 Groups of near copies share most prefix tokens. Emitting all their pairs would grow
 with the square of the group, so a token's sets are first joined with one leader
-each, and only sets that this leaves apart are then paired one by one.
+each, then with a few neighbours each, and only sets that this leaves in different
+groups are paired one by one.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.tables import stored
@@ -24,7 +25,7 @@ from daybook.llm.tables import stored
 COMMON_FROM = 12
 #: As many common tokens are told to all tasks at most (16 bytes each); the others
 #: of them stay where their hash puts them. Results do not depend on it.
-MAX_COMMON = 200_000
+MAX_COMMON = 500_000
 
 
 def prefix_length(n: np.ndarray | int):
@@ -173,15 +174,30 @@ def leader_pairs(shared: DataFrame) -> DataFrame:
     return of("lead").unionByName(of("other")).where("a <> b").distinct()
 
 
-def remaining_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame) -> DataFrame:
-    """Distinct (a, b) across groups that meet the bounds and were not tested.
+def bounded_pairs(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose overlap within the prefixes can still be enough.
 
-    ``groups(node, component)`` tells what is joined already. A token all of whose
-    sets are in one group gives no pair; else the sets outside its largest group are
-    joined with all of its sets, so the largest group is never paired with itself.
-    The overlap within the prefixes is accumulated per pair, and pairs that cannot
-    reach the bound with all the rest of a set are discarded.
+    Common tokens outside both prefixes' overlap lie in the rest of the set whose
+    prefix ends first, so overlap + that rest bounds the whole overlap.
     """
+    few = prefixes.join(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", "left_semi")
+    few = stored(few.dropDuplicates(["key"]), "bounds")
+    a = few.select(F.col("key").alias("a"), F.col("n").alias("a_n"), F.col("prefix").alias("a_prefix"))
+    b = few.select(F.col("key").alias("b"), F.col("n").alias("b_n"), F.col("prefix").alias("b_prefix"))
+    return (
+        pairs.join(a, "a").join(b, "b")
+        .where(_can_reach(F.size(F.array_intersect("a_prefix", "b_prefix")), F.col("a_n"), F.col("b_n")))
+        .select("a", "b")
+    )
+
+
+def _can_reach(overlap: Column, n1: Column, n2: Column) -> Column:
+    rest = F.greatest(F.floor((4 * n1 + 4) / 5), F.floor((4 * n2 + 4) / 5)) - 1
+    return (9 * (overlap + rest) >= 4 * (n1 + n2)) & (5 * F.least(n1, n2) >= 4 * F.greatest(n1, n2))
+
+
+def _apart(shared: DataFrame, groups: DataFrame) -> DataFrame:
+    """The shared tokens whose sets are in several groups, with each token's largest."""
     rows = shared.select("token", "key", "n", "pos").join(groups.withColumnRenamed("node", "key"), "key", "left")
     rows = rows.select("token", "key", "n", "pos", F.coalesce("component", "key").alias("component"))
     sizes = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("size"))
@@ -189,7 +205,36 @@ def remaining_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame) ->
         sizes.groupBy("token").agg(F.count(F.lit(1)).alias("groups"), F.max_by("component", F.struct("size", "component")).alias("main"))
         .where("groups > 1").select("token", "main")
     )
-    apart = stored(rows.join(main, "token"), "apart")
+    return stored(rows.join(main, "token"), "apart")
+
+
+def probing_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame, turn: int) -> DataFrame:
+    """Distinct untested (a, b) of sets in different groups that happen to be neighbours.
+
+    Each token's sets are put in an order of their own by a hash, and each set meets
+    the next two. A set gets a few partners per shared token, so the pairs grow with
+    the shared tokens, not with the square of a group, and a group whose members are
+    mostly within reach of each other becomes one.
+    """
+    w = Window.partitionBy("token").orderBy(F.xxhash64("token", "key", F.lit(turn)), "key")
+    me = F.struct("key", "n", "pos", "component")
+    near = _apart(shared, groups).select(me.alias("x"), F.array(F.lead(me, 1).over(w), F.lead(me, 2).over(w)).alias("next"))
+    met = near.select("x", F.explode("next").alias("y")).where(
+        "y is not null and x.component <> y.component"
+    ).where(may_match(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos")))
+    return met.select(*_pair("x.key", "y.key")).distinct().join(tested, ["a", "b"], "left_anti")
+
+
+def remaining_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame) -> DataFrame:
+    """Distinct (a, b) across groups that meet the bounds and were not tested.
+
+    ``groups(node, component)`` tells what is joined already. A token all of whose
+    sets are in one group gives no pair; else the sets outside its largest group are
+    joined with all of its sets, so the largest group is never paired with itself.
+    The overlap within the prefixes is accumulated per pair, and pairs that cannot
+    reach the bound with all the rest of a set are discarded.
+    """
+    apart = _apart(shared, groups)
     x = apart.where("component <> main").select("token", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "pos", "component", "main")])
     y = apart.select("token", *[F.col(c).alias(f"y_{c}") for c in ("key", "n", "pos", "component")])
     once = (F.col("y_component") == F.col("x_main")) | (F.col("x_key") < F.col("y_key"))
@@ -197,11 +242,9 @@ def remaining_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame) ->
         (F.col("x_component") != F.col("y_component")) & once
         & may_match(F.col("x_n"), F.col("x_pos"), F.col("y_n"), F.col("y_pos"))
     )
-    a_n = F.when(F.col("x_key") < F.col("y_key"), F.col("x_n")).otherwise(F.col("y_n"))
     pairs = (
-        met.select(*_pair("x_key", "y_key"), F.col("x_n"), F.col("y_n"), a_n.alias("a_n"))
-        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("overlap"), F.max("x_n").alias("n1"), F.max("y_n").alias("n2"), F.max("a_n").alias("a_n"))
+        met.select(*_pair("x_key", "y_key"), "x_n", "y_n").groupBy("a", "b")
+        .agg(F.count(F.lit(1)).alias("overlap"), F.max("x_n").alias("n1"), F.max("y_n").alias("n2"))
     )
-    n1, n2 = F.least("n1", "n2"), F.greatest("n1", "n2")
-    rest = F.greatest(F.floor((4 * n1 + 4) / 5), F.floor((4 * n2 + 4) / 5)) - 1
-    return pairs.where(9 * (F.col("overlap") + rest) >= 4 * (n1 + n2)).select("a", "b").join(tested, ["a", "b"], "left_anti")
+    reach = pairs.where(_can_reach(F.col("overlap"), F.col("n1"), F.col("n2"))).select("a", "b")
+    return reach.join(tested, ["a", "b"], "left_anti")
