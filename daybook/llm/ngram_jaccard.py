@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -84,9 +83,20 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verified(pairs: DataFrame, prefixes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs of set keys whose whole sets reach the similarity."""
     pairs = stored(setjoin.bounded_pairs(pairs, prefixes), "bounded")
-    wanted = stored(
-        pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes, "key").select("rep"), "wanted"
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), docs, classes)
+    a = sets.select(F.col("key").alias("a"), F.col("tokens").alias("a_tokens"))
+    b = sets.select(F.col("key").alias("b"), F.col("tokens").alias("b_tokens"))
+    both = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    return (
+        pairs.join(b, "b").join(a, "a")
+        .where(9 * both >= 4 * (F.size("a_tokens") + F.size("b_tokens")))
+        .select("a", "b")
     )
+
+
+def _sets_of(keys: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, tokens): the whole sets of the keys, from the texts of one document each."""
+    wanted = stored(keys.join(classes, "key").select("rep"), "wanted")
     slots = docs.sparkSession.sparkContext.broadcast(np.flatnonzero(member_filter(wanted, "rep")))
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,15 +110,7 @@ def _verified(pairs: DataFrame, prefixes: DataFrame, docs: DataFrame, classes: D
     few = docs.select("doc_id", "text", filter_slot("doc_id").alias("slot")).mapInArrow(chosen, "doc_id bigint, text string")
     texts = few.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
     # a document id that comes with several texts gives a set for each of them
-    sets = stored(texts.mapInArrow(_whole_sets, "key bigint, tokens array<bigint>").dropDuplicates(["key"]), "sets")
-    a = sets.select(F.col("key").alias("a"), F.col("tokens").alias("a_tokens"))
-    b = sets.select(F.col("key").alias("b"), F.col("tokens").alias("b_tokens"))
-    both = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    return (
-        pairs.join(b, "b").join(a, "a")
-        .where(9 * both >= 4 * (F.size("a_tokens") + F.size("b_tokens")))
-        .select("a", "b")
-    )
+    return stored(texts.mapInArrow(_whole_sets, "key bigint, tokens array<bigint>").dropDuplicates(["key"]), "sets")
 
 
 def ngram_jaccard(documents: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -125,8 +127,10 @@ def ngram_jaccard(documents: DataFrame, text: str = "text", key: str = "doc_id")
     bound makes necessary (the prefix of each row, common shingles last); overlaps
     are accumulated in it and pairs below the bound are discarded. The second block,
     all other columns, is only multiplied for the surviving pairs, and the whole
-    overlap decides. Equal sets are one row of the matrix. Sets that one leader
-    joins already are not paired with each other again (see ``setjoin``).
+    overlap decides. Equal sets are one row of the matrix. Sets that a leader or a
+    few neighbours join already are not paired with each other again; where a large
+    group of near copies does not become one that way, the rest is multiplied with it
+    in whole blocks inside the tasks, so its pairs are never rows (see ``setjoin``).
 
     Defined cases: NULL, empty and blank text: 0 shingles, component of its own
     ``key``. A NULL ``key``: sizes are given, links are not, ``component_id`` is NULL.
@@ -147,11 +151,17 @@ def ngram_jaccard(documents: DataFrame, text: str = "text", key: str = "doc_id")
     tested = stored(setjoin.leader_pairs(shared), "pairs")
     links = stored(_verified(tested, prefixes, docs, classes), "links")
     groups = components(links)
-    for search in (partial(setjoin.probing_pairs, turn=1), setjoin.remaining_pairs):
-        pairs = stored(search(shared, groups, tested), "pairs")
-        tested = tested.unionByName(pairs)
-        links = links.unionByName(stored(_verified(pairs, prefixes, docs, classes), "links"))
-        groups = components(links)
+    near = stored(setjoin.probing_pairs(shared, groups, tested, 1), "pairs")
+    tested = tested.unionByName(near)
+    links = links.unionByName(stored(_verified(near, prefixes, docs, classes), "links"))
+    groups = components(links)
+
+    apart = setjoin.apart(shared, groups)
+    at_home = setjoin.homes(apart)
+    within = setjoin.product_links(at_home, _sets_of(at_home.select("key"), docs, classes))
+    rest = stored(setjoin.remaining_pairs(apart, at_home, tested), "pairs")
+    links = links.unionByName(stored(within, "links")).unionByName(stored(_verified(rest, prefixes, docs, classes), "links"))
+    groups = components(links)
 
     labelled = classes.join(groups.withColumnRenamed("node", "key"), "key", "left").select(
         "key", "rep", F.coalesce("component", "key").alias("component")

@@ -26,6 +26,13 @@ COMMON_FROM = 12
 #: As many common tokens are told to all tasks at most (16 bytes each); the others
 #: of them stay where their hash puts them. Results do not depend on it.
 MAX_COMMON = 500_000
+#: A token in this many sets or more makes its largest group a home (see ``homes``).
+HOME_FROM = 64
+#: A block of a product has at most so many tokens and rows (about 8 bytes a token,
+#: 16 MB for the overlaps), and is multiplied so many columns at a time.
+PRODUCT_TOKENS = 1 << 20
+PRODUCT_ROWS = 2048
+PRODUCT_COLUMNS = 1024
 
 
 def prefix_length(n: np.ndarray | int):
@@ -196,7 +203,7 @@ def _can_reach(overlap: Column, n1: Column, n2: Column) -> Column:
     return (9 * (overlap + rest) >= 4 * (n1 + n2)) & (5 * F.least(n1, n2) >= 4 * F.greatest(n1, n2))
 
 
-def _apart(shared: DataFrame, groups: DataFrame) -> DataFrame:
+def apart(shared: DataFrame, groups: DataFrame) -> DataFrame:
     """The shared tokens whose sets are in several groups, with each token's largest."""
     rows = shared.select("token", "key", "n", "pos").join(groups.withColumnRenamed("node", "key"), "key", "left")
     rows = rows.select("token", "key", "n", "pos", F.coalesce("component", "key").alias("component"))
@@ -218,28 +225,103 @@ def probing_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame, turn:
     """
     w = Window.partitionBy("token").orderBy(F.xxhash64("token", "key", F.lit(turn)), "key")
     me = F.struct("key", "n", "pos", "component")
-    near = _apart(shared, groups).select(me.alias("x"), F.array(F.lead(me, 1).over(w), F.lead(me, 2).over(w)).alias("next"))
+    near = apart(shared, groups).select(me.alias("x"), F.array(F.lead(me, 1).over(w), F.lead(me, 2).over(w)).alias("next"))
     met = near.select("x", F.explode("next").alias("y")).where(
         "y is not null and x.component <> y.component"
     ).where(may_match(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos")))
     return met.select(*_pair("x.key", "y.key")).distinct().join(tested, ["a", "b"], "left_anti")
 
 
-def remaining_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame) -> DataFrame:
-    """Distinct (a, b) across groups that meet the bounds and were not tested.
+def homes(apart: DataFrame) -> DataFrame:
+    """(key, home, component) of sets that share most with one large group.
 
-    ``groups(node, component)`` tells what is joined already. A token all of whose
-    sets are in one group gives no pair; else the sets outside its largest group are
-    joined with all of its sets, so the largest group is never paired with itself.
-    The overlap within the prefixes is accumulated per pair, and pairs that cannot
-    reach the bound with all the rest of a set are discarded.
+    A home is the largest group of a token that many sets have. The sets of that group
+    belong to it; any other set belongs to the one that most of its tokens name. Homes
+    without such guests are left out. Pairs within a home are left to
+    ``product_links``, all other pairs to ``remaining_pairs``.
     """
-    apart = _apart(shared, groups)
-    x = apart.where("component <> main").select("token", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "pos", "component", "main")])
-    y = apart.select("token", *[F.col(c).alias(f"y_{c}") for c in ("key", "n", "pos", "component")])
-    once = (F.col("y_component") == F.col("x_main")) | (F.col("x_key") < F.col("y_key"))
+    large = apart.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where(F.col("sets") >= HOME_FROM).select("token")
+    votes = apart.join(large, "token").groupBy("key", "component", F.col("main").alias("home")).agg(F.count(F.lit(1)).alias("votes"))
+    voted = stored(votes.groupBy("key", "component").agg(F.max_by("home", F.struct("votes", "home")).alias("home")), "votes")
+    named = voted.select(F.col("home").alias("component")).distinct()
+    own = apart.select("key", "component").distinct().join(named, "component", "left_semi")
+    guests = voted.join(named, "component", "left_anti")
+    every = own.select("key", F.col("component").alias("home"), "component").unionByName(guests.select("key", "home", "component"))
+    return stored(every.join(guests.select("home").distinct(), "home", "left_semi"), "homes")
+
+
+def _products(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Links between two blocks of sets, one for each set and other component.
+
+    The blocks are incidence matrices over the tokens they share. Their product, a
+    block of columns at a time, accumulates the overlaps of all pairs of rows.
+    """
+    found_a, found_b = [], []
+    if left.num_rows and right.num_rows:
+        sides = []
+        for t in (left, right):
+            lists = t.column("tokens").combine_chunks()
+            n = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+            sides.append((t.column("key").to_numpy(), t.column("component").to_numpy(), n, np.repeat(np.arange(len(n)), n), lists.flatten().to_numpy()))
+        (a, a_group, a_n, a_row, a_token), (b, b_group, b_n, b_row, b_token) = sides
+        both = np.intersect1d(a_token, b_token)
+        overlap = np.zeros((len(a), len(b)), dtype=np.float32)
+        for at in range(0, len(both), PRODUCT_COLUMNS):
+            columns = both[at : at + PRODUCT_COLUMNS]
+            matrices = []
+            for rows, row, token in ((len(a), a_row, a_token), (len(b), b_row, b_token)):
+                where = np.minimum(np.searchsorted(columns, token), len(columns) - 1)
+                hit = columns[where] == token
+                m = np.zeros((rows, len(columns)), dtype=np.float32)
+                m[row[hit], where[hit]] = 1
+                matrices.append(m)
+            overlap += matrices[0] @ matrices[1].T
+        linked = (9 * overlap >= 4 * (a_n[:, None] + b_n[None, :])) & (a_group[:, None] != b_group[None, :])
+        i, j = np.nonzero(linked)
+        _, first = np.unique(np.stack((i, b_group[j])), axis=1, return_index=True)
+        found_a, found_b = np.minimum(a[i], b[j])[first], np.maximum(a[i], b[j])[first]
+    return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+
+def product_links(at_home: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) of ``at_home(key, home, component)`` within each home.
+
+    The sets outside the home's own group are multiplied with all sets of the home,
+    in blocks of so many tokens that two blocks and their product fit in a task. Of
+    the links of one set with one other group one per block is given: enough to join
+    them. ``sets(key, tokens)`` has the whole sets, so no more verification follows.
+    """
+    rows = at_home.join(sets, "key").withColumn("n", F.size("tokens"))
+    sizes = rows.groupBy("home").agg(
+        F.greatest(F.ceil(F.sum("n") / PRODUCT_TOKENS), F.ceil(F.count(F.lit(1)) / PRODUCT_ROWS)).cast("int").alias("blocks")
+    )
+    rows = rows.join(sizes, "home").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    columns = ("key", "component", "tokens")
+    fresh = [F.col(c).alias(c) for c in columns]  # told apart from the right side's columns
+    left = rows.where("component <> home").select(F.col("home").alias("home"), F.col("own").alias("i"), every.alias("j"), *fresh)
+    right = rows.select("home", every.alias("i"), F.col("own").alias("j"), *columns)
+    blocks = ("home", "i", "j")
+    return left.groupBy(*blocks).cogroup(right.groupBy(*blocks)).applyInArrow(_products, "a bigint, b bigint").distinct()
+
+
+def remaining_pairs(apart: DataFrame, at_home: DataFrame, tested: DataFrame) -> DataFrame:
+    """Distinct (a, b) across groups and homes that meet the bounds and were not tested.
+
+    A token all of whose sets are in one group gave no rows in ``apart``; else the
+    sets outside its largest group are joined with all of its sets, so the largest
+    group is never paired with itself. The overlap within the prefixes is accumulated
+    per pair, and pairs that cannot reach the bound with all the rest of a set are
+    discarded.
+    """
+    apart = apart.join(at_home.select("key", "home"), "key", "left")
+    columns = ("key", "n", "pos", "component", "main", "home")
+    x = apart.where("component <> main and (home is null or home <> main)").select("token", *[F.col(c).alias(f"x_{c}") for c in columns])
+    y = apart.select("token", *[F.col(c).alias(f"y_{c}") for c in columns])
+    y_first = (F.col("y_component") != F.col("y_main")) & (F.col("y_home").isNull() | (F.col("y_home") != F.col("y_main")))
     met = x.join(y, "token").where(
-        (F.col("x_component") != F.col("y_component")) & once
+        (F.col("x_component") != F.col("y_component")) & (~y_first | (F.col("x_key") < F.col("y_key")))
+        & (F.col("x_home").isNull() | F.col("y_home").isNull() | (F.col("x_home") != F.col("y_home")))
         & may_match(F.col("x_n"), F.col("x_pos"), F.col("y_n"), F.col("y_pos"))
     )
     pairs = (
