@@ -10,6 +10,7 @@ from daybook.llm.lm_brown import brown_scores
 from daybook.llm.mixing import mixture
 from daybook.llm.ngram_jaccard import ngram_jaccard
 from daybook.llm.quality_rules import quality_rules
+from daybook.llm.secret_scan import PATTERNS, secret_spans, span_names
 from daybook.llm.sharding import sharded
 from daybook.llm.tables import table
 
@@ -38,6 +39,15 @@ def op5_lm_brown(spark: SparkSession, folder: str) -> DataFrame:
     return brown_scores(table(spark, folder, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_spans(table(spark, folder, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("bigint").alias(f"n_{kind}") for kind, *_ in PATTERNS
+    ]
+    return found.select("doc_id", *counts, F.sha2(span_names(F.col("base")), 256).alias("base_sha256"), span_names(F.col("spans")).alias("spans"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mix = mixture(table(spark, folder, "documents"))
     return mix.select("row.doc_id", "size", "source_size", "target", "taken")
@@ -53,6 +63,7 @@ QUERIES = {
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_decontamination": op4_decontamination,
     "op5_lm_brown": op5_lm_brown,
+    "op6_secret_scan": op6_secret_scan,
     "op7_mixing": op7_mixing,
     "op9_sharding": op9_sharding,
 }
