@@ -100,6 +100,38 @@ def shards(limit: int, documents: str = "documents") -> str:
         FROM hashed h JOIN bucket b ON h.bits >> (60 - depth) = prefix WHERE shard_bytes <= {limit} OR depth = 60)"""
 
 
+LINE_DEDUP = f"""
+    WITH split AS (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line_text,
+               unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS line FROM documents),
+    line AS (
+        SELECT doc_id, line, list_sort(list_distinct({words('line_text', lower=True)})) AS w FROM split),
+    kept AS (SELECT doc_id, line, w, array_to_string(w, ' ') AS s FROM line WHERE len(w) > 0),
+    class AS (SELECT s, any_value(w) AS w, min((doc_id, line)) AS first, row_number() OVER () AS c FROM kept GROUP BY s),
+    word AS (SELECT c, len(w) AS n, unnest(w) AS t FROM class),
+    rare AS (
+        SELECT c, n, t FROM (
+            SELECT c, n, t, row_number() OVER (PARTITION BY c ORDER BY df, t) AS p
+            FROM word JOIN (SELECT t, count(*) AS df FROM word GROUP BY t) USING (t))
+        WHERE p <= n - (4 * n + 4) // 5 + 1),
+    pair AS (
+        SELECT DISTINCT a.c AS a, b.c AS b FROM rare a JOIN rare b ON a.t = b.t AND a.c < b.c
+        WHERE 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)),
+    link AS (
+        SELECT x.first AS x, y.first AS y, x.s AS xs, y.s AS ys FROM pair JOIN class x ON x.c = a JOIN class y ON y.c = b
+        WHERE 9 * len(list_intersect(x.w, y.w)) >= 4 * (len(x.w) + len(y.w))),
+    near AS (SELECT DISTINCT CASE WHEN x > y THEN xs ELSE ys END AS s FROM link),
+    judged AS (
+        SELECT k.doc_id, k.line, (k.doc_id, k.line) > c.first AS same, near.s IS NOT NULL AS near
+        FROM kept k JOIN class c ON c.s = k.s LEFT JOIN near ON near.s = k.s),
+    report AS (
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (same) AS n_same, count(*) FILTER (near AND NOT same) AS n_near,
+               string_agg(line::VARCHAR, ',' ORDER BY line) FILTER (same OR near) AS removed
+        FROM judged GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_same, 0) AS n_same, coalesce(n_near, 0) AS n_near, coalesce(removed, '') AS removed
+    FROM documents LEFT JOIN report USING (doc_id)"""
+
+
 ORACLE = {
     "op3_ngram_jaccard": f"WITH RECURSIVE {jaccard_components()} SELECT doc_id, n_shingles, component_id FROM component",
     "op4_decontamination": f"WITH {contamination()} SELECT *, n_hit > 0 AS contaminated FROM contaminated",
@@ -109,4 +141,5 @@ ORACLE = {
         SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), depth::INT, '0') END AS shard, depth::INT AS depth,
                bytes, shard_bytes, shard_rows
         FROM cut WHERE nth = 1""",
+    "op10_line_dedup": LINE_DEDUP,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm.decontamination import contamination
+from daybook.llm.line_dedup import line_report
 from daybook.llm.lm_brown import brown_scores
 from daybook.llm.mixing import mixture
 from daybook.llm.ngram_jaccard import ngram_jaccard
@@ -58,6 +59,11 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", F.col("shard.id").alias("shard"), "shard.depth", "shard.bytes", "shard.shard_bytes", "shard.shard_rows")
 
 
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    report = line_report(table(spark, folder, "documents").select("doc_id", "text"))
+    return report.withColumn("removed", F.array_join(F.transform("removed", lambda i: i.cast("string")), ","))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_ngram_jaccard": op3_ngram_jaccard,
@@ -66,4 +72,5 @@ QUERIES = {
     "op6_secret_scan": op6_secret_scan,
     "op7_mixing": op7_mixing,
     "op9_sharding": op9_sharding,
+    "op10_line_dedup": op10_line_dedup,
 }
