@@ -14,6 +14,7 @@ from daybook.llm.quality_rules import quality_rules
 from daybook.llm.secret_scan import PATTERNS, secret_spans, span_names
 from daybook.llm.sharding import sharded
 from daybook.llm.tables import table
+from daybook.llm.token_counts import token_counts
 
 #: Bytes of text in a shard of the sharding query and of the pipeline.
 SHARD_BYTES = 1 << 20
@@ -64,8 +65,13 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return report.withColumn("removed", F.array_join(F.transform("removed", lambda i: i.cast("string")), ","))
 
 
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_token_counts": op2_token_counts,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_decontamination": op4_decontamination,
     "op5_lm_brown": op5_lm_brown,
