@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm.decontamination import contamination
+from daybook.llm.license_scan import license_notices
 from daybook.llm.line_dedup import line_report
 from daybook.llm.lm_brown import brown_scores
 from daybook.llm.mixing import mixture
@@ -55,6 +56,10 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_notices(table(spark, folder, "documents"))
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     cut = sharded(table(spark, folder, "documents").select("doc_id", "text"), limit=SHARD_BYTES)
     return cut.select("doc_id", F.col("shard.id").alias("shard"), "shard.depth", "shard.bytes", "shard.shard_bytes", "shard.shard_rows")
@@ -77,6 +82,7 @@ QUERIES = {
     "op5_lm_brown": op5_lm_brown,
     "op6_secret_scan": op6_secret_scan,
     "op7_mixing": op7_mixing,
+    "op8_license_scan": op8_license_scan,
     "op9_sharding": op9_sharding,
     "op10_line_dedup": op10_line_dedup,
 }
