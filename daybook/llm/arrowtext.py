@@ -8,6 +8,8 @@ Memory: a fixed window of bytes at a time plus eight bytes per word of the batch
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -72,6 +74,22 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def slices(batches: Iterator[pa.RecordBatch], text: int = -1, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most so many bytes of the text column, or one row.
+
+    What a slice needs in memory then depends on neither the rows of a batch nor how
+    long its other texts are.
+    """
+    for batch in batches:
+        column = text % batch.num_columns
+        _, offsets = buffers(batch.column(column))
+        at = 0
+        while at < batch.num_rows:
+            to = max(int(np.searchsorted(offsets, offsets[at] + most, side="right")) - 1, at + 1)
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Byte starts and ends of all words; a word ends with its row at the latest."""
     if len(data) == 0:

@@ -10,11 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm import setjoin
-from daybook.llm.arrowtext import buffers, mix, signed, spans, word_hashes
+from daybook.llm.arrowtext import buffers, mix, signed, slices, spans, word_hashes
 from daybook.llm.setjoin import prefix_length
 from daybook.llm.tables import filter_slot, member_filter, stored
 
-SLICE = 512
 _SIGN = np.int64(-(1 << 63))
 
 
@@ -63,7 +62,7 @@ def _keys(tokens: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         data, offsets = buffers(batch.column(0))
         starts, ends = spans(data, offsets)
         token, n = np.unique(signed(word_hashes(data, starts, ends, lower=True)), return_counts=True)
@@ -73,30 +72,28 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(common, whole: bool):
     """Per line with a word: its place, set key, size, and prefix or whole set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, SLICE):
-                part = batch.slice(start, SLICE)
-                words, line_of, place = _line_words(part.column("text"))
-                if len(words) == 0:
-                    continue
-                lines, tokens = _tokens(words, line_of, common.value)
-                begin = np.flatnonzero(np.concatenate(([True], lines[1:] != lines[:-1])))
-                n = np.diff(np.append(begin, len(lines)))
-                keys = _keys(tokens, begin, n)
-                if whole:
-                    ends = np.append(begin, len(tokens)).astype(np.int32)
-                    columns = {"key": pa.array(keys), "tokens": pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens))}
-                else:
-                    within = np.arange(len(tokens)) - np.repeat(begin, n)
-                    size = prefix_length(n)
-                    ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
-                    prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens[within < np.repeat(size, n)]))
-                    row, number = place[0][lines[begin]], place[1][lines[begin]]
-                    columns = {
-                        "doc_id": part.column("doc_id").take(pa.array(row)), "text_key": part.column("text_key").take(pa.array(row)),
-                        "line": pa.array(number), "key": pa.array(keys), "n": pa.array(n.astype(np.int32)), "prefix": prefix,
-                    }
-                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+        for part in slices(batches):
+            words, line_of, place = _line_words(part.column("text"))
+            if len(words) == 0:
+                continue
+            lines, tokens = _tokens(words, line_of, common.value)
+            begin = np.flatnonzero(np.concatenate(([True], lines[1:] != lines[:-1])))
+            n = np.diff(np.append(begin, len(lines)))
+            keys = _keys(tokens, begin, n)
+            if whole:
+                ends = np.append(begin, len(tokens)).astype(np.int32)
+                columns = {"key": pa.array(keys), "tokens": pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens))}
+            else:
+                within = np.arange(len(tokens)) - np.repeat(begin, n)
+                size = prefix_length(n)
+                ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+                prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens[within < np.repeat(size, n)]))
+                row, number = place[0][lines[begin]], place[1][lines[begin]]
+                columns = {
+                    "doc_id": part.column("doc_id").take(pa.array(row)), "text_key": part.column("text_key").take(pa.array(row)),
+                    "line": pa.array(number), "key": pa.array(keys), "n": pa.array(n.astype(np.int32)), "prefix": prefix,
+                }
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return run
 

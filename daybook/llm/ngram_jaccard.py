@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm import setjoin
-from daybook.llm.arrowtext import grams, mix, signed, words_of
+from daybook.llm.arrowtext import grams, mix, signed, slices, words_of
 from daybook.llm.graph import components
 from daybook.llm.setjoin import ordered, prefix_length
 from daybook.llm.tables import filter_slot, member_filter, stored
@@ -20,7 +20,6 @@ SHINGLE = 5
 #: order prefers shingles of low hash, so few prefixes reach beyond it.
 COUNTED = 0.4
 _LIMIT = int(-(1 << 63) + COUNTED * (1 << 64))
-SLICE = 256
 
 
 def _sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -39,7 +38,7 @@ def _key(tokens: np.ndarray) -> int:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         found = [s[s < _LIMIT] for s in _sets(batch.column(0))]
         if found:
             token, n = np.unique(np.concatenate(found), return_counts=True)
@@ -49,35 +48,32 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _prefixes(common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = common.value
-        for batch in batches:
-            for start in range(0, batch.num_rows, SLICE):
-                part = batch.slice(start, SLICE)
-                keys, sizes, prefixes = [], [], []
-                for tokens in _sets(part.column("text")):
-                    n = len(tokens)
-                    sizes.append(n)
-                    keys.append(_key(tokens))
-                    prefixes.append(ordered(tokens, shared)[: prefix_length(n)] if n else tokens)
-                ends = np.cumsum([0] + [len(p) for p in prefixes]).astype(np.int32)
-                flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("text_hash"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                    names=["doc_id", "text_hash", "key", "n", "prefix"],
-                )
+        for part in slices(batches):
+            keys, sizes, prefixes = [], [], []
+            for tokens in _sets(part.column("text")):
+                n = len(tokens)
+                sizes.append(n)
+                keys.append(_key(tokens))
+                prefixes.append(ordered(tokens, shared)[: prefix_length(n)] if n else tokens)
+            ends = np.cumsum([0] + [len(p) for p in prefixes]).astype(np.int32)
+            flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("text_hash"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                names=["doc_id", "text_hash", "key", "n", "prefix"],
+            )
 
     return run
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start in range(0, batch.num_rows, SLICE):
-            found = list(_sets(batch.column("text").slice(start, SLICE)))
-            ends = np.cumsum([0] + [len(p) for p in found]).astype(np.int32)
-            flat = np.concatenate(found) if found else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_key(s) for s in found], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                names=["key", "tokens"],
-            )
+    for part in slices(batches):
+        found = list(_sets(part.column("text")))
+        ends = np.cumsum([0] + [len(p) for p in found]).astype(np.int32)
+        flat = np.concatenate(found) if found else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([_key(s) for s in found], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+            names=["key", "tokens"],
+        )
 
 
 def _verified(pairs: DataFrame, prefixes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -139,7 +135,7 @@ def ngram_jaccard(documents: DataFrame, text: str = "text", key: str = "doc_id")
     keys, are compared by 64-bit hashes.
     """
     spark = documents.sparkSession
-    docs = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
+    docs = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     counts = docs.select("text").mapInArrow(_counts, "token bigint, n bigint")
     common = spark.sparkContext.broadcast(setjoin.common_tokens(counts))
     rows = stored(docs.mapInArrow(_prefixes(common), "doc_id bigint, text_hash bigint, key bigint, n int, prefix array<bigint>"), "prefixes")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.arrowtext import SPACE, buffers, grams, spans, word_hashes
+from daybook.llm.arrowtext import SPACE, buffers, grams, slices, spans, word_hashes
 
 REPEAT_WINDOW = 8
 MIN_WORDS = 20
@@ -19,7 +19,6 @@ MAX_REPEAT_PERCENT = 30
 SYMBOLS = "#*$%&|<>"
 ROUNDS = 40
 KEEP_FROM = 0.5
-SLICE = 256
 
 FEATURES = (
     "n_words word_chars n_symbols n_lines n_dup_lines n_repeat_words n_adjacent n_distinct n_upper n_letters n_exclaim n_marked"
@@ -97,12 +96,10 @@ def _measure(column: pa.Array) -> list[np.ndarray]:
 def measured(documents: DataFrame, carry: Sequence[str], text: str, into: str) -> DataFrame:
     """The ``carry`` columns and a struct ``into`` of the features."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, SLICE):
-                part = batch.slice(start, SLICE)
-                values = _measure(part.column(part.num_columns - 1))
-                features = pa.StructArray.from_arrays([pa.array(v, pa.int64()) for v in values], names=FEATURES)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], features], names=[*part.schema.names[:-1], into])
+        for part in slices(batches):
+            values = _measure(part.column(part.num_columns - 1))
+            features = pa.StructArray.from_arrays([pa.array(v, pa.int64()) for v in values], names=FEATURES)
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], features], names=[*part.schema.names[:-1], into])
 
     inner = documents.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{text}`").cast("string").alias(into))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema.fields[:-1])

@@ -10,12 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm.arrowtext import slices
+
 #: Vocabulary file of ranks (a byte string in base 64 and its rank a line).
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how that vocabulary's texts are cut into pieces before merging.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 RULES = ("first", "most")
-SLICE = 128
 
 
 def read_ranks(path: str) -> bytes:
@@ -89,8 +90,7 @@ def token_counts(
         for batch in batches:
             if encoding is None:
                 encoding, length = encoder(ranks.value, pieces)
-            for start in range(0, batch.num_rows, SLICE):
-                part = batch.slice(start, SLICE)
+            for part in slices([batch]):
                 rows: list[list[np.ndarray]] = [[] for _ in range(6)]
                 for i, value in enumerate(part.column("text").to_pylist()):
                     data = np.frombuffer((value or "").encode(), dtype=np.uint8)
