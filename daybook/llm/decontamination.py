@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.tables import lower_ascii, split_words, stored
+from daybook.llm.tables import lower_ascii, split_words, stored, whole_row
 
 #: What separates words after A-Z is lower-cased: ASCII other than digits and a-z.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -128,5 +128,6 @@ def without_benchmark(
 ) -> DataFrame:
     """The rows of ``documents``, all columns, in which no window occurs."""
     hits, _ = found_windows(documents, benchmark, text, item, item_text)
-    bad = stored(hits.select(F.col("text_key").alias("bad_key")).distinct(), "contaminated")
-    return documents.join(bad, F.md5(documents[text]) == F.col("bad_key"), "left_anti")
+    bad = stored(hits.select("text_key").distinct(), "contaminated")
+    rows = documents.select(whole_row(documents).alias("row"), F.md5(F.col(f"`{text}`")).alias("text_key"))
+    return rows.join(bad, "text_key", "left_anti").select("row.*")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from daybook.llm import setjoin
 from daybook.llm.arrowtext import buffers, mix, signed, slices, spans, word_hashes
 from daybook.llm.setjoin import prefix_length
-from daybook.llm.tables import filter_slot, member_filter, stored
+from daybook.llm.tables import filter_slot, member_filter, stored, whole_row
 
 _SIGN = np.int64(-(1 << 63))
 
@@ -192,10 +192,13 @@ def repeated_lines(documents: DataFrame, key: str = "doc_id", text: str = "text"
 
 
 def _by_text(documents: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
-    own = found.select(F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_text"), "n_lines", "same", "near")
-    return documents.join(
-        own, documents[key].cast("bigint").eqNullSafe(F.col("found_id")) & (F.xxhash64(documents[text]) == F.col("found_text")), "left"
+    """(row, text, n_lines, same, near) per row of ``documents``."""
+    rows = documents.select(
+        whole_row(documents).alias("row"), F.col(f"`{text}`").alias("text"),
+        F.col(f"`{key}`").cast("bigint").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("text_key"),
     )
+    same_row = rows["doc_id"].eqNullSafe(found["doc_id"]) & (rows["text_key"] == found["text_key"])
+    return rows.join(found, same_row, "left").select("row", "text", rows["doc_id"], "n_lines", "same", "near")
 
 
 def line_report(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -204,7 +207,7 @@ def line_report(documents: DataFrame, key: str = "doc_id", text: str = "text") -
     joined = _by_text(documents.select(key, text), repeated_lines(documents, key, text), key, text)
     same, near = F.coalesce("same", none), F.coalesce("near", none)
     return joined.select(
-        F.col(key).alias("doc_id"), F.coalesce("n_lines", F.lit(0)).cast("bigint").alias("n_lines"), F.size(same).cast("bigint").alias("n_same"),
+        "doc_id", F.coalesce("n_lines", F.lit(0)).cast("bigint").alias("n_lines"), F.size(same).cast("bigint").alias("n_same"),
         F.size(near).cast("bigint").alias("n_near"), F.sort_array(F.concat(same, near)).alias("removed"),
     )
 
@@ -213,8 +216,8 @@ def without_repeated_lines(documents: DataFrame, key: str = "doc_id", text: str
     """``documents`` with the removed lines cut from the text, all columns and rows."""
     joined = _by_text(documents, repeated_lines(documents, key, text), key, text)
     gone: Column = F.concat("same", "near")
-    left = F.array_join(F.filter(F.split(F.col(f"`{text}`"), "\n", -1), lambda _, i: ~F.array_contains(gone, i.cast("bigint"))), "\n")
+    left = F.array_join(F.filter(F.split(F.col("text"), "\n", -1), lambda _, i: ~F.array_contains(gone, i.cast("bigint"))), "\n")
     whole = F.col("same").isNull() | (F.size(gone) == 0)
     return joined.select(*[
-        F.when(whole, F.col(f"`{c}`")).otherwise(left).alias(c) if c == text else F.col(f"`{c}`") for c in documents.columns
+        F.when(whole, F.col("text")).otherwise(left).alias(c) if c == text else F.col(f"row.`{c}`") for c in documents.columns
     ])

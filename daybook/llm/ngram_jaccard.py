@@ -13,7 +13,7 @@ from daybook.llm import setjoin
 from daybook.llm.arrowtext import grams, mix, signed, slices, words_of
 from daybook.llm.graph import components
 from daybook.llm.setjoin import ordered, prefix_length
-from daybook.llm.tables import filter_slot, member_filter, stored
+from daybook.llm.tables import filter_slot, member_filter, stored, whole_row
 
 SHINGLE = 5
 #: Part of the hash range in which the document counts of shingles are taken; the
@@ -189,15 +189,12 @@ def one_per_component(documents: DataFrame, text: str = "text", key: str = "doc_
     again = stored(
         ranked.where("stays and copies > 1").select(F.col("doc_id").alias("again_id"), F.col("text_hash").alias("again_hash")), "again"
     )
-    own = F.col(f"`{key}`").cast("bigint")
-    digest = F.xxhash64(F.col(f"`{text}`"))
-    kept = documents.join(gone, (own == F.col("gone_id")) & (digest == F.col("gone_hash")), "left_anti")
-    if again.limit(1).count() == 0:
-        return kept
-    repeated = (own == F.col("again_id")) & (digest == F.col("again_hash"))
-    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
-    one = (
-        kept.join(again, repeated).groupBy("again_id", "again_hash")
-        .agg(F.min_by(row, F.xxhash64(*[F.col(f"`{c}`") for c in documents.columns])).alias("row")).select("row.*")
+    rows = documents.select(
+        whole_row(documents).alias("row"), F.col(f"`{key}`").cast("bigint").alias("own_id"), F.xxhash64(F.col(f"`{text}`")).alias("own_hash")
     )
-    return kept.join(again, repeated, "left_anti").unionByName(one)
+    kept = rows.join(gone, (F.col("own_id") == F.col("gone_id")) & (F.col("own_hash") == F.col("gone_hash")), "left_anti")
+    if again.limit(1).count():
+        repeated = (F.col("own_id") == F.col("again_id")) & (F.col("own_hash") == F.col("again_hash"))
+        one = kept.join(again, repeated, "left_semi").groupBy("own_id", "own_hash").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+        kept = kept.join(again, repeated, "left_anti").select("row").unionByName(one.select("row"))
+    return kept.select("row.*")

@@ -49,5 +49,10 @@ def member_filter(df: DataFrame, column: str, bits: int = 22) -> np.ndarray:
     return out
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, so that names beside it cannot clash with theirs."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def filter_slot(column: str, bits: int = 22) -> Column:
     return F.xxhash64(column).bitwiseAND((1 << bits) - 1).cast("int")
