@@ -13,9 +13,10 @@ what a block needs from earlier blocks reaches it in one of two ways:
   a running total over those few rows, and an equi join back. The large side is
   already partitioned on (key, block), so the join does not move it again.
 
-The order column is taken to be unique within a series, which also bounds a
-block: ``span_days`` days hold at most that many daily rows. The number of
-summary rows per series is bounded by the time it covers, not by its rows.
+Rows that repeat an order position are kept, ordered by value, everywhere alike.
+What bounds a block is its stretch of time: days for dates, seconds for times, as
+short as the rows of the busiest series ask for. The number of summary rows per
+series is bounded by the time it covers, not by its rows.
 """
 
 from __future__ import annotations
@@ -36,16 +37,22 @@ LEAD_IN = "_lead_in"
 # keep a window's row buffer in its in-memory form.
 DATE_SPAN_DAYS = 3652
 TIMESTAMP_SPAN_DAYS = 30
+DAY_SECONDS = 86_400
 
 
 @dataclass(frozen=True)
 class Series:
-    """Which columns make up the series, and how long one block is."""
+    """Which columns make up the series, and how long one block is.
+
+    ``span_seconds`` goes before ``span_days``; it suits times, whose rows may be many
+    a second. Results do not depend on either.
+    """
 
     keys: tuple[str, ...] = ("asset",)
     order: str = "date"
     value: str = "close"
     span_days: int | None = None
+    span_seconds: int | None = None
 
     @property
     def block_keys(self) -> list[str]:
@@ -75,18 +82,31 @@ def with_block(df: DataFrame, series: Series) -> DataFrame:
     then not share their shuffle. The block is never NULL for the same reason.
     """
     is_date = isinstance(df.schema[series.order].dataType, T.DateType)
-    span = series.span_days or (DATE_SPAN_DAYS if is_date else TIMESTAMP_SPAN_DAYS)
+    days = series.span_days or (DATE_SPAN_DAYS if is_date else TIMESTAMP_SPAN_DAYS)
+    span = series.span_seconds or days * DAY_SECONDS
     placed = reduce(Column.__and__, [F.col(c).isNotNull() for c in (*series.keys, series.order)])
-    day = F.unix_date(F.col(series.order).cast("date"))
-    block = F.floor(day / F.lit(span)).cast("int")
-    return df.where(placed).withColumn(BLOCK, F.coalesce(block, F.lit(0)))
+    block = F.floor(_seconds(df, series.order) / F.lit(span)).cast("long")
+    return df.where(placed).withColumn(BLOCK, F.coalesce(block, F.lit(0).cast("long")))
+
+
+def _seconds(df: DataFrame, order: str) -> Column:
+    """Seconds of the order column, the same in any session time zone."""
+    at, kind = F.col(order), df.schema[order].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.unix_seconds(at)
+    day = F.unix_date(at.cast("date")).cast("long") * DAY_SECONDS
+    if isinstance(kind, T.TimestampNTZType):
+        return day + F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
+    return day
 
 
 def _lead_in_rows(df: DataFrame, series: Series, columns: Sequence[str], n: int) -> DataFrame:
     over_blocks = series.over_blocks()
     if n == 1:
+        # of repeated positions the last is that of the greatest value, as in the window
+        last_row = F.struct(series.order, series.value)
         last = df.groupBy(*series.block_keys).agg(
-            *[F.max_by(c, series.order).alias(c) for c in columns], F.max(series.order).alias(series.order)
+            *[F.max_by(c, last_row).alias(c) for c in columns], F.max(series.order).alias(series.order)
         )
         moved = {c: F.lag(c).over(over_blocks) for c in (*columns, series.order)}
         return last.withColumns(moved).where(F.col(series.order).isNotNull())

@@ -11,35 +11,46 @@ from pyspark.sql import types as T
 
 from daybook.functions.series import annual_growth, latest_present
 from daybook.operators.blocks import BLOCK, Series, with_block
-from daybook.operators.series import PRICE_SERIES, VOLATILITY_ROWS, growth_and_risk
+from daybook.operators.series import PRICE_SERIES, VOLATILITY_ROWS, drawdown_series, growth_and_risk
 
 
 def _annual_growth(series: Series):
     return annual_growth(
-        F.min_by(series.value, series.order),
-        F.max_by(series.value, series.order),
+        F.min_by(series.value, F.struct(series.order, series.value)),
+        F.max_by(series.value, F.struct(series.order, series.value)),
         F.datediff(F.max(series.order), F.min(series.order)),
     )
 
 
 def cagr(prices: DataFrame, series: Series = PRICE_SERIES) -> DataFrame:
-    """Compound annual growth from the first to the last row; no ordering needed."""
-    return prices.groupBy(*series.keys).agg(_annual_growth(series).alias("cagr"))
+    """Compound annual growth from the first to the last row; no ordering needed.
 
+    Rows without key or position are left out, as in every metric.
+    """
+    return prices.dropna(subset=[*series.keys, series.order]).groupBy(*series.keys).agg(_annual_growth(series).alias("cagr"))
 
-def max_drawdown(
-    prices: DataFrame, series: Series = PRICE_SERIES, volatility_rows: int = VOLATILITY_ROWS
-) -> DataFrame:
-    """Lowest point of the cumulative return below its own peak."""
-    rows = growth_and_risk(prices, series, volatility_rows)
-    return rows.groupBy(*series.keys).agg(F.min("growth_drawdown").alias("max_drawdown"))
+
+def max_drawdown(prices: DataFrame, series: Series = PRICE_SERIES) -> DataFrame:
+    """Lowest point of the cumulative return below its own peak.
+
+    Alone it needs one row before each block; see ``portfolio_metrics`` for all
+    metrics from one pass.
+    """
+    rows = drawdown_series(prices, "cum_return", series).withColumnRenamed("drawdown", "growth_drawdown")
+    return lowest_drawdown(rows, series)
 
 
 def mean_volatility(
     prices: DataFrame, series: Series = PRICE_SERIES, volatility_rows: int = VOLATILITY_ROWS
 ) -> DataFrame:
     """Mean of the rolling volatility, rows without one left out."""
-    rows = growth_and_risk(prices, series, volatility_rows)
+    return average_volatility(growth_and_risk(prices, series, volatility_rows), series, volatility_rows)
+
+
+def average_volatility(
+    rows: DataFrame, series: Series = PRICE_SERIES, volatility_rows: int = VOLATILITY_ROWS
+) -> DataFrame:
+    """``mean_volatility`` of rows that ``growth_and_risk`` gave."""
     name = f"volatility_{volatility_rows}d"
     return rows.groupBy(*series.keys).agg(F.avg(name).alias(f"avg_{name}"))
 
@@ -60,6 +71,11 @@ def portfolio_metrics(
     )
 
 
+def lowest_drawdown(rows: DataFrame, series: Series = PRICE_SERIES) -> DataFrame:
+    """``max_drawdown`` of rows that ``growth_and_risk`` gave."""
+    return rows.groupBy(*series.keys).agg(F.min("growth_drawdown").alias("max_drawdown"))
+
+
 def metrics_join_chain(growth: DataFrame, drawdown: DataFrame, risk: DataFrame, key: str = "asset") -> DataFrame:
     """The same table from three separately kept ones, each with one row per key."""
     return growth.join(drawdown, key).join(risk, key)
@@ -97,13 +113,13 @@ def group_metric_apply(
     """
     fields = [prices.schema[k] for k in series.keys]
     keys = T.StructType(fields)
-    block = T.StructField(BLOCK, T.IntegerType())
+    block = T.StructField(BLOCK, T.LongType())
     state_columns = T.StructType.fromDDL(state).fields
     result_columns = T.StructType.fromDDL(result).fields
-    names, order = list(series.keys), series.order
+    names, order, value = list(series.keys), series.order, series.value
 
     def one_block(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        made = partial(rows.sort_values(order, kind="stable"))
+        made = partial(rows.sort_values([order, value], kind="stable", na_position="first"))
         return pd.DataFrame([dict(zip([*names, BLOCK], group, strict=True)) | made])
 
     def one_key(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:

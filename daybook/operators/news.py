@@ -37,13 +37,13 @@ def items_of_events(items: DataFrame, events: DataFrame) -> DataFrame:
     return items.join(days, _day(items) == days["_event_day"], "left_semi")
 
 
-def first_items(items: DataFrame, n: int = ITEMS_PER_EVENT, order: str = "position") -> DataFrame:
+def first_items(items: DataFrame, n: int = ITEMS_PER_EVENT, *order: str) -> DataFrame:
     """The first ``n`` items of each event day in feed order.
 
     The limit is applied before the shuffle too. Filter to event days first: the
     rows are sorted locally for it.
     """
-    in_order = Window.partitionBy("event_date").orderBy(order)
+    in_order = Window.partitionBy("event_date").orderBy(*(order or ["position"]))
     return items.withColumn("_nth", F.row_number().over(in_order)).where(F.col("_nth") <= n).drop("_nth")
 
 

@@ -16,7 +16,7 @@ from daybook.operators import anomalies, metrics, news, profile, ranges, series
 from daybook.operators.blocks import Series
 from daybook.plans import relations as rel
 from daybook.session import shared_path
-from daybook.sinks import export_tables, overwrite_files, write_csv
+from daybook.sinks import export_tables, overwrite_files, overwrite_table, side_by_side, write_csv
 from daybook.sources import feeds, files, sentiment
 from daybook.sources import prices as landed
 
@@ -46,6 +46,14 @@ def src_prices(spark, folder):
     return landed.landed_prices(spark, path)
 
 
+def src_quotes_bad_rows(spark, folder):
+    """Quotes of every 13th of a month are landed with a date of another format."""
+    path = shared_path(spark, "bad-quotes")
+    date = F.when(F.dayofmonth("Date") == 13, F.date_format("Date", "dd/MM/yyyy")).otherwise(F.col("Date").cast("string"))
+    write_csv(rel.quotes(spark, folder).withColumn("Date", date), path, partition_by=["asset"])
+    return landed.malformed_quotes(spark, path).select("asset", "Date")
+
+
 def src_volatility_series(spark, folder):
     path = shared_path(spark, "volatility")
     close = F.col("vix_close")
@@ -108,11 +116,16 @@ def export(spark, folder):
         anomalies.key_events_from(prices, rel.fear_greed(spark, folder), rel.vix(spark, folder)),
     )
     items = news.first_items(news.items_of_events(rel.items(spark, folder), events))
+    kept, table = side_by_side([
+        lambda: stored("key_events_news", items.select("event_date", "position", "title", "pub_date", "source", "link")),
+        lambda: stored("metrics", metrics.portfolio_metrics(prices)),
+    ])
     tables = {
         "prices": prices,
-        "metrics": stored("metrics", metrics.portfolio_metrics(prices)),
+        "metrics": table,
         "key_events": events,
-        "key_events_news": items.select("event_date", "title", "pub_date", "source", "link"),
+        "key_events_news": kept.drop("position"),
+        "key_events_with_news": news.enrich_events(events, kept),
     }
     return export_tables(spark, tables, f"{path}/csv")
 
@@ -215,8 +228,9 @@ def portfolio_metrics(spark, folder):
 
 def metrics_join_chain(spark, folder):
     close = rel.prices(spark, folder)
+    rows = series.growth_and_risk(close)
     out = metrics.metrics_join_chain(
-        metrics.cagr(close), metrics.max_drawdown(close), metrics.mean_volatility(close)
+        metrics.cagr(close), metrics.lowest_drawdown(rows), metrics.average_volatility(rows)
     )
     return _rounded(out, "cagr", "max_drawdown", "avg_volatility_30d")
 
@@ -303,6 +317,22 @@ def key_events(spark, folder):
     return rel.key_events_table(spark, folder)
 
 
+def lag_repeated_positions(spark, folder):
+    """Changes from line to line of a ship date, blocks of a week, dates repeated."""
+    lines = rel.table(spark, folder, "lineitem").select(
+        F.col("l_returnflag").alias("asset"), F.to_date("l_shipdate").alias("date"), F.col("l_extendedprice").alias("close")
+    )
+    return _rounded(series.daily_return(lines, Series(span_days=7)), "daily_return")
+
+
+def event_changes(spark, folder):
+    """Changes between events of a type, blocks of ten minutes."""
+    events = rel.table(spark, folder, "events").select("event_type", "ts", "value")
+    times = Series(keys=("event_type",), order="ts", value="value", span_seconds=600)
+    out = series.daily_return(events, times).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return _rounded(out, "daily_return")
+
+
 def global_lag_bucketed(spark, folder):
     one_series = Series(keys=(), order="date", value="vix_close", span_days=365)
     return anomalies.row_change(rel.vix(spark, folder), one_series, "abs")
@@ -311,6 +341,14 @@ def global_lag_bucketed(spark, folder):
 # Headlines
 
 
+def key_events_table(spark, folder):
+    """The ranked days replaced twice as a catalog table and read by its name."""
+    for _ in range(2):
+        path = shared_path(spark, "key-events-table")
+        overwrite_table(rel.key_events_table(spark, folder), "daybook_key_events", path)
+    return spark.table("daybook_key_events")
+
+
 def news_request_plan(spark, folder):
     return news.news_request_plan(rel.key_events_table(spark, folder))
 
@@ -346,6 +384,7 @@ def profile_shape(spark, folder):
 
 QUERIES: dict[str, Query] = {
     "src_prices": src_prices,
+    "src_quotes_bad_rows": src_quotes_bad_rows,
     "src_volatility_series": src_volatility_series,
     "src_sentiment_payload": src_sentiment_payload,
     "src_feed_items": src_feed_items,
@@ -381,6 +420,9 @@ QUERIES: dict[str, Query] = {
     "daily_score": daily_score,
     "topn_per_group": topn_per_group,
     "key_events": key_events,
+    "key_events_table": key_events_table,
+    "lag_repeated_positions": lag_repeated_positions,
+    "event_changes": event_changes,
     "global_lag_bucketed": global_lag_bucketed,
     "news_request_plan": news_request_plan,
     "key_events_with_news": key_events_with_news,

@@ -83,7 +83,7 @@ PARTS = {
                round(severity_score, 2) AS severity_score, round(total_score, 2) AS total_score
         FROM best""",
     "headlines": """
-        SELECT DATE '1995-01-01' + CAST(doc_id % 365 AS INTEGER) AS day, text AS title, source
+        SELECT DATE '1995-01-01' + CAST(doc_id * 7 % 2400 AS INTEGER) AS day, text AS title, source
         FROM documents
         QUALIFY row_number() OVER (PARTITION BY day ORDER BY doc_id) <= 3""",
     "link": """
@@ -153,6 +153,9 @@ _REQUEST = NEWS_REQUEST.replace("%s", "{}")
 
 ORACLE: dict[str, str] = {
     "src_prices": _sql("SELECT date, close, asset FROM px", "px"),
+    "src_quotes_bad_rows": _sql(
+        """SELECT asset, strftime(date, '%d/%m/%Y') AS "Date" FROM px WHERE day(date) = 13""", "px"
+    ),
     "src_volatility_series": _sql("SELECT date, vix_close FROM implied", "implied"),
     "src_sentiment_payload": _sql(
         """SELECT CAST(date AS TIMESTAMP) AS date, fng_value, CASE WHEN fng_value < 50 THEN 'Fear' ELSE 'Greed' END AS fng_classification
@@ -188,7 +191,8 @@ ORACLE: dict[str, str] = {
            UNION ALL SELECT 'metrics', count(DISTINCT asset), 4 FROM px
            UNION ALL SELECT 'key_events', count(*), 7 FROM events_of_year
            UNION ALL SELECT 'key_events_news', count(*), 5
-                     FROM headlines WHERE day IN (SELECT date FROM events_of_year)""",
+                     FROM headlines WHERE day IN (SELECT date FROM events_of_year)
+           UNION ALL SELECT 'key_events_with_news', count(*), 9 FROM events_of_year""",
         "px",
         "events_of_year",
         "headlines",
@@ -279,6 +283,14 @@ ORACLE: dict[str, str] = {
         "best",
     ),
     "key_events": _sql("SELECT * FROM events_of_year ORDER BY year, rank", "events_of_year"),
+    "key_events_table": _sql("SELECT * FROM events_of_year", "events_of_year"),
+    "lag_repeated_positions": """
+        SELECT asset, date, close, round(close / lag(close) OVER (PARTITION BY asset ORDER BY date, close) - 1, 6) AS daily_return
+        FROM (SELECT l_returnflag AS asset, CAST(l_shipdate AS DATE) AS date, l_extendedprice AS close FROM lineitem)""",
+    "event_changes": """
+        SELECT event_type, ts, value,
+               round(value / nullif(lag(value) OVER (PARTITION BY event_type ORDER BY ts, value), 0) - 1, 6) AS daily_return
+        FROM events""",
     "global_lag_bucketed": _sql(
         """SELECT date, vix_close, abs(vix_close - lag(vix_close) OVER (ORDER BY date)) AS daily_change
            FROM implied""",

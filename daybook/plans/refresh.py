@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daybook.operators.anomalies import key_events_from
 from daybook.operators.metrics import portfolio_metrics
-from daybook.operators.news import enrich_events, items_of_events, news_request_plan
+from daybook.operators.news import ITEMS_PER_EVENT, enrich_events, first_items, items_of_events, news_request_plan
 from daybook.operators.ranges import between_dates, history_window
 from daybook.operators.series import cumulative_return
 from daybook.schemas import FEAR_GREED, KEY_EVENTS, KEY_EVENTS_NEWS, METRICS, PRICES, VIX
-from daybook.sinks import export_tables, overwrite_files, write_csv
+from daybook.sinks import ROWS_PER_FILE, export_tables, overwrite_files, side_by_side, write_csv
 from daybook.sources.feeds import feed_items, landed_feeds
 from daybook.sources.prices import landed_prices, landed_volatility
 from daybook.sources.sentiment import landed_payloads, sentiment_days
@@ -48,12 +48,9 @@ def load_tables(
     metrics = portfolio_metrics(prices.select("asset", "date", "close"))
     sentiment = between_dates(sentiment_days(landed_payloads(spark, payloads)), "date", start, end)
     index = history_window(landed_volatility(spark, volatility), "date", start, end)
-    return {
-        "prices": prices,
-        "metrics": overwrite_files(metrics.to(METRICS), f"{out}/metrics"),
-        "fear_greed": overwrite_files(sentiment.to(FEAR_GREED), f"{out}/fear_greed"),
-        "vix": overwrite_files(index.to(VIX), f"{out}/vix"),
-    }
+    independent = {"metrics": metrics.to(METRICS), "fear_greed": sentiment.to(FEAR_GREED), "vix": index.to(VIX)}
+    written = side_by_side([lambda n=n, df=df: overwrite_files(df, f"{out}/{n}") for n, df in independent.items()])
+    return {"prices": prices} | dict(zip(independent, written, strict=True))
 
 
 def load_events(tables: dict[str, DataFrame], out: str) -> dict[str, DataFrame]:
@@ -65,9 +62,19 @@ def load_events(tables: dict[str, DataFrame], out: str) -> dict[str, DataFrame]:
 
 
 def load_headlines(spark: SparkSession, events: DataFrame, feeds: str, out: str) -> DataFrame:
-    """Headlines of the event days from the feeds landed for the requests."""
-    documents = items_of_events(landed_feeds(spark, feeds), events)
-    return overwrite_files(feed_items(documents).to(KEY_EVENTS_NEWS), f"{out}/key_events_news")
+    """Headlines of the event days from the feeds landed for the requests.
+
+    A day keeps its first three, over all its feeds in the order of their names.
+    """
+    documents = items_of_events(landed_feeds(spark, feeds, with_file=True), events)
+    items = first_items(feed_items(documents), ITEMS_PER_EVENT, "file", "position")
+    return overwrite_files(items.to(KEY_EVENTS_NEWS), f"{out}/key_events_news")
+
+
+def unanswered_requests(spark: SparkSession, requests: DataFrame, feeds: str) -> DataFrame:
+    """Requests for whose day no feed has been landed."""
+    answered = landed_feeds(spark, feeds).select("event_date").distinct()
+    return requests.join(answered, "event_date", "left_anti")
 
 
 def export(spark: SparkSession, tables: dict[str, DataFrame], out: str) -> DataFrame:
@@ -75,37 +82,54 @@ def export(spark: SparkSession, tables: dict[str, DataFrame], out: str) -> DataF
     names = ("prices", "metrics", "key_events", "key_events_news")
     counts = export_tables(spark, {n: tables[n] for n in names}, f"{out}/export")
     merged = enrich_events(tables["key_events"], tables["key_events_news"])
-    write_csv(merged, f"{out}/export/key_events_with_news.csv")
+    write_csv(merged, f"{out}/export/key_events_with_news.csv", rows_per_file=ROWS_PER_FILE)
     return counts
 
 
-def refresh(
-    spark: SparkSession, quotes: str, volatility: str, payloads: str, feeds: str, out: str, **dates: str
+def refresh_events(
+    spark: SparkSession, quotes: str, volatility: str, payloads: str, out: str, **dates: str
 ) -> DataFrame:
+    """First stage: tables and ranked days; returns the search requests to answer."""
     tables = load_tables(spark, quotes, volatility, payloads, out, **dates)
-    tables |= load_events(tables, out)
+    return load_events(tables, out)["news_requests"]
+
+
+def refresh_headlines(spark: SparkSession, feeds: str, out: str) -> DataFrame:
+    """Second stage, after feeds were landed for the requests: headlines and exports.
+
+    Requests without a feed are stored as ``unanswered_requests``.
+    """
+    names = ("prices", "metrics", "key_events", "news_requests")
+    tables = {n: spark.read.parquet(f"{out}/{n}") for n in names}
+    overwrite_files(unanswered_requests(spark, tables["news_requests"], feeds), f"{out}/unanswered_requests")
     tables["key_events_news"] = load_headlines(spark, tables["key_events"], feeds, out)
     return export(spark, tables, out)
 
 
+def refresh(
+    spark: SparkSession, quotes: str, volatility: str, payloads: str, feeds: str, out: str, **dates: str
+) -> DataFrame:
+    """Both stages, where the feeds of all days are landed already."""
+    refresh_events(spark, quotes, volatility, payloads, out, **dates)
+    return refresh_headlines(spark, feeds, out)
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     for name in ("quotes", "volatility", "sentiment", "feeds", "out"):
         parser.add_argument(f"--{name}", required=True)
+    parser.add_argument("--stage", choices=("events", "headlines", "all"), default="all")
     parser.add_argument("--start", default=START_DATE)
     parser.add_argument("--end", default=END_DATE)
     given = parser.parse_args()
     spark = SparkSession.builder.appName("daybook refresh").getOrCreate()
-    refresh(
-        spark,
-        given.quotes,
-        given.volatility,
-        given.sentiment,
-        given.feeds,
-        given.out,
-        start=given.start,
-        end=given.end,
-    ).show(truncate=False)
+    if given.stage != "headlines":
+        requests = refresh_events(
+            spark, given.quotes, given.volatility, given.sentiment, given.out, start=given.start, end=given.end
+        )
+        requests.show(truncate=False)
+    if given.stage != "events":
+        refresh_headlines(spark, given.feeds, given.out).show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -93,18 +93,19 @@ SENTIMENT_PAYLOAD = T.StructType(
 _FEED_ITEMS = T.ArrayType(
     T.StructType(
         [
-            T.StructField("title", T.StringType()),
-            T.StructField("pubDate", T.StringType()),
-            T.StructField("source", T.StringType()),
-            T.StructField("link", T.StringType()),
+            T.StructField("title", T.ArrayType(T.StringType())),
+            T.StructField("pubDate", T.ArrayType(T.StringType())),
+            T.StructField("source", T.ArrayType(T.StringType())),
+            T.StructField("link", T.ArrayType(T.StringType())),
         ]
     )
 )
 
-# News feed: items sit under ``channel``, or directly under the root.
+# News feed: items sit under ``channel`` elements and directly under the root; of a
+# child that is repeated the first counts.
 FEED = T.StructType(
     [
-        T.StructField("channel", T.StructType([T.StructField("item", _FEED_ITEMS)])),
+        T.StructField("channel", T.ArrayType(T.StructType([T.StructField("item", _FEED_ITEMS)]))),
         T.StructField("item", _FEED_ITEMS),
         T.StructField("_malformed", T.StringType()),
     ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -26,7 +28,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 @cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="daybook-")
+    folder = tempfile.mkdtemp(prefix="daybook-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
@@ -40,4 +44,18 @@ def shared_path(spark: SparkSession, label: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = _local_folder()
-    return f"{base.rstrip('/')}/daybook/{label}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    return f"{base.rstrip('/')}/daybook/{application}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Remove what this application wrote below the shared folder.
+
+    For the end of an application on a cluster: results that were not written
+    elsewhere are read from there until then.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/daybook/{spark.sparkContext.applicationId}")
+        path.getFileSystem(conf).delete(path, True)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,18 @@ from pyspark.sql import functions as F
 from daybook.sources.files import CSV_OPTIONS
 
 
+#: Bound on the size of exported files, since those with line breaks in text are not
+#: split when they are read.
+ROWS_PER_FILE = 1_000_000
+AT_ONCE = 4
+
+
+def side_by_side(jobs: Sequence[Callable]) -> list:
+    """The results of independent Spark jobs, some started at a time."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return [done.result() for done in [pool.submit(job) for job in jobs]]
+
+
 def write_csv(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), rows_per_file: int = 0
 ) -> None:
@@ -29,11 +43,32 @@ def write_csv(
 
 
 def overwrite_files(df: DataFrame, path: str) -> DataFrame:
-    """Replace a parquet table kept at a path; returns the written table."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace a parquet table kept at a path; returns the written table.
+
+    The rows are written beside the old table first, so a write that fails leaves
+    the old one as it was, and ``df`` may read from it. Where renaming a folder is
+    not one step, as in object stores, readers should wait for the job's end.
+    """
+    path = path.rstrip("/")
+    fresh = f"{path}-{uuid.uuid4().hex}"
+    df.write.parquet(fresh)
+    _put_in_place(df.sparkSession, fresh, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _put_in_place(spark: SparkSession, fresh: str, path: str) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    new, place, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path, f"{fresh}-old"))
+    files = place.getFileSystem(conf)
+    if files.exists(place) and not files.rename(place, old):
+        raise OSError(f"cannot move {path} aside")
+    if not files.rename(new, place):
+        files.rename(old, place)
+        raise OSError(f"cannot put {fresh} in place of {path}")
+    if files.exists(old):
+        files.delete(old, True)
+
+
 def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Replace a catalog table, at ``path`` if given; returns the written table."""
     writer = df.write.mode("overwrite").format("parquet")
@@ -46,14 +81,18 @@ def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> DataFr
 def export_tables(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str) -> DataFrame:
     """Write every table to ``<folder>/<name>_export.csv``; one row of counts each.
 
+    The tables are written side by side: they do not depend on each other, and a
+    small one would leave a cluster idle while it is written alone.
+
     Rows are counted while they are written, so no table is read a second time.
     The observation sits directly below the write: there a task that is run again
     after an executor loss is counted once.
     """
-    counts = []
-    for name, df in tables.items():
-        written = Observation(f"export {name}")
+    def write(name: str) -> tuple[str, int, int]:
+        df, written = tables[name], Observation(f"export {name}")
         observed = df.observe(written, F.count(F.lit(1)).alias("row_count"))
-        write_csv(observed, f"{folder}/{name}_export.csv")
-        counts.append((name, written.get["row_count"], len(df.columns)))
+        write_csv(observed, f"{folder}/{name}_export.csv", rows_per_file=ROWS_PER_FILE)
+        return name, written.get["row_count"], len(df.columns)
+
+    counts = side_by_side([lambda name=name: write(name) for name in tables])
     return spark.createDataFrame(counts, "table_name string, row_count bigint, column_count int")

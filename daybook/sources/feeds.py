@@ -10,10 +10,14 @@ from daybook.schemas import FEED
 ITEMS_PER_FEED = 3
 
 
-def landed_feeds(spark: SparkSession, path: str) -> DataFrame:
-    """One row per landed file below ``event_date=<day>`` folders, text in ``feed``."""
+def landed_feeds(spark: SparkSession, path: str, with_file: bool = False) -> DataFrame:
+    """One row per landed file below ``event_date=<day>`` folders, text in ``feed``.
+
+    ``with_file`` adds the file's path, which orders the feeds of one day.
+    """
+    file = [F.col("_metadata.file_path").alias("file")] if with_file else []
     return spark.read.text(path, wholetext=True).select(
-        F.col("event_date").cast("string").alias("event_date"), F.col("value").alias("feed")
+        F.col("event_date").cast("string").alias("event_date"), *file, F.col("value").alias("feed")
     )
 
 
@@ -24,10 +28,17 @@ def _parsed(documents: DataFrame, column: str) -> DataFrame:
         "ignoreSurroundingSpaces": "false",
     }
     feed = F.from_xml(F.col(column), FEED.simpleString(), options)
+    none = F.array().cast(FEED["item"].dataType)
+    of_channels = F.flatten(F.transform("_feed.channel", lambda c: F.coalesce(c["item"], none)))
+    found = F.concat(F.coalesce(of_channels, none), F.coalesce("_feed.item", none))
+    leaves = FEED["item"].dataType.elementType.names
+    items = F.transform(found, lambda item: F.struct(*[F.get(item[name], 0).alias(name) for name in leaves]))
+    # items in places that are not looked at make the document one to report
+    lost = F.col(column).rlike(r"<item[\s>/]") & (F.size(found) == 0)
     return documents.withColumn("_feed", feed).select(
         *[c for c in documents.columns if c != column],
-        F.coalesce("_feed.channel.item", "_feed.item").alias("_items"),
-        F.col("_feed._malformed").isNotNull().alias("_is_malformed"),
+        items.alias("_items"),
+        (F.col("_feed._malformed").isNotNull() | lost).alias("_is_malformed"),
     )
 
 
@@ -46,12 +57,12 @@ def _kept(n: int) -> Column:
 def feed_items(documents: DataFrame, n: int = ITEMS_PER_FEED, column: str = "feed") -> DataFrame:
     """Up to ``n`` items per document in document order, ``position`` from 0.
 
-    A malformed document gives no rows (see ``malformed_feeds``) and does not
-    affect the others.
+    The items of all channels come first, then those under the root. A malformed
+    document gives no rows (see ``malformed_feeds``) and does not affect the others.
     """
     parsed = _parsed(documents, column)
     others = [c for c in parsed.columns if not c.startswith("_")]
-    return parsed.select(*others, F.posexplode(_kept(n)).alias("position", "_item")).select(
+    return parsed.where(~F.col("_is_malformed")).select(*others, F.posexplode(_kept(n)).alias("position", "_item")).select(
         *others,
         "position",
         F.col("_item.title").alias("title"),
@@ -62,7 +73,7 @@ def feed_items(documents: DataFrame, n: int = ITEMS_PER_FEED, column: str = "fee
 
 
 def malformed_feeds(documents: DataFrame, column: str = "feed") -> DataFrame:
-    """Documents that could not be parsed."""
+    """Documents that could not be parsed, or whose items are in other places."""
     parsed = _parsed(documents, column)
     others = [c for c in parsed.columns if not c.startswith("_")]
     return parsed.where("_is_malformed").select(*others)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Quotes are doubled, as other CSV readers expect; NULL is written as an empty
@@ -34,3 +37,16 @@ def read_csv(
     if schema is None:
         return spark.read.options(**options).option("inferSchema", True).csv(path)
     return spark.read.options(**options).option("enforceSchema", False).schema(schema).csv(path)
+
+
+def read_csv_by_name(spark: SparkSession, path: str, names: Sequence[str], folders: Sequence[str] = ()) -> DataFrame:
+    """The named columns as text in ``raw_<name>``, wherever the header has them.
+
+    One header holds for all files below ``path``, which Spark checks file by file.
+    A missing column is an error. ``folders`` are partition folders, kept as text.
+    """
+    options = dict(CSV_OPTIONS, nullValue=EMPTY_FIELD, recursiveFileLookup="false")
+    header = [c for c in spark.read.options(**options).csv(path).columns if c not in folders]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, *folders)])
+    rows = spark.read.options(**options).option("enforceSchema", False).schema(schema).csv(path)
+    return rows.select(*[F.col(f"`{n}`").alias(f"raw_{n}") for n in names], *folders)

@@ -2,26 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions.series import missing_as_null
 from daybook.schemas import QUOTES
-from daybook.sources.files import read_csv
+from daybook.sources.files import read_csv_by_name
+
+BAD_QUOTE = "_bad"
 
 
 def landed_quotes(spark: SparkSession, path: str, file_format: str = "csv") -> DataFrame:
     """All assets in one read; the folder name gives the asset column.
 
+    CSV columns are taken by their names in the header. A row whose date or number
+    does not read as one, or that has no date, is an error (see ``malformed_quotes``).
     The asset type is fixed so that a numeric name is not read as a number.
     """
-    schema = T.StructType([*QUOTES.fields, T.StructField("asset", T.StringType())])
+    return _quotes(spark, path, file_format, ["asset"])
+
+
+def _quotes(spark: SparkSession, path: str, file_format: str, folders: list[str]) -> DataFrame:
     if file_format == "csv":
-        return read_csv(spark, path, schema)
+        rows = _checked(spark, path, folders)
+        told = F.concat(F.lit("bad quote: "), F.to_json(F.struct(*rows.drop(BAD_QUOTE, *QUOTES.names).columns)))
+        date = F.when(F.col(BAD_QUOTE), F.raise_error(told).cast("date")).otherwise(F.col("Date"))
+        return rows.select(date.alias("Date"), *QUOTES.names[1:], *folders)
+    schema = T.StructType([*QUOTES.fields, *[T.StructField(f, T.StringType()) for f in folders]])
     return spark.read.format(file_format).schema(schema).load(path)
 
 
+def _checked(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
+    """Typed columns beside the raw ones (``raw_<name>``), and whether a row is bad."""
+    raw = read_csv_by_name(spark, path, QUOTES.names, folders)
+    typed = {f.name: F.expr(f"try_cast(`raw_{f.name}` AS {f.dataType.simpleString()})") for f in QUOTES.fields}
+    lost = [F.col(f"raw_{n}").isNotNull() & ~F.col(f"raw_{n}").isin("nan", "NaN") & c.isNull() for n, c in typed.items()]
+    bad = F.col("raw_Date").isNull() | reduce(Column.__or__, lost)
+    return raw.select("*", *[c.alias(n) for n, c in typed.items()], bad.alias(BAD_QUOTE))
+
+
+def malformed_quotes(spark: SparkSession, path: str) -> DataFrame:
+    """The landed CSV rows that ``landed_quotes`` refuses, as text, with their asset."""
+    rows = _checked(spark, path, ["asset"])
+    return rows.where(BAD_QUOTE).select("asset", *[F.col(f"raw_{n}").alias(n) for n in QUOTES.names])
+
+
 def landed_prices(spark: SparkSession, path: str, file_format: str = "csv") -> DataFrame:
     """Date, close and asset of every landed quote."""
     return landed_quotes(spark, path, file_format).select(
@@ -31,10 +59,6 @@ def landed_prices(spark: SparkSession, path: str, file_format: str = "csv") -> D
 
 def landed_volatility(spark: SparkSession, path: str, file_format: str = "csv") -> DataFrame:
     """Date and close of a volatility index, landed like one asset without a folder."""
-    if file_format == "csv":
-        quotes = read_csv(spark, path, QUOTES)
-    else:
-        quotes = spark.read.format(file_format).schema(QUOTES).load(path)
-    return quotes.select(
+    return _quotes(spark, path, file_format, []).select(
         F.col("Date").alias("date"), missing_as_null(F.col("Close")).alias("vix_close")
     )

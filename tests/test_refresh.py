@@ -87,3 +87,20 @@ def test_history_end_is_excluded_for_prices_and_included_for_sentiment(spark, la
     last = {n: str(tables[n].agg(F.max("date")).head()[0])[:10] for n in ("prices", "vix", "fear_greed")}
     assert last["fear_greed"] == "1996-12-31"
     assert last["prices"] < "1996-12-31" and last["vix"] < "1996-12-31"
+
+
+def test_two_stages_and_two_feeds_of_a_day(spark, small, landed, tmp_path):
+    out, feeds = str(tmp_path / "out"), tmp_path / "feeds"
+    dates = {"start": "1995-01-01", "end": "2002-01-01"}
+    requests = job.refresh_events(spark, f"{landed}/quotes", f"{landed}/volatility", f"{landed}/sentiment", out, **dates)
+    days = [r[0] for r in requests.select("event_date").orderBy("event_date").collect()]
+    folder = feeds / f"event_date={days[0]}"
+    folder.mkdir(parents=True)
+    for name in "ab":
+        items = "".join(f"<item><title>{name}{i}</title><pubDate>p</pubDate></item>" for i in range(2))
+        (folder / f"{name}.xml").write_text(f"<rss><channel>{items}</channel></rss>")
+    job.refresh_headlines(spark, str(feeds), out)
+    news = spark.read.parquet(f"{out}/key_events_news")
+    assert sorted(r["title"] for r in news.collect()) == ["a0", "a1", "b0"]
+    unanswered = spark.read.parquet(f"{out}/unanswered_requests")
+    assert sorted(r["event_date"] for r in unanswered.collect()) == days[1:]

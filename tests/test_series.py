@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators import blocks, metrics, series
 from daybook.operators.blocks import Series
+from daybook.plans import relations as rel
 
 SCHEMA = "asset string, date date, close double"
 
@@ -231,3 +232,35 @@ def test_repeated_days_are_ordered_by_value(spark):
     prices = spark.createDataFrame([("x", _day(d), c) for d, c in closes], SCHEMA).repartition(4)
     out = series.cumulative_return(prices).orderBy("date", "close", "cum_return")
     assert rows(out.select("close", "cum_return")) == [(c, c) for c in (1.0, 2.0, 4.0, 8.0, 16.0, 16.0)]
+
+
+EDGE = [("1970-01-29", 4.0), ("1970-01-30", 9.0), ("1970-01-30", 5.0), ("1970-01-31", 18.0), ("1970-01-31", 3.0), ("1970-03-01", 6.0)]
+
+
+@pytest.mark.parametrize("feature", ["daily_return", "cumulative_return", "drawdown_series"])
+def test_repeated_positions_at_block_edges(spark, feature):
+    results = set()
+    for span in (1, 30, 100_000):
+        for given in (EDGE, EDGE[::-1]):
+            df = spark.createDataFrame(given, "date string, close double").selectExpr("'x' AS asset", "date(date) AS date", "close")
+            out = getattr(series, feature)(df.repartition(3), series=Series(span_days=span))
+            rounded = (tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in out.collect())
+            results.add(tuple(sorted(map(str, rounded))))
+    assert len(results) == 1
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_blocks_of_ten_minutes(spark, kind):
+    df = spark.range(500).selectExpr(
+        "'x' AS asset", f"CAST(timestamp '2024-03-31 00:00:00' + make_dt_interval(0, 0, 0, id * 37) AS {kind}) AS at", "double(1 + id * 7 % 11) AS close"
+    )
+    both = [
+        sorted(map(str, (tuple(r) for r in series.daily_return(df, Series(order="at", span_seconds=s)).collect())))
+        for s in (600, 10_000_000)
+    ]
+    assert both[0] == both[1] and len(both[0]) == 500
+
+
+def test_drawdown_alone_needs_one_row_before_a_block(spark, small):
+    plan = metrics.max_drawdown(rel.prices(spark, small))._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" not in plan

@@ -149,12 +149,67 @@ def test_csv_types_can_be_inferred(spark, tmp_path):
     assert [t for _, t in out.dtypes] == ["date", "int", "double", "string"]
 
 
-def test_csv_with_other_columns_is_refused(spark, tmp_path):
-    folder = tmp_path / "asset=x"
-    folder.mkdir()
-    (folder / "t.csv").write_text("Date,Close\n2020-01-01,1\n")
+def _land(tmp_path, asset, text):
+    folder = tmp_path / f"asset={asset}"
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / "t.csv").write_text(text)
+    return str(tmp_path)
+
+
+def test_quotes_without_a_needed_column_are_refused(spark, tmp_path):
+    path = _land(tmp_path, "x", "Date,Close\n2020-01-01,1\n")
+    with pytest.raises(Exception):
+        prices.landed_prices(spark, path).collect()
+
+
+def test_quote_columns_are_taken_by_name(spark, tmp_path):
+    path = _land(tmp_path, "x", "Close,Date,Adj,High,Low,Open,Volume\n7,2020-01-01,9,2,0.5,1,10\n")
+    assert rows(prices.landed_prices(spark, path)) == [(dt.date(2020, 1, 1), 7.0, "x")]
+
+
+HEAD = "Date,Open,High,Low,Close,Volume\n"
+
+
+@pytest.mark.parametrize("bad", ["02/01/2020,1,1,1,1,1", ",1,1,1,1,1", "2020-01-02,1,1,1,n/a,1"])
+def test_bad_quotes_are_an_error_and_can_be_listed(spark, tmp_path, bad):
+    path = _land(tmp_path, "x", HEAD + "2020-01-01,1,1,1,1,1\n" + bad + "\n2020-01-03,1,1,1,2,1\n")
+    with pytest.raises(Exception, match="bad quote"):
+        prices.landed_prices(spark, path).collect()
+    listed = rows(prices.malformed_quotes(spark, path))
+    assert [tuple(v or "" for v in r[1:]) for r in listed] == [tuple(bad.split(","))]
+
+
+def test_dates_with_a_time_are_read(spark, tmp_path):
+    path = _land(tmp_path, "x", HEAD + "2020-01-01 00:00:00,1,1,1,5,1\n")
+    assert rows(prices.landed_prices(spark, path)) == [(dt.date(2020, 1, 1), 5.0, "x")]
+
+
+@pytest.mark.parametrize("entry", [("5", "Fear", None), (None, "Fear", "1577836800"), ("x", "Fear", "1577836800")])
+def test_sentiment_elements_without_time_or_value_are_an_error(spark, entry):
+    docs = spark.createDataFrame([(_payload(entry),)], "payload string")
+    with pytest.raises(Exception, match="sentiment element"):
+        sentiment.sentiment_days(docs).collect()
+
+
+def test_feed_items_of_several_places(spark):
+    two = "<rss><channel>" + _item("a") + "</channel><channel>" + _item("b") + "</channel></rss>"
+    both = "<rss><channel>" + _item("c") + "</channel>" + _item("d") + "</rss>"
+    twice = _feed("<item><title>first</title><title>second</title><pubDate>p</pubDate></item>")
+    deeper = "<rss><channel><group>" + _item("lost") + "</group></channel></rss>"
+    docs = _documents(spark, two, both, twice, deeper)
+    found = sorted((r[0], r[1], r[2]) for r in rows(feeds.feed_items(docs)))
+    assert found == [("d0", 0, "a"), ("d0", 1, "b"), ("d1", 0, "c"), ("d1", 1, "d"), ("d2", 0, "first")]
+    assert rows(feeds.malformed_feeds(docs)) == [("d3",)]
+
+
+def test_a_failed_overwrite_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite_files(spark.range(5).toDF("n"), path)
     with pytest.raises(Exception):
-        prices.landed_prices(spark, str(tmp_path)).collect()
+        overwrite_files(spark.sql("SELECT raise_error('no') AS n"), path)
+    assert spark.read.parquet(path).count() == 5
+    kept = spark.read.parquet(path).where("n < 2")
+    assert overwrite_files(kept, path).count() == 2
 
 
 def test_overwrite_replaces(spark, tmp_path):
