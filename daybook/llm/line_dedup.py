@@ -147,7 +147,7 @@ def repeated_lines(documents: DataFrame, key: str = "doc_id", text: str = "text"
     Method: words are counted over all lines; sets are ordered by rarity, and joined
     by the words of their prefixes under length and positional bounds; the overlap
     of whole sets decides. Lines with one set are one row of the join. A set is first
-    compared with the earliest of its size that shares a word of its prefix, then
+    compared with the earliest of its size that shares a word of its prefix, and
     with neighbours; only pairs with a set that this leaves in are compared further.
 
     Defined cases: NULL, empty and blank texts have no lines. A NULL key sorts first.
@@ -167,13 +167,9 @@ def repeated_lines(documents: DataFrame, key: str = "doc_id", text: str = "text"
     )
     prefixes = classes.select("key", "n", "prefix")
     shared = setjoin.shared_tokens(classes.select("key", "n", "prefix", "first"), F.col("first.doc_id"), "shared")
-    tested = stored(setjoin.leader_pairs(shared), "pairs")
+    tested = stored(setjoin.first_pairs(shared), "pairs")
     links = stored(_verified(tested, prefixes, docs, classes, common), "links")
     removed = stored(_removed(links, classes), "removed")
-    near = stored(setjoin.probing_pairs(shared, removed, tested, 1), "pairs")
-    tested = tested.unionByName(near)
-    links = links.unionByName(stored(_verified(near, prefixes, docs, classes, common), "links"))
-    removed = stored(_removed(links, classes), "removed")
     apart = setjoin.apart(shared, removed)
     nowhere = removed.where(F.lit(False)).select(F.col("node").alias("key"), F.col("component").alias("home"))
     rest = stored(setjoin.remaining_pairs(apart, nowhere, tested), "pairs")

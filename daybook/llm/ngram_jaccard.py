@@ -144,14 +144,9 @@ def ngram_jaccard(documents: DataFrame, text: str = "text", key: str = "doc_id")
 
     prefixes = known.select("key", "n", "prefix")
     shared = setjoin.shared_tokens(prefixes, F.col("n"), "shared")
-    tested = stored(setjoin.leader_pairs(shared), "pairs")
+    tested = stored(setjoin.first_pairs(shared), "pairs")
     links = stored(_verified(tested, prefixes, docs, classes), "links")
     groups = components(links)
-    near = stored(setjoin.probing_pairs(shared, groups, tested, 1), "pairs")
-    tested = tested.unionByName(near)
-    links = links.unionByName(stored(_verified(near, prefixes, docs, classes), "links"))
-    groups = components(links)
-
     apart = setjoin.apart(shared, groups)
     at_home = setjoin.homes(apart)
     within = setjoin.product_links(at_home, _sets_of(at_home.select("key"), docs, classes))

@@ -6,8 +6,8 @@ whatever the order is; the order only decides how few pairs share one.
 
 Groups of near copies share most prefix tokens. Emitting all their pairs would grow
 with the square of the group, so a token's sets are first joined with one leader
-each, then with a few neighbours each, and only sets that this leaves in different
-groups are paired one by one.
+each and, if they are many, with a few neighbours each. Only sets that this leaves in
+different groups are paired one by one.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ COMMON_FROM = 12
 #: As many common tokens are told to all tasks at most (16 bytes each); the others
 #: of them stay where their hash puts them. Results do not depend on it.
 MAX_COMMON = 500_000
+#: A token in this many sets or more has its sets meet neighbours (see there).
+NEIGHBOURS_FROM = 32
 #: A token in this many sets or more makes its largest group a home (see ``homes``).
 HOME_FROM = 64
 #: A block of a product has at most so many tokens and rows (about 8 bytes a token,
@@ -173,12 +175,12 @@ def _pair(a: str, b: str) -> list[Column]:
 
 
 def leader_pairs(shared: DataFrame) -> DataFrame:
-    """Distinct (a, b) of the sets that were given a leader and meet the bounds."""
+    """(a, b) of the sets that were given a leader and meet the bounds."""
     def of(name: str) -> DataFrame:
         ok = may_match(F.col("n"), F.col("pos"), F.col(f"{name}_n"), F.col(f"{name}_pos"))
         return shared.where(F.col(name).isNotNull() & ok).select(*_pair(name, "key"))
 
-    return of("lead").unionByName(of("other")).where("a <> b").distinct()
+    return of("lead").unionByName(of("other"))
 
 
 def bounded_pairs(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
@@ -215,21 +217,25 @@ def apart(shared: DataFrame, groups: DataFrame) -> DataFrame:
     return stored(rows.join(main, "token"), "apart")
 
 
-def probing_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame, turn: int) -> DataFrame:
-    """Distinct untested (a, b) of sets in different groups that happen to be neighbours.
+def neighbour_pairs(shared: DataFrame) -> DataFrame:
+    """(a, b) of sets that happen to be neighbours in a token that many sets have.
 
-    Each token's sets are put in an order of their own by a hash, and each set meets
-    the next two. A set gets a few partners per shared token, so the pairs grow with
-    the shared tokens, not with the square of a group, and a group whose members are
-    mostly within reach of each other becomes one.
+    The sets of such a token are put in an order of its own by a hash, and each meets
+    the next two. A set gets two partners per token, so the pairs grow with the shared
+    tokens, not with the square of a group, and a group whose members are mostly within
+    reach of each other becomes one.
     """
-    w = Window.partitionBy("token").orderBy(F.xxhash64("token", "key", F.lit(turn)), "key")
-    me = F.struct("key", "n", "pos", "component")
-    near = apart(shared, groups).select(me.alias("x"), F.array(F.lead(me, 1).over(w), F.lead(me, 2).over(w)).alias("next"))
-    met = near.select("x", F.explode("next").alias("y")).where(
-        "y is not null and x.component <> y.component"
-    ).where(may_match(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos")))
-    return met.select(*_pair("x.key", "y.key")).distinct().join(tested, ["a", "b"], "left_anti")
+    large = shared.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where(F.col("sets") >= NEIGHBOURS_FROM).select("token")
+    w = Window.partitionBy("token").orderBy(F.xxhash64("token", "key"), "key")
+    me = F.struct("key", "n", "pos")
+    near = shared.join(large, "token").select(me.alias("x"), F.array(F.lead(me, 1).over(w), F.lead(me, 2).over(w)).alias("next"))
+    met = near.select("x", F.explode("next").alias("y")).where("y is not null")
+    return met.where(may_match(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"))).select(*_pair("x.key", "y.key"))
+
+
+def first_pairs(shared: DataFrame) -> DataFrame:
+    """Distinct (a, b) that are tried before all others: with leaders and neighbours."""
+    return leader_pairs(shared).unionByName(neighbour_pairs(shared)).where("a <> b").distinct()
 
 
 def homes(apart: DataFrame) -> DataFrame:
