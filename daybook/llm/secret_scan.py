@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,20 +14,16 @@ PATTERNS = (
     ("access", r"(AKIA[A-Z0-9]+)", 1, 20),
     ("hex", r"([0-9a-f]+)", 1, 24),
 )
-#: A text without any of these has no match that is long enough.
-MAY_MATCH = {
-    "assign": r"(?i:passw|secret|token|api_?key)",
-    "access": r"AKIA[A-Z0-9]{16}",
-    "hex": r"[0-9a-f]{24}",
-}
+#: A text without any of these, lower-cased, has no match of ``assign``.
+ASSIGN_PARTS = ("passw", "secret", "token", "api")
 WINDOW = 20
 #: Character classes of candidate strings, and bits a character from which on a window counts.
 CLASSES = (
-    ("entropy_hex", r"([0-9A-Fa-f]{20,})", 3.0),
-    ("entropy_base64", r"([A-Za-z0-9+/_=-]{20,})", 3.9),
+    ("entropy_hex", r"(?<![0-9A-Fa-f])(?=[A-Fa-f]*[0-9])([0-9A-Fa-f]{20,})", 3.0),
+    ("entropy_base64", r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])([A-Za-z0-9+/_=-]{20,})", 3.9),
 )
-#: Candidates that are no secrets: without a digit, without a letter, UUIDs, and runs
-#: of the alphabet or of digits.
+#: Candidates that are no secrets: without a digit (their patterns see to that at the
+#: start of a run), without a letter, UUIDs, and runs of the alphabet or of digits.
 ALLOWED = (
     r"^[^0-9]*$",
     r"^[0-9+/_=-]*$",
@@ -67,7 +64,17 @@ def _base_spans(text: Column, rank: int) -> Column:
     spans = F.transform(
         long_enough, lambda m: F.struct(m["start"].alias("start"), F.lit(rank).alias("rank"), m["stop"].alias("stop"), F.lit(kind).alias("kind"))
     )
-    return F.when(text.rlike(MAY_MATCH[kind]), spans).otherwise(_none())
+    return F.when(_may_match(text, kind), spans).otherwise(_none())
+
+
+def _may_match(text: Column, kind: str) -> Column:
+    """A quick look that is true for every text with a match that is long enough."""
+    if kind == "assign":
+        low = F.lower(text)
+        return reduce(Column.__or__, [low.contains(part) for part in ASSIGN_PARTS])
+    if kind == "access":
+        return text.contains("AKIA")
+    return text.rlike(r"(?<![0-9a-f])[0-9a-f]{24}")
 
 
 def _high_entropy(candidate: Column, bits: float) -> Column:
