@@ -165,9 +165,13 @@ def shared_tokens(prefixes: DataFrame, place: Column, label: str) -> DataFrame:
 
 
 def may_match(n1: Column, pos1: Column, n2: Column, pos2: Column) -> Column:
-    """Length and positional bounds of a pair that shares the token at these positions."""
-    most = F.least(pos1, pos2) + 1 + F.least(n1 - pos1 - 1, n2 - pos2 - 1)
-    return (5 * F.least(n1, n2) >= 4 * F.greatest(n1, n2)) & (9 * most >= 4 * (n1 + n2))
+    """Length and positional bounds of a pair for the first token it shares.
+
+    All of the needed overlap, 4/9 of both sizes, then lies at these positions or
+    after them. A pair that is similar passes at its first shared token; whether it
+    also does at later ones does not matter.
+    """
+    return (9 * (n1 - pos1) >= 4 * (n1 + n2)) & (9 * (n2 - pos2) >= 4 * (n1 + n2)) & (5 * F.least(n1, n2) >= 4 * F.greatest(n1, n2))
 
 
 def _pair(a: str, b: str) -> list[Column]:
@@ -316,9 +320,7 @@ def remaining_pairs(apart: DataFrame, at_home: DataFrame, tested: DataFrame) ->
 
     A token all of whose sets are in one group gave no rows in ``apart``; else the
     sets outside its largest group are joined with all of its sets, so the largest
-    group is never paired with itself. The overlap within the prefixes is accumulated
-    per pair, and pairs that cannot reach the bound with all the rest of a set are
-    discarded.
+    group is never paired with itself.
     """
     apart = apart.join(at_home.select("key", "home"), "key", "left")
     columns = ("key", "n", "pos", "component", "main", "home")
@@ -330,9 +332,4 @@ def remaining_pairs(apart: DataFrame, at_home: DataFrame, tested: DataFrame) ->
         & (F.col("x_home").isNull() | F.col("y_home").isNull() | (F.col("x_home") != F.col("y_home")))
         & may_match(F.col("x_n"), F.col("x_pos"), F.col("y_n"), F.col("y_pos"))
     )
-    pairs = (
-        met.select(*_pair("x_key", "y_key"), "x_n", "y_n").groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("overlap"), F.max("x_n").alias("n1"), F.max("y_n").alias("n2"))
-    )
-    reach = pairs.where(_can_reach(F.col("overlap"), F.col("n1"), F.col("n2"))).select("a", "b")
-    return reach.join(tested, ["a", "b"], "left_anti")
+    return met.select(*_pair("x_key", "y_key")).distinct().join(tested, ["a", "b"], "left_anti")
