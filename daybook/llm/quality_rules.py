@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -133,20 +134,17 @@ RULES = (
 )
 
 
-def _vote(rule: Rule, features: str) -> Column:
+def _by_vote(rule: Rule, features: str, bad: float, abstains: float, good: float) -> Column:
+    """The value that goes with the rule's vote."""
     part, whole = F.col(f"`{features}`.{rule.part}"), F.col(f"`{features}`.{rule.whole}")
     share = part.cast("double") / whole.cast("double")
-    return (
-        F.when(whole == 0, 0).when(share.between(*rule.good), 1).when(share.between(*rule.fair), 0).otherwise(-1).cast("int")
-    )
+    return F.when(whole == 0, abstains).when(share.between(*rule.good), good).when(share.between(*rule.fair), abstains).otherwise(bad)
 
 
 def _pattern(features: str) -> Column:
     """All votes as one number in base three, the first rule in the last digit."""
-    code = F.lit(0)
-    for i, rule in enumerate(RULES):
-        code = code + (_vote(rule, features) + 1) * 3**i
-    return code
+    digits = [_by_vote(rule, features, 0, 3**i, 2 * 3**i) for i, rule in enumerate(RULES)]
+    return reduce(Column.__add__, digits)
 
 
 @dataclass(frozen=True)
@@ -156,12 +154,9 @@ class VoteModel:
     bias: float
     weights: tuple[tuple[float, float, float], ...]
 
-    def probability(self, pattern: Column) -> Column:
-        odds = F.lit(self.bias)
-        for i, weights in enumerate(self.weights):
-            digit = F.pmod(F.floor(pattern / 3**i), F.lit(3))
-            odds = odds + F.when(digit == 0, weights[0]).when(digit == 1, weights[1]).otherwise(weights[2])
-        return 1 / (1 + F.exp(-odds))
+    def probability(self, features: str) -> Column:
+        votes = [_by_vote(rule, features, *weights) for rule, weights in zip(RULES, self.weights, strict=True)]
+        return 1 / (1 + F.exp(-reduce(Column.__add__, votes, F.lit(self.bias))))
 
 
 def fit(votes: np.ndarray, count: np.ndarray, rounds: int = ROUNDS) -> VoteModel:
@@ -235,7 +230,7 @@ def quality_rules(documents: DataFrame, text: str = "text", carry: Sequence[str]
     model = learned(measured(documents, (), text, into).select(_pattern(into).alias("pattern")))
     words, repeat = F.col(f"`{into}`.n_words"), F.col(f"`{into}`.n_repeat_words")
     failed = (words < MIN_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * words)
-    probability = model.probability(_pattern(into))
+    probability = model.probability(into)
     return rows.select(
         *[F.col(f"`{c}`") for c in carry],
         F.struct(
