@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.tables import stored
+from daybook.llm.tables import commonest, stored
 
 #: Tokens in this many sets or more are put last in the order, the commonest at the end.
 COMMON_FROM = 12
@@ -43,12 +43,14 @@ def prefix_length(n: np.ndarray | int):
 
 def common_tokens(counts: DataFrame, at_least: int = COMMON_FROM, most: int = MAX_COMMON) -> tuple[np.ndarray, np.ndarray]:
     """(sorted tokens, rank of each by count) of the commonest of ``counts(token, n)``."""
-    total = counts.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= at_least)
-    top = total.orderBy(F.desc("n"), "token").limit(most).toArrow()
-    tokens = top.column("token").to_numpy().astype(np.int64)
-    rank = np.arange(len(tokens), 0, -1)  # rarest of them first in the order
+    total = stored(counts.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= at_least), "common")
+    top = commonest(total, most).toArrow()
+    tokens, n = top.column("token").to_numpy().astype(np.int64), top.column("n").to_numpy()
     order = np.argsort(tokens)
-    return tokens[order], rank[order]
+    tokens, n = tokens[order], n[order]
+    rank = np.empty(len(tokens), dtype=np.int64)
+    rank[np.lexsort((tokens, n))] = np.arange(1, len(tokens) + 1)  # rarest of them first
+    return tokens, rank
 
 
 def ordered(tokens: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:

@@ -49,6 +49,24 @@ def member_filter(df: DataFrame, column: str, bits: int = 22) -> np.ndarray:
     return out
 
 
+def commonest(counts: DataFrame, most: int) -> DataFrame:
+    """The rows of ``counts(.., n)`` of the greatest ``n``, ``most`` at most.
+
+    The least ``n`` comes from a histogram of eight classes per power of two (some
+    500 rows), so that no task has to merge the leading rows of all others. Rows of
+    one class come all or none.
+    """
+    level = F.floor(F.log2(F.col("n").cast("double")) * 8).cast("int")
+    found = counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    least, total = None, 0
+    for row in sorted(found, key=lambda r: -r["level"]):
+        total += row["rows"]
+        if total > most:
+            break
+        least = row["level"]
+    return counts.where(level >= least if least is not None else F.lit(False))
+
+
 def whole_row(df: DataFrame) -> Column:
     """All columns as one struct, so that names beside it cannot clash with theirs."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
