@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,10 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how that vocabulary's texts are cut into pieces before merging.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 RULES = ("first", "most")
+#: White space runs of so many characters are cut off before the pattern sees them: it
+#: steps back through a run, and a million steps end the process.
+LONG_RUN = 10_000
+_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
 
 
 def read_ranks(path: str) -> bytes:
@@ -35,6 +40,21 @@ def encoder(ranks: bytes, pieces: str):
     return tiktoken.Encoding("ranks", pat_str=pieces, mergeable_ranks=table, special_tokens={}), length
 
 
+def encode(encoding, value: str, pieces: str = PIECES) -> list[int]:
+    """The tokens of a text, its long white space runs given as the pieces they are.
+
+    A run's piece is the run without its last character, or all of it at the text's
+    end. Other patterns than PIECES may cut runs elsewhere; their texts go in whole.
+    """
+    tokens, at = [], 0
+    for run in _RUN.finditer(value) if pieces == PIECES else ():
+        end = run.end() if run.end() == len(value) else run.end() - 1
+        tokens += encoding.encode_ordinary(value[at : run.start()])
+        tokens += encoding._encode_single_piece(value[run.start() : end])
+        at = end
+    return tokens + encoding.encode_ordinary(value[at:])
+
+
 def sections(data: np.ndarray, separator: int = 10) -> np.ndarray:
     """Byte bounds of the sections of a text: each ends after its separator."""
     cuts = np.flatnonzero(data == separator) + 1
@@ -70,7 +90,7 @@ def token_counts(
     """(doc_id, section, start, stop, n_tokens, n_crossing) per section of each row.
 
     A section is a line with its line break; places are code points, stop exclusive.
-    Each text is encoded once and as a whole; a token stands for known bytes, so its
+    Each text is encoded once, with the tokens it has as a whole; a token stands for known bytes, so its
     span follows from the lengths. A token that crosses a bound counts wholly for the
     section of its first byte (``first``) or of most of its bytes (``most``; of equal
     parts the first), and in that section's ``n_crossing``. So sections add up to the
@@ -94,7 +114,7 @@ def token_counts(
                 rows: list[list[np.ndarray]] = [[] for _ in range(6)]
                 for i, value in enumerate(part.column("text").to_pylist()):
                     data = np.frombuffer((value or "").encode(), dtype=np.uint8)
-                    tokens = np.array(encoding.encode_ordinary(value), dtype=np.int64) if value else np.zeros(0, dtype=np.int64)
+                    tokens = np.array(encode(encoding, value, pieces), dtype=np.int64) if value else np.zeros(0, dtype=np.int64)
                     bounds = sections(data)
                     counts, crossing = attribute(np.cumsum(length[tokens]), bounds, rule)
                     chars = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[bounds]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import brute
 import numpy as np
@@ -139,6 +140,26 @@ def test_sections_add_up_to_whole_documents(documents, rule):
         assert [r["section"] for r in own] == list(range(len(own)))
 
 
+def test_long_white_space_is_cut_where_the_pattern_cuts(monkeypatch):
+    encoding, _ = token_counts.encoder(token_counts.read_ranks(token_counts.VOCABULARY), token_counts.PIECES)
+    monkeypatch.setattr(token_counts, "_RUN", re.compile(token_counts._RUN.pattern.replace("{10000,}", "{3,}")))
+    rng = random.Random(4)
+    spaces = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u200a\u2028\u2029\u202f\u205f\u3000"
+    for _ in range(3000):
+        text = "".join(rng.choice(["   ", "\n\n\n", " ", rng.choice(spaces), "ab", "7", ".", "'s", "\x1c", "\u200b", "é"]) for _ in range(12))
+        assert token_counts.encode(encoding, text) == encoding.encode_ordinary(text)
+
+
+def test_a_text_of_two_million_spaces_is_counted(documents):
+    texts = ["a" + " " * 2_000_000 + "b", "\n" * 1_000_001, "x " * 3 + "y" * 2_000_000]
+    out = token_counts.token_counts(documents(*enumerate(texts))).groupBy("doc_id").agg({"n_tokens": "sum", "stop": "max"}).collect()
+    encoding, length = token_counts.encoder(token_counts.read_ranks(token_counts.VOCABULARY), token_counts.PIECES)
+    for r in out:
+        tokens = token_counts.encode(encoding, texts[r["doc_id"]])
+        assert encoding.decode(tokens) == texts[r["doc_id"]] and r["sum(n_tokens)"] == len(tokens) and r["max(stop)"] == len(texts[r["doc_id"]])
+    assert len(out) == 3
+
+
 def test_crossing_tokens_follow_the_rule():
     stops, bounds = np.array([2, 7, 9]), np.array([0, 3, 4, 9])
     first, crossing = token_counts.attribute(stops, bounds, "first")
