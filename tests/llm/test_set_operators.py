@@ -284,3 +284,19 @@ def test_shards_fit_their_limit(documents, spark):
     for p in parents:
         assert sum(t for k, t in total.items() if k.startswith(p)) > 5000
     assert sharding.sharded(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
+
+
+def test_rows_of_one_key_are_split_until_they_fit(documents):
+    data = [(None, f"{i:03d}" + "n" * 97) for i in range(60)] + [(7, "c" * 400)] * 3 + [(8, "d" * 700), (8, "e" * 1500)]
+    data += [(9, f"{i % 5}" * 100) for i in range(40)] + [(100 + i, "x" * 50) for i in range(50)]
+    found = sharding.sharded(documents(*data, extra="key_bits number bits"), limit=1000).collect()
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in found))) == sorted(map(str, data))
+    shards = {}
+    for r in found:
+        shards.setdefault(r["shard"]["id"], []).append(r)
+    for name, members in shards.items():
+        size = sum(len(r["text"]) for r in members)
+        assert all((r["shard"]["shard_bytes"], r["shard"]["shard_rows"], r["shard"]["depth"]) == (size, len(members), len(name)) for r in members)
+        assert size <= 1000 or len(members) == 1
+    names = sorted(shards)
+    assert not any(b.startswith(a) for a, b in zip(names, names[1:]))
