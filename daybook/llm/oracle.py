@@ -132,6 +132,38 @@ LINE_DEDUP = f"""
     FROM documents LEFT JOIN report USING (doc_id)"""
 
 
+SOURCE_DIVERGENCE = f"""
+    WITH doc AS (
+        SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS id,
+               regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+        FROM documents),
+    word AS (SELECT lang, source, id, unnest(w) AS term FROM doc),
+    kept AS (SELECT lang, term, count(*) AS total FROM word GROUP BY 1, 2 HAVING count(DISTINCT id) >= 3),
+    counted AS (SELECT lang, source, term, count(*) AS n FROM word JOIN kept USING (lang, term) GROUP BY ALL),
+    grp AS (SELECT DISTINCT lang, source FROM doc),
+    of_lang AS (SELECT lang, count(*) AS v, sum(total)::BIGINT AS n FROM kept GROUP BY lang),
+    of_group AS (SELECT lang, source, sum(n)::BIGINT AS n FROM counted GROUP BY 1, 2),
+    total AS (
+        SELECT lang, source, coalesce(g.n, 0) + coalesce(l.v, 0) AS own, coalesce(l.n, 0) + coalesce(l.v, 0) AS whole
+        FROM grp LEFT JOIN of_lang l USING (lang) LEFT JOIN of_group g USING (lang, source)),
+    share AS (
+        SELECT lang, source, term, coalesce(c.n, 0) AS n, 1 + 1000000000 * (coalesce(c.n, 0) + 1) // own AS p,
+               1 + 1000000000 * (k.total + 1) // whole AS q
+        FROM total JOIN kept k USING (lang) LEFT JOIN counted c USING (lang, source, term)),
+    summed AS (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::BIGINT AS value
+        FROM share a JOIN share b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+    valued AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+        FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM share WHERE n > 0 AND p > q),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM valued)
+    SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
+
 ORACLE = {
     "op3_ngram_jaccard": f"WITH RECURSIVE {jaccard_components()} SELECT doc_id, n_shingles, component_id FROM component",
     "op4_decontamination": f"WITH {contamination()} SELECT *, n_hit > 0 AS contaminated FROM contaminated",
@@ -142,4 +174,5 @@ ORACLE = {
                bytes, shard_bytes, shard_rows
         FROM cut WHERE nth = 1""",
     "op10_line_dedup": LINE_DEDUP,
+    "op13_source_divergence": SOURCE_DIVERGENCE,
 }

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm.decontamination import contamination
+from daybook.llm.divergence import source_divergence
 from daybook.llm.license_scan import license_notices
 from daybook.llm.line_dedup import line_report
 from daybook.llm.lm_brown import brown_scores
 from daybook.llm.mixing import mixture
 from daybook.llm.ngram_jaccard import ngram_jaccard
+from daybook.llm.pieces import piece_spans
 from daybook.llm.quality_rules import quality_rules
 from daybook.llm.secret_scan import PATTERNS, secret_spans, span_names
 from daybook.llm.sharding import sharded
@@ -74,6 +76,18 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"))
 
 
+def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = piece_spans(table(spark, folder, "documents"))
+    decimals = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    return encoded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(decimals, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
@@ -85,4 +99,6 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_sharding": op9_sharding,
     "op10_line_dedup": op10_line_dedup,
+    "op12_sentencepiece": op12_sentencepiece,
+    "op13_source_divergence": op13_source_divergence,
 }
