@@ -132,6 +132,40 @@ LINE_DEDUP = f"""
     FROM documents LEFT JOIN report USING (doc_id)"""
 
 
+#: A checksum as a list of steps: a byte is mixed in, then -1 shifts by one bit.
+CRC32 = """xor(4294967295, list_reduce(
+        list_concat([4294967295::BIGINT], flatten(list_transform(string_split({0}, ''), lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda crc, step: CASE WHEN step >= 0 THEN xor(crc, step) WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END))"""
+
+PREFIX_TRIE = f"""
+    WITH turn_of AS (
+        SELECT conv_id, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+        FROM conversations WHERE conv_id IS NOT NULL),
+    conv AS (
+        SELECT conv_id, conv_id - conv_id % 100 AS head, {CRC32.format("conv_id::VARCHAR")} % 6 AS h
+        FROM (SELECT DISTINCT conv_id FROM turn_of)),
+    piece AS (
+        SELECT c.conv_id, 0 AS own, i, t FROM conv c JOIN turn_of x ON x.conv_id = c.head AND i <= h
+        UNION ALL SELECT c.conv_id, 1, i, t FROM conv c JOIN turn_of x ON x.conv_id = c.conv_id AND i > h),
+    rebuilt AS (
+        SELECT conv_id, coalesce(list(t ORDER BY own, i) FILTER (t IS NOT NULL), []) AS turns
+        FROM conv LEFT JOIN piece USING (conv_id) GROUP BY conv_id),
+    prefix AS (SELECT conv_id, len(turns) AS size, turns, unnest(range(len(turns) + 1)) AS d FROM rebuilt),
+    node AS (
+        SELECT d, turns[1:d] AS p, min(conv_id) AS conv_id, count(*) AS n, count(*) FILTER (size = d) AS n_ends,
+               sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = d), '')) AS ends_sha256
+        FROM prefix GROUP BY ALL),
+    child AS (SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+    judged AS (
+        SELECT x.*, coalesce(c.n, 0) AS n_children, CASE WHEN d = 0 THEN 0 ELSE (x.n - 1) * length(p[d].text) END AS saved
+        FROM node x LEFT JOIN child c USING (d, p)),
+    above AS (SELECT unnest(range(d + 1)) AS a, p, n_children, saved FROM judged),
+    total AS (
+        SELECT a AS d, p[1:a] AS p, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM above GROUP BY ALL)
+    SELECT x.conv_id, x.d AS depth, y.conv_id AS parent_conv_id, x.n AS n_convs, x.n_children, n_leaves, saved_tokens, x.ends_sha256
+    FROM judged x JOIN total USING (d, p) LEFT JOIN node y ON y.d = x.d - 1 AND y.p = x.p[1:x.d - 1]"""
+
 SOURCE_DIVERGENCE = f"""
     WITH doc AS (
         SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS id,
@@ -174,5 +208,6 @@ ORACLE = {
                bytes, shard_bytes, shard_rows
         FROM cut WHERE nth = 1""",
     "op10_line_dedup": LINE_DEDUP,
+    "op11_prefix_trie": PREFIX_TRIE,
     "op13_source_divergence": SOURCE_DIVERGENCE,
 }

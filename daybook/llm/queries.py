@@ -13,6 +13,7 @@ from daybook.llm.lm_brown import brown_scores
 from daybook.llm.mixing import mixture
 from daybook.llm.ngram_jaccard import ngram_jaccard
 from daybook.llm.pieces import piece_spans
+from daybook.llm.prefix_trie import prefix_trie
 from daybook.llm.quality_rules import quality_rules
 from daybook.llm.secret_scan import PATTERNS, secret_spans, span_names
 from daybook.llm.sharding import sharded
@@ -76,6 +77,10 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(table(spark, folder, "conversations"))
+
+
 def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     encoded = piece_spans(table(spark, folder, "documents"))
     decimals = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
@@ -99,6 +104,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_sharding": op9_sharding,
     "op10_line_dedup": op10_line_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_sentencepiece": op12_sentencepiece,
     "op13_source_divergence": op13_source_divergence,
 }

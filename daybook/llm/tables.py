@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +19,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
     """The frame written to the shared folder and read again: lineage is cut there,
-    and the rows outlive the executors that computed them."""
+    and the rows outlive the executors that computed them. Each value of the columns
+    ``by`` has a folder of its own, so that filters on them read nothing else."""
     path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -15,11 +15,12 @@ CONTRACT = {
     "op5_lm_brown": "doc_id held_out n_tokens n_known train_tokens base_score score",
     "op6_secret_scan": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op7_mixing": "doc_id size source_size target taken",
+    "op12_sentencepiece": "doc_id n_tokens ids_sha256 decoded_sha256",
 }
 
 
 def test_one_query_for_each_number():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
