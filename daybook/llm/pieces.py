@@ -22,7 +22,7 @@ MODEL = "piece_bpe_32k.model"
 #: Fixed value: the sign that stands for a space in pieces, in UTF-8.
 MARK = "▁".encode()
 #: Bytes of text that are normalised and encoded together, or one text.
-TOGETHER = 8 << 20
+TOGETHER = 2 << 20
 _SPACE = 0x20
 _BYTE_PIECE, _USER_PIECE, _BPE = 6, 4, 2
 
@@ -258,8 +258,8 @@ def piece_spans(documents: DataFrame, key: str = "doc_id", text: str = "text", m
             encoder = encoder or Encoder(model_file.value)
             ids, starts, stops, first = encode_batch(encoder, part.column(1))
             decoded = [encoder.whole.decode(ids[a:b].tolist()) for a, b in zip(first[:-1], first[1:], strict=True)]
-            lists = [pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(v, t)) for v, t in ((ids, pa.int32()), (starts, pa.int64()), (stops, pa.int64()))]
+            lists = [pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(v, t)) for v, t in ((ids, pa.int32()), (starts, pa.int32()), (stops, pa.int32()))]
             yield pa.RecordBatch.from_arrays([part.column(0), *lists, pa.array(decoded, pa.string())], names=["doc_id", "ids", "starts", "stops", "decoded"])
 
     rows = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, ids array<int>, starts array<bigint>, stops array<bigint>, decoded string")
+    return rows.mapInArrow(run, "doc_id bigint, ids array<int>, starts array<int>, stops array<int>, decoded string")
