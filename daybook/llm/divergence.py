@@ -19,10 +19,13 @@ from pyspark.sql import functions as F
 
 from daybook.llm.arrowtext import buffers, slices, spans
 from daybook.llm.tables import stored
+from daybook.operators.cuts import sampled_cuts
 
 MIN_DOCUMENTS = 3
 TOP_TERMS = 200
 SCALE = 1_000_000_000
+#: Distinct lists of counts in a range of the reordered vocabulary.
+RANGE_WORDS = 100_000
 #: Bytes of text whose words are counted together, or one text.
 TOGETHER = 8 << 20
 
@@ -148,7 +151,7 @@ def pair_sums(columns: list[tuple[np.ndarray, np.ndarray]], words: int) -> np.nd
     return out
 
 
-def _pair_values(terms: DataFrame, totals: dict[str, dict[str, int]]) -> DataFrame:
+def _pair_values(terms: DataFrame, totals: dict[str, dict[str, int]], range_words: int) -> DataFrame:
     """(lang, source, item, value) of the pairs of each language, from partial sums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +176,8 @@ def _pair_values(terms: DataFrame, totals: dict[str, dict[str, int]]) -> DataFra
             )
 
     alike = stored(terms.groupBy("lang", "counts").agg(F.count(F.lit(1)).alias("words")), "alike-words")
-    in_order = alike.repartitionByRange("lang", "counts").sortWithinPartitions("lang", "counts")
+    cuts = sampled_cuts(alike, ["lang"], ["counts"], range_words)
+    in_order = cuts.place(alike, "range").repartition("lang", "range").sortWithinPartitions("lang", "range", "counts").drop("range")
     partial = in_order.mapInArrow(run, "lang string, source string, item string, value bigint")
     return partial.groupBy("lang", "source", "item").agg(F.sum(F.col("value").cast("decimal(38,0)")).cast("bigint").alias("value"))
 
@@ -213,7 +217,7 @@ def _rank() -> Column:
     return F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
 
 
-def source_divergence(documents: DataFrame, least: int = MIN_DOCUMENTS, top: int = TOP_TERMS) -> DataFrame:
+def source_divergence(documents: DataFrame, least: int = MIN_DOCUMENTS, top: int = TOP_TERMS, range_words: int = RANGE_WORDS) -> DataFrame:
     """(lang, source, part, item, value, rank) of each (lang, source) of ``documents``.
 
     A language keeps the words in at least ``least`` of its documents. A kept word's
@@ -252,7 +256,7 @@ def source_divergence(documents: DataFrame, least: int = MIN_DOCUMENTS, top: int
 
     other = groups.select("lang", F.col("source").alias("item"))
     pairs = groups.select("lang", "source").join(other, "lang").where(F.col("source") != F.col("item"))
-    summed = pairs.join(_pair_values(terms, totals), ["lang", "source", "item"], "left")
+    summed = pairs.join(_pair_values(terms, totals, range_words), ["lang", "source", "item"], "left")
     valued = summed.select("lang", "source", F.lit("pair").alias("part"), "item", F.coalesce("value", F.lit(0)).cast("bigint").alias("value"))
     ranked = valued.withColumn("rank", _rank())
     return ranked.unionByName(_term_values(terms, groups, top))
