@@ -32,10 +32,32 @@ def change_over_rows(value: Column, n: int, ordered: WindowSpec) -> Column:
     return relative_change(value, F.lag(value, n).over(ordered))
 
 
-def rolling_stddev(value: Column, n: int, ordered: WindowSpec) -> Column:
-    """Sample deviation of the last ``n`` rows, NULL unless all ``n`` are present."""
-    frame = ordered.rowsBetween(1 - n, 0)
-    return F.when(F.count(value).over(frame) >= n, F.stddev_samp(value).over(frame))
+def moments(value: Column, frame: WindowSpec) -> Column:
+    """(n, mean, m2) of the values present: their number, mean and squared distances."""
+    present = F.count(value).over(frame)
+    return F.struct(
+        present.alias("n"),
+        F.avg(value).over(frame).alias("mean"),
+        (F.var_pop(value).over(frame) * present).alias("m2"),
+    )
+
+
+def merged_moments(a: Column, b: Column) -> Column:
+    """Moments of two sets of values from the moments of each; NULL means none."""
+    zero = F.lit(0)
+    n_a, n_b = F.coalesce(a["n"], zero), F.coalesce(b["n"], zero)
+    n, apart = n_a + n_b, b["mean"] - a["mean"]
+    both = F.struct(
+        n.alias("n"),
+        (a["mean"] + F.try_divide(apart * n_b, n)).alias("mean"),
+        (a["m2"] + b["m2"] + F.try_divide(apart * apart * n_a * n_b, n)).alias("m2"),
+    )
+    return F.when(n_a == 0, b).when(n_b == 0, a).otherwise(both)
+
+
+def sample_deviation(state: Column, n: int) -> Column:
+    """Sample deviation of moments, NULL unless ``n`` values are there."""
+    return F.when(state["n"] >= n, F.sqrt(F.try_divide(state["m2"], state["n"] - F.lit(1))))
 
 
 def below_peak(value: Column, peak: Column) -> Column:

@@ -8,7 +8,8 @@ what a block needs from earlier blocks reaches it in one of two ways:
 * *Lead-in rows* (lag, rolling windows): a copy of the last ``n`` rows before
   the block, flagged, so that ordinary window functions see them. Finding them
   moves at most ``n`` rows per block and map task, because the top-n limit is
-  applied before the shuffle.
+  applied before the shuffle; a block then gets exactly ``n`` copies, joined by
+  their place in the series, wherever the rows before it lie.
 * *Carried totals* (running product, running peak): one summary row per block,
   a running total over those few rows, and an equi join back. The large side is
   already partitioned on (key, block), so the join does not move it again.
@@ -16,7 +17,9 @@ what a block needs from earlier blocks reaches it in one of two ways:
 Rows that repeat an order position are kept, ordered by value, everywhere alike.
 What bounds a block is its stretch of time: days for dates, seconds for times, as
 short as the rows of the busiest series ask for. The number of summary rows per
-series is bounded by the time it covers, not by its rows.
+series is bounded by the time it covers, not by its rows. Where rows are dense in
+places or positions repeat very often, ``block_rows`` bounds blocks by rows instead:
+their bounds are then sampled from the rows themselves (see ``cuts``).
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybook.operators.cuts import sampled_cuts
+
 BLOCK = "_block"
 LEAD_IN = "_lead_in"
 
@@ -45,7 +50,10 @@ class Series:
     """Which columns make up the series, and how long one block is.
 
     ``span_seconds`` goes before ``span_days``; it suits times, whose rows may be many
-    a second. Results do not depend on either.
+    a second. ``block_rows`` goes before both: blocks of about so many rows, whose
+    bounds may lie inside a repeated position, at the price of two small jobs when the
+    plan is made. Rows that agree in position, value and ``ties`` stay in one block.
+    Results do not depend on any of them.
     """
 
     keys: tuple[str, ...] = ("asset",)
@@ -53,6 +61,13 @@ class Series:
     value: str = "close"
     span_days: int | None = None
     span_seconds: int | None = None
+    block_rows: int | None = None
+    ties: tuple[str, ...] = ()
+
+    @property
+    def places(self) -> list[str]:
+        """The columns that order a series, down to rows that repeat a position."""
+        return list(dict.fromkeys([self.order, self.value, *self.ties]))
 
     @property
     def block_keys(self) -> list[str]:
@@ -61,7 +76,7 @@ class Series:
     def in_block(self) -> WindowSpec:
         # The value only decides where an order position is repeated: both
         # branches of a plan, and tasks that are run again, must agree on it.
-        return Window.partitionBy(*self.block_keys).orderBy(self.order, self.value)
+        return Window.partitionBy(*self.block_keys).orderBy(*self.places)
 
     def so_far(self) -> WindowSpec:
         return self.in_block().rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -85,6 +100,9 @@ def with_block(df: DataFrame, series: Series) -> DataFrame:
     days = series.span_days or (DATE_SPAN_DAYS if is_date else TIMESTAMP_SPAN_DAYS)
     span = series.span_seconds or days * DAY_SECONDS
     placed = reduce(Column.__and__, [F.col(c).isNotNull() for c in (*series.keys, series.order)])
+    if series.block_rows:
+        rows = df.where(placed)
+        return sampled_cuts(rows, series.keys, series.places, series.block_rows).place(rows, BLOCK)
     block = F.floor(_seconds(df, series.order) / F.lit(span)).cast("long")
     return df.where(placed).withColumn(BLOCK, F.coalesce(block, F.lit(0).cast("long")))
 
@@ -104,29 +122,34 @@ def _lead_in_rows(df: DataFrame, series: Series, columns: Sequence[str], n: int)
     over_blocks = series.over_blocks()
     if n == 1:
         # of repeated positions the last is that of the greatest value, as in the window
-        last_row = F.struct(series.order, series.value)
+        last_row = F.struct(*series.places)
         last = df.groupBy(*series.block_keys).agg(
             *[F.max_by(c, last_row).alias(c) for c in columns], F.max(series.order).alias(series.order)
         )
         moved = {c: F.lag(c).over(over_blocks) for c in (*columns, series.order)}
         return last.withColumns(moved).where(F.col(series.order).isNotNull())
 
-    newest_first = Window.partitionBy(*series.block_keys).orderBy(F.desc(series.order), F.desc(series.value))
+    newest_first = Window.partitionBy(*series.block_keys).orderBy(*[F.desc(c) for c in series.places])
     tails = (
         df.select(*series.block_keys, series.order, *columns)
         .withColumn("_from_end", F.row_number().over(newest_first))
         .where(F.col("_from_end") <= n)
-        .groupBy(*series.block_keys)
-        .agg(F.sort_array(F.collect_list(F.struct(series.order, *columns))).alias("_tail"))
+        .withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy(*series.block_keys)))
     )
-    # A sparse block may hold fewer than n rows, but never none, so the n blocks
-    # before always hold the n rows wanted if the series has them.
-    before = F.flatten(F.collect_list("_tail").over(over_blocks.rowsBetween(-n, -1)))
-    skipped = F.greatest(F.size("_before") - F.lit(n), F.lit(0))
-    return (
-        tails.withColumn("_before", before)
-        .select(*series.block_keys, F.inline(F.slice("_before", skipped + 1, F.lit(n))))
+    # Places are counted over the tails alone: what a longer block has before its last
+    # n rows is never among the n rows before a later block.
+    ends = tails.where(F.col("_from_end") == 1).select(
+        *series.block_keys, F.sum("_size").over(over_blocks.rowsBetween(Window.unboundedPreceding, 0)).alias("_end"), "_size"
     )
+    placed = tails.drop("_size").join(ends.drop("_size"), series.block_keys).withColumn("_place", F.col("_end") - F.col("_from_end"))
+    start = F.col("_end") - F.col("_size")
+    wanted = ends.select(
+        *series.keys, F.col(BLOCK).alias("_to"), start.alias("_start"),
+        F.explode(F.sequence(F.floor((start - n) / n), F.floor((start - 1) / n))).alias("_cell"),
+    ).where(F.col("_start") > 0)
+    copies = placed.withColumn("_cell", F.floor(F.col("_place") / n)).join(wanted, [*series.keys, "_cell"])
+    near = (F.col("_place") < F.col("_start")) & (F.col("_place") >= F.col("_start") - n)
+    return copies.where(near).select(*series.keys, F.col("_to").alias(BLOCK), series.order, *columns)
 
 
 def with_lead_in(df: DataFrame, series: Series, n: int, columns: Sequence[str] | None = None) -> DataFrame:
@@ -135,7 +158,7 @@ def with_lead_in(df: DataFrame, series: Series, n: int, columns: Sequence[str] |
     The copies carry keys, order, value and the given ``columns``; other columns
     are NULL there. Drop the copies with ``own_rows``.
     """
-    columns = list(dict.fromkeys([series.value, *(columns or [])]))
+    columns = list(dict.fromkeys([*series.places[1:], *(columns or [])]))
     blocked = with_block(df, series)
     copies = _lead_in_rows(blocked, series, columns, n)
     return blocked.withColumn(LEAD_IN, F.lit(False)).unionByName(

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from daybook.functions.series import annual_growth, latest_present
 from daybook.operators.blocks import BLOCK, Series, with_block
-from daybook.operators.series import PRICE_SERIES, VOLATILITY_ROWS, drawdown_series, growth_and_risk
+from daybook.operators.drawdown import growth_pieces, lowest_point
+from daybook.operators.series import PRICE_SERIES, VOLATILITY_ROWS, growth_and_risk, with_returns_and_risk
 
 
 def _annual_growth(series: Series):
@@ -33,11 +34,13 @@ def cagr(prices: DataFrame, series: Series = PRICE_SERIES) -> DataFrame:
 def max_drawdown(prices: DataFrame, series: Series = PRICE_SERIES) -> DataFrame:
     """Lowest point of the cumulative return below its own peak.
 
-    Alone it needs one row before each block; see ``portfolio_metrics`` for all
-    metrics from one pass.
+    One aggregate per block that merges along the series (see ``drawdown``); the rows
+    are moved once and not windowed. ``portfolio_metrics`` has all metrics at once.
     """
-    rows = drawdown_series(prices, "cum_return", series).withColumnRenamed("drawdown", "growth_drawdown")
-    return lowest_drawdown(rows, series)
+    rows = with_block(prices.select(*series.keys, *series.places), series)
+    pieces = rows.groupBy(*series.block_keys).agg(growth_pieces(series).alias("_pieces"))
+    lows = lowest_point(pieces, series)
+    return lows.groupBy(*series.keys).agg(F.min("_low").alias("max_drawdown"))
 
 
 def mean_volatility(
@@ -58,15 +61,25 @@ def average_volatility(
 def portfolio_metrics(
     prices: DataFrame, series: Series = PRICE_SERIES, volatility_rows: int = VOLATILITY_ROWS
 ) -> DataFrame:
-    """The three metrics in one aggregation, so that nothing has to be joined."""
+    """The three metrics from one aggregate per block, so that no rows are joined."""
     name = f"volatility_{volatility_rows}d"
+    end = F.struct(series.order, series.value)
+    blocks = with_returns_and_risk(prices, series, volatility_rows).groupBy(*series.block_keys).agg(
+        growth_pieces(series).alias("_pieces"),
+        F.min(end).alias("_first"),
+        F.max(end).alias("_last"),
+        F.sum(name).alias("_risk"),
+        F.count(name).alias("_risks"),
+    )
+    first, last = F.min("_first"), F.max("_last")
+    days = F.datediff(last[series.order], first[series.order])
     return (
-        growth_and_risk(prices, series, volatility_rows)
+        lowest_point(blocks, series)
         .groupBy(*series.keys)
         .agg(
-            _annual_growth(series).alias("cagr"),
-            F.min("growth_drawdown").alias("max_drawdown"),
-            F.avg(name).alias(f"avg_{name}"),
+            annual_growth(first[series.value], last[series.value], days).alias("cagr"),
+            F.min("_low").alias("max_drawdown"),
+            F.try_divide(F.sum("_risk"), F.sum("_risks")).alias(f"avg_{name}"),
         )
     )
 

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.series import (
     below_peak,
     change_over_rows,
+    merged_moments,
+    moments,
     relative_change,
-    rolling_stddev,
+    sample_deviation,
 )
 from daybook.operators.blocks import (
     LEAD_IN,
@@ -38,25 +40,41 @@ def _with_momentum(rows: DataFrame, series: Series, spans: Sequence[int]) -> Dat
     )
 
 
-def _volatility(series: Series, n: int) -> dict[str, Column]:
-    return {f"volatility_{n}d": rolling_stddev(F.col("daily_return"), n, series.in_block())}
+def _with_volatility(rows: DataFrame, series: Series, n: int) -> DataFrame:
+    """Add the sample deviation of the last ``n`` returns, NULL unless all are present.
 
-
-def _with_growth(rows: DataFrame, series: Series, alongside: dict[str, Column] | None = None) -> DataFrame:
+    A block is laid out in stretches of ``n`` rows. A window of ``n`` rows is the end of
+    one stretch and the start of the next, so the moments from each row to the end of its
+    stretch and those from the stretch's start to each row are merged: the work per row
+    does not depend on ``n``, and nothing is subtracted that would have to cancel.
+    """
+    ordered, value = series.in_block(), F.col("daily_return")
+    rows = rows.withColumn("_nth", F.row_number().over(ordered) - 1).withColumn("_stretch", F.floor(F.col("_nth") / n))
+    stretch = Window.partitionBy(*series.block_keys, "_stretch")
+    upward = stretch.orderBy("_nth").rowsBetween(Window.unboundedPreceding, 0)
+    downward = stretch.orderBy(F.desc("_nth")).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_rest", moments(value, downward)).withColumn("_so_far", moments(value, upward))
+    by_place = Window.partitionBy(*series.block_keys).orderBy("_nth")
+    before = F.when(F.col("_nth") % n != n - 1, F.lag("_rest", n - 1).over(by_place))
+    rows = rows.withColumn("_before", before)
+    deviation = sample_deviation(merged_moments(F.col("_before"), F.col("_so_far")), n)
+    return rows.withColumn(f"volatility_{n}d", deviation).drop("_nth", "_stretch", "_rest", "_so_far", "_before")
+
+
+def _with_growth(rows: DataFrame, series: Series) -> DataFrame:
     """Add ``cum_return``, its peak so far, and the peak of the value itself.
 
     ``rows`` still has its lead-in rows and ``daily_return``; they are dropped
     here. A row without a return has growth 1, and the product goes on after it.
     Growth relative to the start of the block is scaled by what was carried into
     the block; both its highest and its lowest point are kept, since a negative
-    carry turns the lowest into the peak. Window columns given in ``alongside``
-    also build on the return and share one pass with the product.
+    carry turns the lowest into the peak.
     """
     so_far = series.so_far()
     present = F.col("daily_return").isNotNull()
     factor = F.when(present & ~F.col(LEAD_IN), F.col("daily_return") + 1)
 
-    rows = own_rows(rows.withColumns({"_growth": F.product(factor).over(so_far), **(alongside or {})}))
+    rows = own_rows(rows.withColumn("_growth", F.product(factor).over(so_far)))
     rows = rows.withColumn("_growth", F.when(present, F.col("_growth")))
     reached = rows.withColumns(
         {
@@ -122,7 +140,7 @@ def rolling_volatility(
 ) -> DataFrame:
     """Sample deviation of the last ``n`` daily returns."""
     rows = _with_return(with_lead_in(prices, series, n), series)
-    return without_marks(own_rows(rows.withColumns(_volatility(series, n))))
+    return without_marks(own_rows(_with_volatility(rows, series, n)))
 
 
 def cumulative_return(prices: DataFrame, series: Series = PRICE_SERIES) -> DataFrame:
@@ -157,17 +175,23 @@ def _features(
 ) -> DataFrame:
     rows = with_lead_in(prices, series, max(volatility_rows, *momentum_rows, 1))
     rows = _with_momentum(_with_return(rows, series), series, momentum_rows)
-    rows = _with_growth(rows, series, _volatility(series, volatility_rows))
+    rows = _with_growth(_with_volatility(rows, series, volatility_rows), series)
     drawdown = relative_change(F.col(series.value), F.col("rolling_max"))
     return without_marks(rows.withColumn("drawdown", drawdown))
 
 
+def with_returns_and_risk(prices: DataFrame, series: Series, volatility_rows: int) -> DataFrame:
+    """Rows in blocks with their return and its rolling deviation."""
+    rows = _with_return(with_lead_in(prices, series, volatility_rows), series)
+    return own_rows(_with_volatility(rows, series, volatility_rows))
+
+
 def growth_and_risk(
     prices: DataFrame, series: Series = PRICE_SERIES, volatility_rows: int = VOLATILITY_ROWS
 ) -> DataFrame:
     """Input of the per-series metrics: volatility and drawdown of the growth."""
     rows = _with_return(with_lead_in(prices, series, volatility_rows), series)
-    rows = _with_growth(rows, series, _volatility(series, volatility_rows))
+    rows = _with_growth(_with_volatility(rows, series, volatility_rows), series)
     return without_marks(
         rows.withColumn("growth_drawdown", below_peak(F.col("cum_return"), F.col("growth_peak")))
     ).drop("growth_peak", "rolling_max")
