@@ -333,6 +333,30 @@ def event_changes(spark, folder):
     return _rounded(out, "daily_return")
 
 
+def _line_changes(spark, folder):
+    """Lines of a return flag by ship date and price, so that a date repeats many times."""
+    return rel.table(spark, folder, "lineitem").select(
+        F.col("l_returnflag").alias("asset"), F.to_date("l_shipdate").alias("date"), F.col("l_extendedprice").alias("close")
+    )
+
+
+def range_cut_features(spark, folder):
+    """Changes and rolling risk in blocks of some thousand rows, cut inside dates."""
+    out = series.rolling_volatility(_line_changes(spark, folder), 30, Series(block_rows=4_000))
+    return _rounded(out, "daily_return", "volatility_30d")
+
+
+def range_cut_drawdown(spark, folder):
+    out = metrics.max_drawdown(_line_changes(spark, folder), Series(block_rows=4_000))
+    return _rounded(out, "max_drawdown")
+
+
+def long_volatility(spark, folder):
+    """A window of 250 rows, far longer than the blocks of 60 days."""
+    out = series.rolling_volatility(rel.prices(spark, folder), 250, Series(span_days=60))
+    return _rounded(out, "daily_return", "volatility_250d")
+
+
 def global_lag_bucketed(spark, folder):
     one_series = Series(keys=(), order="date", value="vix_close", span_days=365)
     return anomalies.row_change(rel.vix(spark, folder), one_series, "abs")
@@ -423,6 +447,9 @@ QUERIES: dict[str, Query] = {
     "key_events_table": key_events_table,
     "lag_repeated_positions": lag_repeated_positions,
     "event_changes": event_changes,
+    "range_cut_features": range_cut_features,
+    "range_cut_drawdown": range_cut_drawdown,
+    "long_volatility": long_volatility,
     "global_lag_bucketed": global_lag_bucketed,
     "news_request_plan": news_request_plan,
     "key_events_with_news": key_events_with_news,

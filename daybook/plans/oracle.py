@@ -41,6 +41,17 @@ PARTS = {
                min((cum_return - growth_peak) / growth_peak) AS max_drawdown,
                avg(volatility_30d) AS avg_volatility_30d
         FROM peaks GROUP BY asset""",
+    "line_moves": """
+        SELECT l_returnflag AS asset, CAST(l_shipdate AS DATE) AS date, l_extendedprice AS close,
+               l_extendedprice / lag(l_extendedprice) OVER by_place - 1 AS daily_return,
+               row_number() OVER by_place AS place
+        FROM lineitem
+        WINDOW by_place AS (PARTITION BY l_returnflag ORDER BY CAST(l_shipdate AS DATE), l_extendedprice)""",
+    "line_growth": """
+        SELECT *, CASE WHEN daily_return IS NULL THEN 1.0
+                       ELSE product(1 + daily_return) OVER (PARTITION BY asset ORDER BY place
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS growth
+        FROM line_moves""",
     "mood": """
         SELECT CAST(l_shipdate AS DATE) AS date,
                CAST(CAST(sum(l_quantity) AS BIGINT) % 101 AS INTEGER) AS fng_value
@@ -104,6 +115,8 @@ NEEDS = {
     "feat": ["risk"],
     "peaks": ["risk"],
     "metric": ["peaks"],
+    "line_moves": [],
+    "line_growth": ["line_moves"],
     "mood": [],
     "implied": [],
     "moment": ["moves"],
@@ -291,6 +304,25 @@ ORACLE: dict[str, str] = {
         SELECT event_type, ts, value,
                round(value / nullif(lag(value) OVER (PARTITION BY event_type ORDER BY ts, value), 0) - 1, 6) AS daily_return
         FROM events""",
+    "range_cut_features": _sql(
+        """SELECT asset, date, close, round(daily_return, 6) AS daily_return,
+                  round(CASE WHEN count(daily_return) OVER month = 30 THEN stddev_samp(daily_return) OVER month END, 6) AS volatility_30d
+           FROM line_moves WINDOW month AS (PARTITION BY asset ORDER BY place ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)""",
+        "line_moves",
+    ),
+    "range_cut_drawdown": _sql(
+        """SELECT asset, round(min(growth / peak - 1), 6) AS max_drawdown
+           FROM (SELECT asset, growth, max(growth) OVER (PARTITION BY asset ORDER BY place
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS peak FROM line_growth)
+           GROUP BY asset""",
+        "line_growth",
+    ),
+    "long_volatility": _sql(
+        """SELECT asset, date, close, round(daily_return, 6) AS daily_return,
+                  round(CASE WHEN count(daily_return) OVER rows_250 = 250 THEN stddev_samp(daily_return) OVER rows_250 END, 6) AS volatility_250d
+           FROM moves WINDOW rows_250 AS (PARTITION BY asset ORDER BY date ROWS BETWEEN 249 PRECEDING AND CURRENT ROW)""",
+        "moves",
+    ),
     "global_lag_bucketed": _sql(
         """SELECT date, vix_close, abs(vix_close - lag(vix_close) OVER (ORDER BY date)) AS daily_change
            FROM implied""",
