@@ -17,7 +17,7 @@ from daybook.operators.blocks import Series
 from daybook.plans import relations as rel
 from daybook.session import shared_path
 from daybook.sinks import export_tables, overwrite_files, overwrite_table, side_by_side, write_csv
-from daybook.sources import feeds, files, sentiment
+from daybook.sources import elements, feeds, files, sentiment
 from daybook.sources import prices as landed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,24 @@ def src_feed_bad_docs(spark, folder):
     return feeds.malformed_feeds(rel.document_feeds(spark, folder))
 
 
+def src_feed_broken(spark, folder):
+    return feeds.feed_items(rel.broken_page_feeds(spark, folder))
+
+
+def src_feed_elements(spark, folder):
+    """Feeds of a day, each landed as one file and read by item."""
+    path = shared_path(spark, "day-feeds")
+    rel.day_feeds(spark, folder).write.partitionBy("event_date").text(path)
+    return elements.landed_feed_items(spark, path, n=20).drop("file")
+
+
+def src_sentiment_elements(spark, folder):
+    """Payloads of a month, each landed as one file and read by element."""
+    path = shared_path(spark, "payloads")
+    rel.monthly_payloads(spark, folder).write.partitionBy("month").text(path)
+    return elements.landed_sentiment_days(spark, path)
+
+
 def feed_item_counts(spark, folder):
     return feeds.feed_item_counts(rel.page_feeds(spark, folder))
 
@@ -413,6 +431,9 @@ QUERIES: dict[str, Query] = {
     "src_sentiment_payload": src_sentiment_payload,
     "src_feed_items": src_feed_items,
     "src_feed_bad_docs": src_feed_bad_docs,
+    "src_feed_broken": src_feed_broken,
+    "src_feed_elements": src_feed_elements,
+    "src_sentiment_elements": src_sentiment_elements,
     "feed_item_counts": feed_item_counts,
     "src_csv_roundtrip": src_csv_roundtrip,
     "src_csv_inferred": src_csv_inferred,

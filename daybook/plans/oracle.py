@@ -185,6 +185,32 @@ ORACLE: dict[str, str] = {
            FROM usable WHERE bad_so_far = 0 AND pos < 3""",
         "usable",
     ),
+    "src_feed_broken": _sql(
+        """SELECT page_id, strftime(DATE '1995-01-01' + CAST(page_id % 365 AS INTEGER), '%Y-%m-%d') AS event_date,
+                  CAST(pos AS INTEGER) AS position, title,
+                  strftime(DATE '1995-01-01' + CAST(page_id % 365 AS INTEGER), '%Y-%m-%d') AS pub_date,
+                  CASE WHEN length(title) % 2 = 0
+                       THEN regexp_extract(url, '^https?://([^/]+)', 1) END AS source,
+                  link
+           FROM (SELECT *, count(*) OVER (PARTITION BY page_id) AS items FROM usable)
+           WHERE bad_so_far = 0 AND pos < 3 AND (items <= page_id % 4 OR pos < page_id % 4)""",
+        "usable",
+    ),
+    "src_feed_elements": _sql(
+        """SELECT strftime(day, '%Y-%m-%d') AS event_date, CAST(nth - 1 AS INTEGER) AS position, title,
+                  strftime(day, '%Y-%m-%d') AS pub_date,
+                  CASE WHEN length(title) % 2 = 0 THEN regexp_extract(url, '^https?://([^/]+)', 1) END AS source, link
+           FROM (SELECT *, row_number() OVER (PARTITION BY day ORDER BY page_id, pos) AS nth,
+                        sum(CASE WHEN regexp_matches(title, '[.,]$') THEN 1 ELSE 0 END) OVER (PARTITION BY day ORDER BY page_id, pos) AS bad
+                 FROM (SELECT *, DATE '1995-01-01' + CAST(page_id % 365 AS INTEGER) AS day FROM link))
+           WHERE bad = 0 AND nth <= 20""",
+        "link",
+    ),
+    "src_sentiment_elements": _sql(
+        """SELECT CAST(date AS TIMESTAMP) AS date, fng_value, CASE WHEN fng_value < 50 THEN 'Fear' ELSE 'Greed' END AS fng_classification
+           FROM mood""",
+        "mood",
+    ),
     "src_feed_bad_docs": "SELECT doc_id FROM documents WHERE lang = 'de'",
     "feed_item_counts": _sql(
         """SELECT page_id, strftime(DATE '1995-01-01' + CAST(page_id % 365 AS INTEGER), '%Y-%m-%d') AS event_date,

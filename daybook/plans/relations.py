@@ -157,6 +157,20 @@ def page_feeds(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def broken_page_feeds(spark: SparkSession, folder: str) -> DataFrame:
+    """``page_feeds`` that break off inside one of their first four items, if they have it."""
+    return page_feeds(spark, folder).withColumn("feed", F.expr("substring_index(feed, '<pubDate>', CAST(1 + page_id % 4 AS INT))"))
+
+
+def day_feeds(spark: SparkSession, folder: str) -> DataFrame:
+    """One feed per day with the items of all its pages, by page and place."""
+    opening, closing = "<rss><channel>", "</channel></rss>"
+    items = F.regexp_extract_all("feed", F.lit("(?s)<item>.*?</item>"), 0)
+    pages = page_feeds(spark, folder).select("event_date", F.struct("page_id", F.array_join(items, "").alias("items")).alias("page"))
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list("page")), lambda p: p["items"]), "")
+    return pages.groupBy("event_date").agg(F.concat(F.lit(opening), joined, F.lit(closing)).alias("feed"))
+
+
 def document_feeds(spark: SparkSession, folder: str) -> DataFrame:
     """Every document as a one-item RSS document; German ones break off early."""
     start = F.concat(F.lit("<rss><channel><item><title>"), _escaped(F.col("text")), F.lit("</title>"))
@@ -168,6 +182,11 @@ def document_feeds(spark: SparkSession, folder: str) -> DataFrame:
 
 def payloads(spark: SparkSession, folder: str) -> DataFrame:
     """The sentiment index as JSON payloads, one per month, so at most 31 entries each."""
+    return monthly_payloads(spark, folder).drop("month")
+
+
+def monthly_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """``payloads`` with the month of each."""
     entry = F.struct(
         F.col("fng_value").cast("string").alias("value"),
         F.col("fng_classification").alias("value_classification"),
@@ -177,5 +196,5 @@ def payloads(spark: SparkSession, folder: str) -> DataFrame:
         fear_greed(spark, folder)
         .groupBy(F.trunc("date", "month").alias("month"))
         .agg(F.collect_list(entry).alias("data"))
-        .select(F.to_json(F.struct(F.lit("index").alias("name"), "data")).alias("payload"))
+        .select("month", F.to_json(F.struct(F.lit("index").alias("name"), "data", F.struct(F.lit("none").alias("error")).alias("metadata"))).alias("payload"))
     )

@@ -21,24 +21,43 @@ def landed_feeds(spark: SparkSession, path: str, with_file: bool = False) -> Dat
     )
 
 
+XML_OPTIONS = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": "_malformed",
+    "ignoreSurroundingSpaces": "false",
+}
+_WHOLE_ITEM = r"(?s)<item(?:\s[^>]*)?>.*?</item>"
+
+
+def first_leaves(item: Column) -> Column:
+    """An item with the first of each of its repeated children."""
+    leaves = FEED["item"].dataType.elementType.names
+    return F.struct(*[F.get(item[name], 0).alias(name) for name in leaves])
+
+
+def _recovered(column: str) -> Column:
+    """The items of a document that breaks off or is broken: its complete items, parsed
+    one by one, up to the first that does not parse."""
+    leaves = ", ".join(f.simpleString() for f in FEED["item"].dataType.elementType.fields)
+    texts = F.regexp_extract_all(F.col(column), F.lit(_WHOLE_ITEM), 0)
+    parsed = F.transform(texts, lambda t: F.from_xml(t, f"struct<{leaves}, _malformed: string>", XML_OPTIONS))
+    bad = F.array_position(F.transform(parsed, lambda item: item["_malformed"].isNotNull()), True)
+    kept = F.slice(parsed, F.lit(1), F.when(bad == 0, F.size(parsed)).otherwise(bad - 1).cast("int"))
+    return F.transform(kept, first_leaves)
+
+
 def _parsed(documents: DataFrame, column: str) -> DataFrame:
-    options = {
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": "_malformed",
-        "ignoreSurroundingSpaces": "false",
-    }
-    feed = F.from_xml(F.col(column), FEED.simpleString(), options)
+    feed = F.from_xml(F.col(column), FEED.simpleString(), XML_OPTIONS)
     none = F.array().cast(FEED["item"].dataType)
     of_channels = F.flatten(F.transform("_feed.channel", lambda c: F.coalesce(c["item"], none)))
     found = F.concat(F.coalesce(of_channels, none), F.coalesce("_feed.item", none))
-    leaves = FEED["item"].dataType.elementType.names
-    items = F.transform(found, lambda item: F.struct(*[F.get(item[name], 0).alias(name) for name in leaves]))
+    broken = F.col("_feed._malformed").isNotNull()
     # items in places that are not looked at make the document one to report
-    lost = F.col(column).rlike(r"<item[\s>/]") & (F.size(found) == 0)
+    lost = F.col(column).rlike(r"<item[\s>]") & (F.size(found) == 0)
     return documents.withColumn("_feed", feed).select(
         *[c for c in documents.columns if c != column],
-        items.alias("_items"),
-        (F.col("_feed._malformed").isNotNull() | lost).alias("_is_malformed"),
+        F.when(broken, _recovered(column)).otherwise(F.transform(found, first_leaves)).alias("_items"),
+        (broken | lost).alias("_is_malformed"),
     )
 
 
@@ -57,12 +76,13 @@ def _kept(n: int) -> Column:
 def feed_items(documents: DataFrame, n: int = ITEMS_PER_FEED, column: str = "feed") -> DataFrame:
     """Up to ``n`` items per document in document order, ``position`` from 0.
 
-    The items of all channels come first, then those under the root. A malformed
-    document gives no rows (see ``malformed_feeds``) and does not affect the others.
+    The items of all channels come first, then those under the root. A document that
+    breaks off or is broken gives the complete items before the bad place, in document
+    order, and is listed by ``malformed_feeds`` as well; it does not affect the others.
     """
     parsed = _parsed(documents, column)
     others = [c for c in parsed.columns if not c.startswith("_")]
-    return parsed.where(~F.col("_is_malformed")).select(*others, F.posexplode(_kept(n)).alias("position", "_item")).select(
+    return parsed.select(*others, F.posexplode(_kept(n)).alias("position", "_item")).select(
         *others,
         "position",
         F.col("_item.title").alias("title"),

@@ -28,8 +28,13 @@ def sentiment_days(payloads: DataFrame, column: str = "payload") -> DataFrame:
     """
     entries = F.from_json(F.col(column), SENTIMENT_PAYLOAD, {"mode": "FAILFAST"})["data"]
     present = F.coalesce(entries, F.raise_error(F.lit("sentiment payload without data")))
-    return payloads.select(F.explode(present).alias("_entry")).select(
+    return payloads.select(F.explode(present).alias("_entry")).select(*required())
+
+
+def required() -> list[Column]:
+    """The columns of an element in ``_entry``; one that is missing is an error."""
+    return [
         utc_time(_required("timestamp", "bigint")).alias("date"),
         _required("value", "int").alias("fng_value"),
         F.col("_entry.value_classification").alias("fng_classification"),
-    )
+    ]
