@@ -17,6 +17,7 @@ from daybook.operators.blocks import Series
 from daybook.plans import relations as rel
 from daybook.session import shared_path
 from daybook.sinks import export_tables, overwrite_files, overwrite_table, side_by_side, write_csv
+from daybook.snapshots import Snapshots
 from daybook.sources import elements, feeds, files, sentiment
 from daybook.sources import prices as landed
 
@@ -384,13 +385,32 @@ def global_lag_bucketed(spark, folder):
 
 
 def key_events_table(spark, folder):
-    """The ranked days replaced twice as a catalog table and read by its name."""
+    """The ranked days, stored once, put in place of a catalog table twice."""
+    events = overwrite_files(rel.key_events_table(spark, folder), shared_path(spark, "key_events"))
+    root = shared_path(spark, "key-events-table")
     for _ in range(2):
-        path = shared_path(spark, "key-events-table")
-        overwrite_table(rel.key_events_table(spark, folder), "daybook_key_events", path)
+        overwrite_table(events, "daybook_key_events", root)
     return spark.table("daybook_key_events")
 
 
+def sink_snapshot(spark, folder):
+    """Two tables are published, then a refresh fails after its first table: both stay."""
+    snapshots = Snapshots(spark, shared_path(spark, "snapshots"))
+    prices, index = rel.prices(spark, folder), rel.vix(spark, folder)
+    with snapshots.draft() as draft:
+        draft.write("prices", prices)
+        draft.write("vix", index)
+    try:
+        with snapshots.draft() as draft:
+            draft.write("prices", prices.limit(1))
+            draft.write("vix", index.withColumn("vix_close", F.raise_error(F.lit("lost"))))
+    except Exception as failed:
+        if "lost" not in str(failed):
+            raise
+    tables = snapshots.tables()
+    return tables["prices"].join(tables["vix"], "date", "left").select("asset", "date", "close", "vix_close")
+
+
 def news_request_plan(spark, folder):
     return news.news_request_plan(rel.key_events_table(spark, folder))
 
@@ -438,6 +458,7 @@ QUERIES: dict[str, Query] = {
     "src_csv_roundtrip": src_csv_roundtrip,
     "src_csv_inferred": src_csv_inferred,
     "sink_overwrite_idempotent": sink_overwrite_idempotent,
+    "sink_snapshot": sink_snapshot,
     "export_tables": export,
     "filter_date_range": filter_date_range,
     "filter_date_halfopen": filter_date_halfopen,

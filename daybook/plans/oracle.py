@@ -225,6 +225,9 @@ ORACLE: dict[str, str] = {
                o_totalprice, o_orderdate, o_orderpriority
         FROM orders""",
     "sink_overwrite_idempotent": _sql("SELECT date, vix_close FROM implied", "implied"),
+    "sink_snapshot": _sql(
+        "SELECT asset, px.date, close, vix_close FROM px LEFT JOIN implied USING (date)", "px", "implied"
+    ),
     "export_tables": _sql(
         """SELECT 'prices' AS table_name, count(*) AS row_count, 5 AS column_count FROM px
            UNION ALL SELECT 'metrics', count(DISTINCT asset), 4 FROM px

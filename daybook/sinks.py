@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.snapshots import Draft
 from daybook.sources.files import CSV_OPTIONS
 
 
@@ -70,12 +71,46 @@ def _put_in_place(spark: SparkSession, fresh: str, path: str) -> None:
 
 
 def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Replace a catalog table, at ``path`` if given; returns the written table."""
-    writer = df.write.mode("overwrite").format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+    """Replace a catalog table below ``path``; returns the written table.
+
+    The rows go to a fresh folder, then the catalog entry is pointed there in one step:
+    a failed write leaves the old table, and ``df`` may read from it. The folder that
+    was replaced stays for readers that are at work, those before it are removed. A
+    table with other columns has to be dropped first.
+    """
+    spark = df.sparkSession
+    root = (path or f"{spark.conf.get('spark.sql.warehouse.dir')}/{name}-versions").rstrip("/")
+    if not spark.catalog.tableExists(name):
+        fresh = f"{root}/{uuid.uuid4().hex}"
+        df.write.parquet(fresh)
+        spark.catalog.createTable(name, path=fresh, source="parquet")
+        return spark.table(name)
+    if spark.table(name).schema.simpleString() != df.schema.simpleString():
+        raise ValueError(f"{name} has other columns; drop it first")
+    location = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    fresh = f"{root}/{uuid.uuid4().hex}"
+    df.write.parquet(fresh)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{fresh}'")
+    spark.catalog.refreshTable(name)
+    _remove_others(spark, root, {fresh, location})
+    return spark.table(name)
+
+
+def _remove_others(spark: SparkSession, root: str, kept: set[str]) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    files, names = folder.getFileSystem(conf), {path.rstrip("/").rpartition("/")[2] for path in kept}
+    for status in files.listStatus(folder):
+        if status.getPath().getName() not in names:
+            files.delete(status.getPath(), True)
+
+
+def storing(out: str | Draft) -> Callable[[str, DataFrame], DataFrame]:
+    """How a job keeps its tables: as folders that are replaced one by one, or as tables
+    of one version that is published as a whole."""
+    if isinstance(out, str):
+        return lambda name, df: overwrite_files(df, f"{out}/{name}")
+    return out.write
 
 
 def export_tables(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str) -> DataFrame:
