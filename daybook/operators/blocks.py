@@ -96,15 +96,19 @@ def with_block(df: DataFrame, series: Series) -> DataFrame:
     keys from adding it to one of two otherwise equal branches, which would
     then not share their shuffle. The block is never NULL for the same reason.
     """
-    is_date = isinstance(df.schema[series.order].dataType, T.DateType)
-    days = series.span_days or (DATE_SPAN_DAYS if is_date else TIMESTAMP_SPAN_DAYS)
-    span = series.span_seconds or days * DAY_SECONDS
     placed = reduce(Column.__and__, [F.col(c).isNotNull() for c in (*series.keys, series.order)])
     if series.block_rows:
         rows = df.where(placed)
         return sampled_cuts(rows, series.keys, series.places, series.block_rows).place(rows, BLOCK)
-    block = F.floor(_seconds(df, series.order) / F.lit(span)).cast("long")
-    return df.where(placed).withColumn(BLOCK, F.coalesce(block, F.lit(0).cast("long")))
+    return df.where(placed).withColumn(BLOCK, F.coalesce(block_number(df, series), F.lit(0).cast("long")))
+
+
+def block_number(df: DataFrame, series: Series) -> Column:
+    """The stretch of time in which the order column of a row lies."""
+    is_date = isinstance(df.schema[series.order].dataType, T.DateType)
+    days = series.span_days or (DATE_SPAN_DAYS if is_date else TIMESTAMP_SPAN_DAYS)
+    span = series.span_seconds or days * DAY_SECONDS
+    return F.floor(_seconds(df, series.order) / F.lit(span)).cast("long")
 
 
 def _seconds(df: DataFrame, order: str) -> Column:
@@ -118,7 +122,8 @@ def _seconds(df: DataFrame, order: str) -> Column:
     return day
 
 
-def _lead_in_rows(df: DataFrame, series: Series, columns: Sequence[str], n: int) -> DataFrame:
+def lead_in_rows(df: DataFrame, series: Series, columns: Sequence[str], n: int) -> DataFrame:
+    """Of rows in blocks, copies of the ``n`` rows before each block, in that block."""
     over_blocks = series.over_blocks()
     if n == 1:
         # of repeated positions the last is that of the greatest value, as in the window
@@ -160,7 +165,7 @@ def with_lead_in(df: DataFrame, series: Series, n: int, columns: Sequence[str] |
     """
     columns = list(dict.fromkeys([*series.places[1:], *(columns or [])]))
     blocked = with_block(df, series)
-    copies = _lead_in_rows(blocked, series, columns, n)
+    copies = lead_in_rows(blocked, series, columns, n)
     return blocked.withColumn(LEAD_IN, F.lit(False)).unionByName(
         copies.withColumn(LEAD_IN, F.lit(True)), allowMissingColumns=True
     )

@@ -7,9 +7,13 @@ again only in the result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.operators.cuts import sampled_cuts
+
 
 def quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -23,3 +27,22 @@ def repeated_in_order(value: str, copies: str, separator: str) -> Column:
     sep = quoted(separator)
     part = f"IF({value} IS NULL, NULL, array_join(array_repeat({value}, CAST({copies} AS INT)), {sep}))"
     return F.expr(f"listagg({part}, {sep}) WITHIN GROUP (ORDER BY {value})")
+
+
+def joined_in_order(
+    counted: DataFrame, keys: Sequence[str], value: str, copies: str, separator: str, range_texts: int
+) -> DataFrame:
+    """(keys.., joined): all values of a key in order, each ``copies`` times.
+
+    For keys with very many texts: the texts of a key are dealt out in ranges of their
+    order, sorted and joined per range, and the ranges' strings are put together, so no
+    task sorts all texts of a key. ``counted`` should be a stored table, since the
+    ranges are sampled from it first. NULL values are skipped; a key without any has
+    NULL.
+    """
+    start = counted.withColumn("_start", F.substring(value, 1, 64))
+    placed = sampled_cuts(start, keys, ["_start"], range_texts).place(start, "_range")
+    parts = placed.groupBy(*keys, "_range").agg(repeated_in_order(value, copies, separator).alias("_part"))
+    in_order = F.sort_array(F.collect_list(F.when(F.col("_part").isNotNull(), F.struct("_range", "_part"))))
+    texts = F.transform(in_order, lambda part: part["_part"])
+    return parts.groupBy(*keys).agg(F.when(F.size(texts) > 0, F.array_join(texts, separator)).alias("joined"))

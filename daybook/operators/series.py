@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.series import (
@@ -29,7 +29,7 @@ VOLATILITY_ROWS = 30
 MOMENTUM_ROWS = (30, 90)
 
 
-def _with_return(rows: DataFrame, series: Series) -> DataFrame:
+def with_return(rows: DataFrame, series: Series) -> DataFrame:
     return rows.withColumn("daily_return", change_over_rows(F.col(series.value), 1, series.in_block()))
 
 
@@ -70,24 +70,24 @@ def _with_growth(rows: DataFrame, series: Series) -> DataFrame:
     the block; both its highest and its lowest point are kept, since a negative
     carry turns the lowest into the peak.
     """
-    so_far = series.so_far()
+    rows = growth_in_block(rows, series)
+    return carried_growth(rows, carries_of(rows, series), series)
+
+
+def growth_in_block(rows: DataFrame, series: Series) -> DataFrame:
     present = F.col("daily_return").isNotNull()
     factor = F.when(present & ~F.col(LEAD_IN), F.col("daily_return") + 1)
+    rows = own_rows(rows.withColumn("_growth", F.product(factor).over(series.so_far())))
+    return rows.withColumn("_growth", F.when(present, F.col("_growth")))
 
-    rows = own_rows(rows.withColumn("_growth", F.product(factor).over(so_far)))
-    rows = rows.withColumn("_growth", F.when(present, F.col("_growth")))
-    reached = rows.withColumns(
-        {
-            "_high": F.max("_growth").over(so_far),
-            "_low": F.min("_growth").over(so_far),
-            "_restarted": F.bool_or(~present).over(so_far),
-            "_top": F.max(series.value).over(so_far),
-        }
-    )
 
-    def peak(carry, high, low, restarted):
-        return F.greatest(carry * high, carry * low, F.when(restarted, F.lit(1.0)))
+def _peak(carry, high, low, restarted) -> Column:
+    return F.greatest(carry * high, carry * low, F.when(restarted, F.lit(1.0)))
 
+
+def carries_of(rows: DataFrame, series: Series) -> DataFrame:
+    """(keys, block, carries): what each block needs of those before it, a row each."""
+    present = F.col("daily_return").isNotNull()
     blocks = rows.groupBy(*series.block_keys).agg(
         F.product(F.col("daily_return") + 1).alias("_product"),
         F.max("_growth").alias("_block_high"),
@@ -96,11 +96,11 @@ def _with_growth(rows: DataFrame, series: Series) -> DataFrame:
         F.max(series.value).alias("_block_top"),
     )
     entering = F.coalesce(carried(F.product(F.coalesce("_product", F.lit(1.0))), series), F.lit(1.0))
-    carries = (
+    return (
         blocks.withColumn("_carry", entering)
         .withColumn(
             "_block_peak",
-            peak(F.col("_carry"), F.col("_block_high"), F.col("_block_low"), F.col("_block_restarted")),
+            _peak(F.col("_carry"), F.col("_block_high"), F.col("_block_low"), F.col("_block_restarted")),
         )
         .select(
             *series.block_keys,
@@ -110,8 +110,19 @@ def _with_growth(rows: DataFrame, series: Series) -> DataFrame:
         )
     )
 
+
+def carried_growth(rows: DataFrame, carries: DataFrame, series: Series) -> DataFrame:
+    so_far, present = series.so_far(), F.col("daily_return").isNotNull()
+    reached = rows.withColumns(
+        {
+            "_high": F.max("_growth").over(so_far),
+            "_low": F.min("_growth").over(so_far),
+            "_restarted": F.bool_or(~present).over(so_far),
+            "_top": F.max(series.value).over(so_far),
+        }
+    )
     joined = reached.join(carries, series.block_keys, "left")
-    here = peak(F.col("_carry"), F.col("_high"), F.col("_low"), F.col("_restarted"))
+    here = _peak(F.col("_carry"), F.col("_high"), F.col("_low"), F.col("_restarted"))
     return joined.withColumns(
         {
             "cum_return": F.when(present, F.col("_carry") * F.col("_growth")).otherwise(F.lit(1.0)),
@@ -125,7 +136,7 @@ def _with_growth(rows: DataFrame, series: Series) -> DataFrame:
 
 def daily_return(prices: DataFrame, series: Series = PRICE_SERIES) -> DataFrame:
     """Relative change against the previous row; NULL on the first."""
-    return without_marks(own_rows(_with_return(with_lead_in(prices, series, 1), series)))
+    return without_marks(own_rows(with_return(with_lead_in(prices, series, 1), series)))
 
 
 def rolling_return(
@@ -139,19 +150,19 @@ def rolling_volatility(
     prices: DataFrame, n: int = VOLATILITY_ROWS, series: Series = PRICE_SERIES
 ) -> DataFrame:
     """Sample deviation of the last ``n`` daily returns."""
-    rows = _with_return(with_lead_in(prices, series, n), series)
+    rows = with_return(with_lead_in(prices, series, n), series)
     return without_marks(own_rows(_with_volatility(rows, series, n)))
 
 
 def cumulative_return(prices: DataFrame, series: Series = PRICE_SERIES) -> DataFrame:
     """Running product of ``1 + daily_return``, 1 where the return is missing."""
-    rows = _with_return(with_lead_in(prices, series, 1), series)
+    rows = with_return(with_lead_in(prices, series, 1), series)
     return without_marks(_with_growth(rows, series)).drop("growth_peak", "rolling_max")
 
 
 def drawdown_series(prices: DataFrame, basis: str = "close", series: Series = PRICE_SERIES) -> DataFrame:
     """Running peak and the distance from it, on the value or on ``cum_return``."""
-    rows = _with_growth(_with_return(with_lead_in(prices, series, 1), series), series)
+    rows = _with_growth(with_return(with_lead_in(prices, series, 1), series), series)
     if basis == "cum_return":
         rows = rows.withColumn("rolling_max", F.col("growth_peak"))
         drawdown = below_peak(F.col("cum_return"), F.col("rolling_max"))
@@ -173,16 +184,22 @@ def price_features(
 def _features(
     prices: DataFrame, series: Series, volatility_rows: int, momentum_rows: Sequence[int]
 ) -> DataFrame:
-    rows = with_lead_in(prices, series, max(volatility_rows, *momentum_rows, 1))
-    rows = _with_momentum(_with_return(rows, series), series, momentum_rows)
-    rows = _with_growth(_with_volatility(rows, series, volatility_rows), series)
-    drawdown = relative_change(F.col(series.value), F.col("rolling_max"))
-    return without_marks(rows.withColumn("drawdown", drawdown))
+    rows = row_features(with_lead_in(prices, series, max(volatility_rows, *momentum_rows, 1)), series, volatility_rows, momentum_rows)
+    return without_marks(with_drawdown(_with_growth(rows, series), series))
+
+
+def row_features(rows: DataFrame, series: Series, volatility_rows: int, momentum_rows: Sequence[int]) -> DataFrame:
+    rows = _with_momentum(with_return(rows, series), series, momentum_rows)
+    return _with_volatility(rows, series, volatility_rows)
+
+
+def with_drawdown(rows: DataFrame, series: Series) -> DataFrame:
+    return rows.withColumn("drawdown", relative_change(F.col(series.value), F.col("rolling_max")))
 
 
 def with_returns_and_risk(prices: DataFrame, series: Series, volatility_rows: int) -> DataFrame:
     """Rows in blocks with their return and its rolling deviation."""
-    rows = _with_return(with_lead_in(prices, series, volatility_rows), series)
+    rows = with_return(with_lead_in(prices, series, volatility_rows), series)
     return own_rows(_with_volatility(rows, series, volatility_rows))
 
 
@@ -190,7 +207,7 @@ def growth_and_risk(
     prices: DataFrame, series: Series = PRICE_SERIES, volatility_rows: int = VOLATILITY_ROWS
 ) -> DataFrame:
     """Input of the per-series metrics: volatility and drawdown of the growth."""
-    rows = _with_return(with_lead_in(prices, series, volatility_rows), series)
+    rows = with_return(with_lead_in(prices, series, volatility_rows), series)
     rows = _with_growth(_with_volatility(rows, series, volatility_rows), series)
     return without_marks(
         rows.withColumn("growth_drawdown", below_peak(F.col("cum_return"), F.col("growth_peak")))

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.series import utc_time
-from daybook.operators import anomalies, metrics, news, profile, ranges, series
+from daybook.operators import anomalies, metrics, news, profile, ranges, series, stored_series, transforms
 from daybook.operators.blocks import Series
+from daybook.operators.concat import joined_in_order
 from daybook.plans import relations as rel
 from daybook.session import shared_path
 from daybook.sinks import export_tables, overwrite_files, overwrite_table, side_by_side, write_csv
@@ -376,6 +377,29 @@ def long_volatility(spark, folder):
     return _rounded(out, "daily_return", "volatility_250d")
 
 
+def exponential_mean(spark, folder):
+    """A transform given by the caller, carried over blocks of 100 days."""
+    out = transforms.exponential_mean(rel.prices(spark, folder), 30, Series(span_days=100))
+    return _rounded(out, "ewm")
+
+
+def stored_range_features(spark, folder):
+    """Features of a year from a stored series in blocks of 90 days."""
+    path, layout = shared_path(spark, "series"), Series(span_days=90)
+    prices = rel.prices(spark, folder)
+    stored_series.store_series(prices, path, layout)
+    out = stored_series.stored_features(spark, path, prices, "1996-06-01", "1997-06-01", layout)
+    return _rounded(out, *FEATURES)
+
+
+def ordered_titles(spark, folder):
+    """All titles of a language in order as one string, sorted in ranges of some hundred."""
+    counted = rel.table(spark, folder, "documents").groupBy("lang", "text").agg(F.count(F.lit(1)).alias("copies"))
+    kept = overwrite_files(counted, shared_path(spark, "titles"))
+    out = joined_in_order(kept, ["lang"], "text", "copies", " | ", 200)
+    return out.select("lang", F.length("joined").cast("long").alias("n_chars"), F.md5("joined").alias("digest"))
+
+
 def global_lag_bucketed(spark, folder):
     one_series = Series(keys=(), order="date", value="vix_close", span_days=365)
     return anomalies.row_change(rel.vix(spark, folder), one_series, "abs")
@@ -385,12 +409,17 @@ def global_lag_bucketed(spark, folder):
 
 
 def key_events_table(spark, folder):
-    """The ranked days, stored once, put in place of a catalog table twice."""
+    """The ranked days, stored once, put in place of a catalog table twice.
+
+    The table's entry goes at the end, its files stay with the session's others.
+    """
     events = overwrite_files(rel.key_events_table(spark, folder), shared_path(spark, "key_events"))
     root = shared_path(spark, "key-events-table")
+    name = "key_events_" + root.rpartition("-")[2]
     for _ in range(2):
-        overwrite_table(events, "daybook_key_events", root)
-    return spark.table("daybook_key_events")
+        table = overwrite_table(events, name, root)
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def sink_snapshot(spark, folder):
@@ -492,6 +521,9 @@ QUERIES: dict[str, Query] = {
     "range_cut_features": range_cut_features,
     "range_cut_drawdown": range_cut_drawdown,
     "long_volatility": long_volatility,
+    "exponential_mean": exponential_mean,
+    "stored_range_features": stored_range_features,
+    "ordered_titles": ordered_titles,
     "global_lag_bucketed": global_lag_bucketed,
     "news_request_plan": news_request_plan,
     "key_events_with_news": key_events_with_news,

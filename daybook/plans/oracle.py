@@ -352,6 +352,23 @@ ORACLE: dict[str, str] = {
            FROM moves WINDOW rows_250 AS (PARTITION BY asset ORDER BY date ROWS BETWEEN 249 PRECEDING AND CURRENT ROW)""",
         "moves",
     ),
+    "exponential_mean": """
+        WITH RECURSIVE px AS (SELECT * FROM (""" + PARTS["px"] + """)),
+        nth AS (SELECT *, row_number() OVER (PARTITION BY asset ORDER BY date) AS i FROM px),
+        mean AS (
+            SELECT asset, date, close, i, close AS ewm FROM nth WHERE i = 1
+            UNION ALL
+            SELECT n.asset, n.date, n.close, n.i, m.ewm + (n.close - m.ewm) * 2 / 31.0
+            FROM mean m JOIN nth n ON n.asset = m.asset AND n.i = m.i + 1)
+        SELECT asset, date, close, round(ewm, 6) AS ewm FROM mean""",
+    "stored_range_features": _sql(
+        f"""SELECT asset, date, close, {_rounded(*_ALL_FEATURES)} FROM feat
+            WHERE date >= DATE '1996-06-01' AND date < DATE '1997-06-01'""",
+        "feat",
+    ),
+    "ordered_titles": """
+        SELECT lang, length(joined) AS n_chars, md5(joined) AS digest
+        FROM (SELECT lang, string_agg(text, ' | ' ORDER BY text) AS joined FROM documents GROUP BY lang)""",
     "global_lag_bucketed": _sql(
         """SELECT date, vix_close, abs(vix_close - lag(vix_close) OVER (ORDER BY date)) AS daily_change
            FROM implied""",

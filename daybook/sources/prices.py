@@ -29,8 +29,14 @@ def _quotes(spark: SparkSession, path: str, file_format: str, folders: list[str]
     if file_format == "csv":
         rows = _checked(spark, path, folders)
         told = F.concat(F.lit("bad quote: "), F.to_json(F.struct(*rows.drop(BAD_QUOTE, *QUOTES.names).columns)))
-        date = F.when(F.col(BAD_QUOTE), F.raise_error(told).cast("date")).otherwise(F.col("Date"))
-        return rows.select(date.alias("Date"), *QUOTES.names[1:], *folders)
+
+        def refused(name: str) -> Column:
+            # what a plan reads is checked, also where it does not read the date
+            bad = F.col(BAD_QUOTE) if name == "Date" else _unreadable("Date") | F.col("raw_Date").isNull() | _unreadable(name)
+            kind = QUOTES[name].dataType.simpleString()
+            return F.when(bad, F.raise_error(told).cast(kind)).otherwise(F.col(name)).alias(name)
+
+        return rows.select(*[refused(name) for name in QUOTES.names], *folders)
     schema = T.StructType([*QUOTES.fields, *[T.StructField(f, T.StringType()) for f in folders]])
     return spark.read.format(file_format).schema(schema).load(path)
 
@@ -39,9 +45,14 @@ def _checked(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
     """Typed columns beside the raw ones (``raw_<name>``), and whether a row is bad."""
     raw = read_csv_by_name(spark, path, QUOTES.names, folders)
     typed = {f.name: F.expr(f"try_cast(`raw_{f.name}` AS {f.dataType.simpleString()})") for f in QUOTES.fields}
-    lost = [F.col(f"raw_{n}").isNotNull() & ~F.col(f"raw_{n}").isin("nan", "NaN") & c.isNull() for n, c in typed.items()]
-    bad = F.col("raw_Date").isNull() | reduce(Column.__or__, lost)
-    return raw.select("*", *[c.alias(n) for n, c in typed.items()], bad.alias(BAD_QUOTE))
+    rows = raw.select("*", *[c.alias(n) for n, c in typed.items()])
+    bad = F.col("raw_Date").isNull() | reduce(Column.__or__, [_unreadable(n) for n in typed])
+    return rows.withColumn(BAD_QUOTE, bad)
+
+
+def _unreadable(name: str) -> Column:
+    raw = F.col(f"raw_{name}")
+    return raw.isNotNull() & ~raw.isin("nan", "NaN") & F.col(name).isNull()
 
 
 def malformed_quotes(spark: SparkSession, path: str) -> DataFrame:

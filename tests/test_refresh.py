@@ -10,6 +10,7 @@ from daybook.plans import refresh as job
 from daybook.plans import relations as rel
 from daybook.schemas import KEY_EVENTS, PRICES
 from daybook.sinks import write_csv
+from daybook.snapshots import Snapshots
 from daybook.sources.files import read_csv
 
 
@@ -104,3 +105,17 @@ def test_two_stages_and_two_feeds_of_a_day(spark, small, landed, tmp_path):
     assert sorted(r["title"] for r in news.collect()) == ["a0", "a1", "b0"]
     unanswered = spark.read.parquet(f"{out}/unanswered_requests")
     assert sorted(r["event_date"] for r in unanswered.collect()) == days[1:]
+
+
+def test_refresh_into_snapshots(spark, small, landed, tmp_path):
+    out = Snapshots(spark, str(tmp_path / "snapshots"))
+    sources = [f"{landed}/{name}" for name in ("quotes", "volatility", "sentiment")]
+    dates = {"start": "1995-01-01", "end": "2002-01-01"}
+    job.refresh(spark, *sources, f"{landed}/feeds", out, **dates)
+    assert out.versions() == [1, 2]
+    events = out.tables()["key_events"]
+    assert sorted(rows(events)) == sorted(rows(rel.key_events_table(spark, small)))
+    assert {"key_events_news", "unanswered_requests", "prices"} <= set(out.tables())
+    with pytest.raises(Exception):  # noqa: B017
+        job.refresh_events(spark, sources[0], str(tmp_path / "nothing landed"), sources[2], out, **dates)
+    assert out.versions() == [1, 2] and sorted(rows(out.tables()["key_events"])) == sorted(rows(events))

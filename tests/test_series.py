@@ -10,7 +10,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from daybook.operators import blocks, metrics, series
+from daybook.operators import blocks, concat, cuts, metrics, series, stored_series, transforms
 from daybook.operators.blocks import Series
 from daybook.plans import relations as rel
 
@@ -264,3 +264,136 @@ def test_blocks_of_ten_minutes(spark, kind):
 def test_drawdown_alone_needs_one_row_before_a_block(spark, small):
     plan = metrics.max_drawdown(rel.prices(spark, small))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" not in plan
+
+
+# Blocks cut by rows
+
+
+def _ticks(spark, n=6000):
+    """Half of all rows on one day of one asset, values repeated, some missing."""
+    return spark.range(n).selectExpr(
+        "IF(id % 4 < 3, 'hot', 'cold' || id % 3) AS asset",
+        "date_add(date'2000-01-01', IF(id % 2 = 0, 700, CAST(id % 1500 AS INT))) AS date",
+        "IF(id % 97 = 0, NULL, 1 + pmod(xxhash64(id), 900) / 100.0D) AS close",
+        "id",
+    ).repartition(6)
+
+
+@pytest.mark.parametrize("ties", [(), ("id",)])
+def test_blocks_by_rows_give_the_same_features(spark, ties):
+    ticks = _ticks(spark)
+    whole = series.price_features(ticks, Series(span_days=100_000, ties=("id",)))
+    cut = series.price_features(ticks, Series(block_rows=150, ties=("id",)))
+    for one, other in zip(whole.orderBy("id").collect(), cut.orderBy("id").collect(), strict=True):
+        for a, b in zip(one, other, strict=True):
+            assert a == b or a == pytest.approx(b, rel=1e-9, abs=1e-12)
+    lows = [metrics.max_drawdown(ticks, Series(ties=ties, **kind)).orderBy("asset").toPandas() for kind in ({"block_rows": 150}, {"span_days": 100_000})]
+    pd.testing.assert_frame_equal(*lows, rtol=1e-9)
+
+
+def test_a_hot_day_is_spread_over_blocks(spark):
+    layout = Series(block_rows=150, ties=("id",))
+    sizes = blocks.with_block(_ticks(spark), layout).groupBy(*layout.block_keys).count().toPandas()["count"]
+    assert sizes.sum() == 6000 and len(sizes) > 30
+    assert sizes.max() <= 2 * 150
+
+
+def test_cuts_order_null_first_and_keep_equal_rows_together(spark):
+    rows_ = [(k, None if v % 5 == 0 else v % 40, t) for k in ("a", "b", None) for v in range(300) for t in "xy"]
+    df = spark.createDataFrame(rows_, "k string, v int, t string")
+    for keys in (["k"], []):
+        placed = cuts.sampled_cuts(df, keys, ["v", "t"], 50).place(df, "block").toPandas()
+        for _, group in placed.groupby(keys or (lambda _: 0), dropna=True):
+            ordered = group.assign(v=group["v"].fillna(-1)).sort_values(["v", "t"])
+            assert ordered["block"].is_monotonic_increasing
+            assert (ordered.groupby(["v", "t"])["block"].nunique() == 1).all()
+            assert ordered["block"].nunique() > 2
+    assert cuts.sampled_cuts(df, ["k"], ["v"], 10_000).table is None
+    assert cuts.sampled_cuts(df.limit(0), ["k"], ["v"], 10).place(df, "block").agg(F.max("block")).head()[0] == 0
+
+
+@pytest.mark.parametrize("n", [2, 7, 250])
+def test_lead_in_is_exactly_the_rows_before_a_block(spark, data, n):
+    layout = Series(span_days=23)
+    led = blocks.with_lead_in(_frame(spark, data), layout, n).toPandas()
+    history = {a: list(g.sort_values("date")["date"]) for a, g in data.groupby("asset")}
+    for (asset, _), block in led.groupby(["asset", "_block"]):
+        own = block[~block["_lead_in"]]["date"].min()
+        place = history[asset].index(own)
+        assert sorted(block[block["_lead_in"]]["date"]) == history[asset][max(0, place - n) : place]
+
+
+def test_one_row_windows_and_long_ones(spark, data):
+    out = series.rolling_volatility(_frame(spark, data), 1, Series(span_days=20))
+    assert out.where("volatility_1d IS NOT NULL").count() == 0
+    longer = series.rolling_volatility(_frame(spark, data), 120, Series(span_days=20))
+    parts = [_expected(g).assign(volatility_120d=lambda x: x["daily_return"].rolling(120).std()) for _, g in data.groupby("asset")]
+    expected = pd.concat(parts).sort_values(["asset", "date"]).reset_index(drop=True)
+    _compare(longer, expected, ["volatility_120d"])
+
+
+def test_a_far_value_does_not_blur_later_windows(spark):
+    closes = [1.0, 1e9, 1.0] + [1.0 + (i % 7) / 1000 for i in range(60)]
+    out = series.rolling_volatility(_closes(spark, closes), 5).orderBy("date").toPandas()
+    expected = pd.Series(closes).pct_change().rolling(5).apply(lambda w: np.std(w, ddof=1), raw=True)
+    np.testing.assert_allclose(out["volatility_5d"].astype(float)[10:], expected[10:], rtol=1e-12)
+
+
+# Drawdown from block states
+
+
+def test_drawdown_moves_the_rows_once_and_windows_none(spark, small, tmp_path):
+    path = str(tmp_path / "prices")
+    rel.prices(spark, small).write.parquet(path)
+    plan = metrics.max_drawdown(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    rows_moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "_block" in line]
+    assert len(rows_moved) == 1 and "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+    assert plan.index("Window") < plan.index("ObjectHashAggregate")  # above it: over block states alone
+
+
+@pytest.mark.parametrize("closes", [
+    [1.0], [None], [None, None, 3.0], [0.0, 0.0], [5.0, -5.0, 10.0, -1.0, -2.0, 4.0], [1.0, 0.0, 2.0, 1.0],
+    [-1.0, -2.0, -0.5, None, -4.0, -1.0], [2.0, None, 1.0, 4.0, 1.0, -3.0, None, 8.0, 8.0, 2.0],
+])
+@pytest.mark.parametrize("span", [1, 3, 1000])
+def test_drawdown_of_odd_series(spark, closes, span):
+    data = pd.DataFrame({"asset": "x", "date": [_day(i) for i in range(len(closes))], "close": np.array(closes, dtype=float)})
+    [(_, low)] = rows(metrics.max_drawdown(_frame(spark, data), Series(span_days=span)))
+    assert low == pytest.approx(_expected(data)["growth_drawdown"].min(), rel=1e-9, abs=1e-12)
+
+
+# Transforms of the caller's own, stored series, ordered strings
+
+
+@pytest.mark.parametrize("layout", [Series(span_days=1), Series(span_days=40), Series(), Series(block_rows=90)])
+def test_exponential_mean_does_not_depend_on_blocks(spark, data, layout):
+    out = transforms.exponential_mean(_frame(spark, data), 9, layout)
+    parts = []
+    for _, g in data.groupby("asset"):
+        g = g.sort_values("date")
+        parts.append(g.assign(ewm=g["close"].dropna().ewm(span=9, adjust=False).mean().reindex(g.index).ffill()))
+    expected = pd.concat(parts).sort_values(["asset", "date"]).reset_index(drop=True)
+    _compare(out, expected, ["ewm"])
+
+
+def test_stored_features_equal_clipping_after(spark, data, tmp_path):
+    layout, prices = Series(span_days=50), _frame(spark, data)
+    stored_series.store_series(prices, str(tmp_path), layout)
+    out = stored_series.stored_features(spark, str(tmp_path), prices, "1969-08-01", "1970-02-10", layout)
+    columns = ["asset", "date", "close", "daily_return", "cum_return", "volatility_30d", "rolling_return_30d", "rolling_return_90d", "rolling_max", "drawdown"]
+    clipped = series.price_features(prices, layout).where("date >= '1969-08-01' AND date < '1970-02-10'")
+    ours, theirs = (df.select(columns).orderBy("asset", "date").toPandas() for df in (out, clipped))
+    assert len(ours) > 50
+    pd.testing.assert_frame_equal(ours, theirs, rtol=1e-9)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(_block") == 2
+    with pytest.raises(ValueError, match="stretches of time"):
+        stored_series.store_series(prices, str(tmp_path / "x"), Series(block_rows=5))
+
+
+def test_ordered_strings_do_not_depend_on_ranges(spark):
+    texts = [(k, None if i % 11 == 0 else f"t{i % 50:02d}" + "é" * (i % 3), 1 + i % 3) for k in ("a", "b") for i in range(200)] + [("c", None, 2)]
+    counted = spark.createDataFrame(texts, "k string, text string, copies int")
+    expected = {k: " | ".join(sorted(t for kk, t, n in texts if kk == k and t for _ in range(n))) or None for k in "abc"}
+    for size in (7, 100_000):
+        assert dict(rows(concat.joined_in_order(counted, ["k"], "text", "copies", " | ", size))) == expected

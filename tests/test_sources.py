@@ -5,10 +5,12 @@ import json
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from daybook.operators import ranges
 from daybook.sinks import export_tables, overwrite_files, overwrite_table, write_csv
-from daybook.sources import feeds, files, prices, sentiment
+from daybook.snapshots import Snapshots
+from daybook.sources import elements, feeds, files, prices, sentiment
 
 
 def _item(title="T", date="D", source=None, link=None):
@@ -227,3 +229,159 @@ def test_export_counts_rows_while_writing(spark, tmp_path):
     out = export_tables(spark, tables, str(tmp_path))
     assert sorted(rows(out)) == [("a", 7, 1), ("b", 0, 2)]
     assert files.read_csv(spark, f"{tmp_path}/a_export.csv").count() == 7
+
+
+# Feeds that break off, and files read by element
+
+
+@pytest.mark.parametrize(
+    ("text", "kept"),
+    [
+        (_feed(_item("a"), _item("b"))[:-9], ["a", "b"]),  # inside the closing tags
+        ("<rss><channel>" + _item("a") + _item("b")[:-3], ["a"]),
+        ("<rss><channel>" + _item("a") + "<item><title>b", ["a"]),
+        (_feed(_item("a"), "<item><title>&bad;</title><pubDate>D</pubDate></item>", _item("c")), ["a"]),
+        (_feed(_item("a"), "<item><title>x</b></title></item>", _item("c")), ["a"]),
+        ("<rss><channel><title>no items", []),
+        ("", []),
+        (_feed(_item("a"), _item(date=None), _item("c"))[:-6], ["a"]),
+    ],
+)
+def test_broken_feeds_keep_the_items_before_the_break(spark, text, kept):
+    docs = _documents(spark, text, _feed(_item("other")))
+    out = rows(feeds.feed_items(docs).orderBy("event_date", "position"))
+    assert [(r[1], r[2]) for r in out if r[0] == "d0"] == list(enumerate(kept))
+    assert [r[2] for r in out if r[0] == "d1"] == ["other"]
+    if text:
+        assert rows(feeds.malformed_feeds(docs)) == [("d0",)]
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Files are cut into many small splits."""
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", kept[0])
+    spark.conf.set("spark.sql.files.openCostInBytes", kept[1])
+
+
+def _land_feed(folder, day, text, name="f.xml"):
+    place = folder / f"event_date={day}"
+    place.mkdir(parents=True, exist_ok=True)
+    (place / name).write_text(text)
+
+
+def test_a_large_feed_is_read_by_many_tasks(spark, tmp_path, small_splits):
+    many = [_item(f"t{i} ž &amp; <![CDATA[<b>]]>", source=None if i % 3 else "S", link="l" * (i % 50)) for i in range(1500)]
+    _land_feed(tmp_path, "d0", _feed(*many))
+    _land_feed(tmp_path, "d1", _feed(*many[:40], _item(date=None), *many[40:]))
+    _land_feed(tmp_path, "d2", _feed(*many[:10])[:-40])
+    _land_feed(tmp_path, "d3", "<rss><channel/></rss>")
+    _land_feed(tmp_path, "d4", _feed(_item("first")), "a.xml")
+    _land_feed(tmp_path, "d4", _feed(_item("of another file")), "b.xml")
+    by_item = elements.landed_feed_items(spark, str(tmp_path), n=1000)
+    whole = feeds.feed_items(feeds.landed_feeds(spark, str(tmp_path), with_file=True), n=1000)
+    assert sorted(rows(by_item.select(whole.columns)), key=str) == sorted(rows(whole), key=str)
+    assert by_item.count() == 1000 + 40 + 9 + 2
+    assert elements._elements(spark, str(tmp_path / "event_date=d0"), elements.ITEM_END, []).rdd.getNumPartitions() > 20
+
+
+def test_a_large_payload_is_read_by_many_tasks(spark, tmp_path, small_splits):
+    def day(i):
+        return {"value": str(i % 100), "value_classification": "Fear, [so]", "timestamp": str(i * 86400)}
+
+    for name, days in (("a", range(2000)), ("b", range(5000, 5003)), ("c", [])):
+        (tmp_path / f"{name}.json").write_text(json.dumps({"name": "x", "data": [day(i) for i in days], "metadata": {"error": None}}, indent=1 if name == "b" else None))
+    by_element = elements.landed_sentiment_days(spark, str(tmp_path))
+    whole = sentiment.sentiment_days(sentiment.landed_payloads(spark, str(tmp_path)))
+    assert sorted(rows(by_element)) == sorted(rows(whole)) and by_element.count() == 2003
+
+
+@pytest.mark.parametrize(
+    "text",
+    ['{"name": "x"}', '{"data": [{"value": "1"}]}', '{"data": [{"value": "a", "timestamp": "1"}]}', '{"data": [{"value": "1", "value_classification": "{x}", "timestamp": "1"}]}'],
+)
+def test_bad_payload_elements_are_an_error(spark, tmp_path, text):
+    (tmp_path / "p.json").write_text(text)
+    with pytest.raises(Exception, match="sentiment|MALFORMED|malformed"):
+        elements.landed_sentiment_days(spark, str(tmp_path)).collect()
+
+
+def test_bad_quotes_are_an_error_without_the_date(spark, tmp_path):
+    folder = tmp_path / "asset=X"
+    folder.mkdir()
+    (folder / "q.csv").write_text("Date,Open,High,Low,Close,Volume\n2020-01-01,1,1,1,1,1\n2020-01-02,1,1,1,n/a,1\n")
+    quotes = prices.landed_quotes(spark, str(tmp_path))
+    with pytest.raises(Exception, match="bad quote"):
+        quotes.groupBy("asset").avg("Close").collect()
+    assert quotes.groupBy("asset").avg("Open").collect()[0][1] == 1.0
+
+
+# Snapshots
+
+
+def test_tables_of_a_version_change_together(spark, tmp_path):
+    snapshots = Snapshots(spark, str(tmp_path))
+    with pytest.raises(LookupError):
+        snapshots.tables()
+    names = [f"t{i}" for i in range(5)]
+    with snapshots.draft() as draft:
+        for name in names:
+            draft.write(name, spark.range(1).toDF(name))
+    reader = snapshots.tables()
+    with pytest.raises(RuntimeError, match="last"), snapshots.draft() as draft:
+        for name in names[:-1]:
+            draft.write(name, spark.range(7).toDF(name))
+        raise RuntimeError("last of five")
+    assert [snapshots.tables()[n].count() for n in names] == [1] * 5
+    with snapshots.draft() as draft:
+        draft.write("t0", spark.range(3).toDF("t0"))
+        assert snapshots.tables()["t0"].count() == 1
+    assert [snapshots.tables()[n].count() for n in names] == [3, 1, 1, 1, 1]
+    assert [reader[n].count() for n in names] == [1] * 5
+    assert snapshots.tables(1)["t0"].count() == 1
+
+
+def test_only_the_faster_of_two_drafts_is_published(spark, tmp_path):
+    snapshots = Snapshots(spark, str(tmp_path))
+    first, second = snapshots.draft(), snapshots.draft()
+    for n, draft in enumerate((first, second)):
+        draft.write("t", spark.range(n + 1))
+    second.publish()
+    with pytest.raises(FileExistsError):
+        first.publish()
+    assert snapshots.tables()["t"].count() == 2
+    with pytest.raises(ValueError, match="table name"):
+        snapshots.draft().write("a/b", spark.range(1))
+
+
+def test_expired_versions_go_with_the_tables_only_they_name(spark, tmp_path):
+    snapshots = Snapshots(spark, str(tmp_path))
+    for n in range(4):
+        with snapshots.draft() as draft:
+            draft.write("new", spark.range(n))
+            if n == 0:
+                draft.write("kept", spark.range(9))
+    snapshots.expire(2)
+    assert snapshots.versions() == [3, 4]
+    assert [snapshots.tables(v)["new"].count() for v in (3, 4)] == [2, 3]
+    assert snapshots.tables()["kept"].count() == 9
+    assert len(list((tmp_path / "_versions").glob("*/new"))) == 2
+
+
+def test_a_catalog_table_changes_in_one_step(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for n in (2, 3, 4):
+        table = overwrite_table(spark.range(n).toDF("n"), "stepped", root)
+        assert table.count() == n == spark.table("stepped").count()
+    before = spark.table("stepped")
+    with pytest.raises(Exception, match="lost"):
+        overwrite_table(spark.range(1).selectExpr("raise_error('lost') AS x", "id AS n").select(F.coalesce("n", F.col("x").cast("long")).alias("n")).where("x IS NULL"), "stepped", root)
+    assert spark.table("stepped").count() == 4 == before.count()
+    grown = overwrite_table(spark.table("stepped").selectExpr("n + 1 AS n"), "stepped", root)
+    assert sorted(r[0] for r in grown.collect()) == [1, 2, 3, 4]
+    with pytest.raises(ValueError, match="other columns"):
+        overwrite_table(spark.range(1).toDF("m"), "stepped", root)
+    spark.sql("DROP TABLE stepped")
