@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.tables import stored
+from daybook.llm.tables import noted, removed, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -13,9 +13,19 @@ def components(links: DataFrame) -> DataFrame:
 
     Every round takes the smallest label among the neighbours, then follows the
     label's own label, so the number of rounds grows with the logarithm of the
-    longest path. Each round is written to the shared folder; the driver only
-    learns whether a label changed.
+    longest path. Each round is written to the shared folder, where it takes the place
+    of the one before; the driver only learns whether a label changed.
     """
+    with noted() as made:
+        labels = _rounds(links, made)
+        kept = made.pop()
+        removed(links.sparkSession, made)
+        made.append(kept)
+    return labels
+
+
+def _rounds(links: DataFrame, made: list[str]) -> DataFrame:
+    """``components``; the last of the tables ``made`` is the one it returns."""
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = stored(both.where("a <> b").distinct(), "edges")
     labels = stored(
@@ -38,6 +48,7 @@ def components(links: DataFrame) -> DataFrame:
             ),
             "labels",
         )
+        removed(links.sparkSession, [made.pop(-2)])  # the round before
         changed = after.where("before <> component").limit(1).count()
         labels = after.select("node", "component")
         if not changed:

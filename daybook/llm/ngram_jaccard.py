@@ -13,7 +13,7 @@ from daybook.llm import setjoin
 from daybook.llm.arrowtext import grams, mix, signed, slices, words_of
 from daybook.llm.graph import components
 from daybook.llm.setjoin import ordered, prefix_length
-from daybook.llm.tables import filter_slot, member_filter, stored, whole_row
+from daybook.llm.tables import filter_slot, member_filter, only, stored, whole_row
 
 SHINGLE = 5
 #: Part of the hash range in which the document counts of shingles are taken; the
@@ -145,13 +145,13 @@ def ngram_jaccard(documents: DataFrame, text: str = "text", key: str = "doc_id")
     prefixes = known.select("key", "n", "prefix")
     shared = setjoin.shared_tokens(prefixes, F.col("n"), "shared")
     tested = stored(setjoin.first_pairs(shared), "pairs")
-    links = stored(_verified(tested, prefixes, docs, classes), "links")
+    links = only(spark, "links", lambda: _verified(tested, prefixes, docs, classes))
     groups = components(links)
     apart = setjoin.apart(shared, groups)
     at_home = setjoin.homes(apart)
-    within = setjoin.product_links(at_home, _sets_of(at_home.select("key"), docs, classes))
+    within = only(spark, "links", lambda: setjoin.product_links(at_home, _sets_of(at_home.select("key"), docs, classes)))
     rest = stored(setjoin.remaining_pairs(apart, at_home, tested), "pairs")
-    links = links.unionByName(stored(within, "links")).unionByName(stored(_verified(rest, prefixes, docs, classes), "links"))
+    links = links.unionByName(within).unionByName(only(spark, "links", lambda: _verified(rest, prefixes, docs, classes)))
     groups = components(links)
 
     labelled = classes.join(groups.withColumnRenamed("node", "key"), "key", "left").select(
@@ -176,8 +176,11 @@ def one_per_component(documents: DataFrame, text: str = "text", key: str = "doc_
     If the smallest key comes with several linked texts, the one of the smallest hash
     stays; of repeated rows one stays, by a hash of all its columns.
     """
-    found = ngram_jaccard(documents, text, key).where("component_key is not null and doc_id is not null")
-    found = stored(found.groupBy("doc_id", "text_hash", "component_key").agg(F.count(F.lit(1)).alias("copies")), "found")
+    def linked() -> DataFrame:
+        rows = ngram_jaccard(documents, text, key).where("component_key is not null and doc_id is not null")
+        return rows.groupBy("doc_id", "text_hash", "component_key").agg(F.count(F.lit(1)).alias("copies"))
+
+    found = only(documents.sparkSession, "found", linked)
     first = found.groupBy("component_key").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
     ranked = found.join(first, "component_key").withColumn("stays", F.struct("doc_id", "text_hash") == F.col("first"))
     gone = stored(ranked.where(~F.col("stays")).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")), "gone")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,9 +26,46 @@ def stored(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
     ``by`` has a folder of its own, so that filters on them read nothing else."""
     path = shared_path(df.sparkSession, label)
     (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Paths that ``stored`` has written, for each open ``noted``.
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """Collects the paths that ``stored`` writes meanwhile."""
+    _scopes.append([])
+    try:
+        yield _scopes[-1]
+    finally:
+        made = _scopes.pop()
+        if _scopes:
+            _scopes[-1].extend(made)
+
+
+def removed(spark: SparkSession, paths: list[str]) -> None:
+    """Removes stored tables that nothing reads any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+    paths.clear()
+
+
+def only(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The frame that ``build`` gives, stored; what it stored on the way is removed."""
+    with noted() as made:
+        out = stored(build(), label)
+        result = made.pop()
+        removed(spark, made)
+        made.append(result)
+    return out
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, all other characters as they are."""
     ascii_only = F.octet_length(text) == F.char_length(text)
