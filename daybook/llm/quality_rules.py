@@ -95,15 +95,22 @@ def _measure(column: pa.Array) -> list[np.ndarray]:
 
 
 def measured(documents: DataFrame, carry: Sequence[str], text: str, into: str) -> DataFrame:
-    """The ``carry`` columns and a struct ``into`` of the features."""
+    """The ``carry`` columns and a struct ``into`` of the features.
+
+    The text goes to the workers once, also where it is carried.
+    """
+    carried = text in carry and documents.schema[text].dataType.simpleString() == "string"
+    at = list(carry).index(text) if carried else len(carry)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            values = _measure(part.column(part.num_columns - 1))
+        for part in slices(batches, at):
+            values = _measure(part.column(at))
             features = pa.StructArray.from_arrays([pa.array(v, pa.int64()) for v in values], names=FEATURES)
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], features], names=[*part.schema.names[:-1], into])
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(carry)], features], names=[*part.schema.names[: len(carry)], into])
 
-    inner = documents.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{text}`").cast("string").alias(into))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema.fields[:-1])
+    measure = [] if carried else [F.col(f"`{text}`").cast("string").alias(into)]
+    inner = documents.select(*[F.col(f"`{c}`") for c in carry], *measure)
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema.fields[: len(carry)])
     fields = ", ".join(f"{f}: bigint" for f in FEATURES)
     return inner.mapInArrow(run, f"{kept}{', ' if kept else ''}`{into}` struct<{fields}>")
 
