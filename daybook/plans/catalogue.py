@@ -378,9 +378,12 @@ def long_volatility(spark, folder):
 
 
 def exponential_mean(spark, folder):
-    """A transform given by the caller, carried over blocks of 100 days."""
+    """A transform given by the caller, carried over blocks of 100 days.
+
+    Means are as large as prices: three places are what engines agree on.
+    """
     out = transforms.exponential_mean(rel.prices(spark, folder), 30, Series(span_days=100))
-    return _rounded(out, "ewm")
+    return _rounded(out, "ewm", places=3)
 
 
 def stored_range_features(spark, folder):

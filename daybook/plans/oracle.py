@@ -360,7 +360,7 @@ ORACLE: dict[str, str] = {
             UNION ALL
             SELECT n.asset, n.date, n.close, n.i, m.ewm + (n.close - m.ewm) * 2 / 31.0
             FROM mean m JOIN nth n ON n.asset = m.asset AND n.i = m.i + 1)
-        SELECT asset, date, close, round(ewm, 6) AS ewm FROM mean""",
+        SELECT asset, date, close, round(ewm, 3) AS ewm FROM mean""",
     "stored_range_features": _sql(
         f"""SELECT asset, date, close, {_rounded(*_ALL_FEATURES)} FROM feat
             WHERE date >= DATE '1996-06-01' AND date < DATE '1997-06-01'""",
