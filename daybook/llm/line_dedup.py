@@ -12,9 +12,16 @@ from pyspark.sql import functions as F
 from daybook.llm import setjoin
 from daybook.llm.arrowtext import buffers, mix, signed, slices, spans, word_hashes
 from daybook.llm.setjoin import prefix_length
-from daybook.llm.tables import filter_slot, member_filter, stored, whole_row
+from daybook.llm.tables import filter_slot, member_filter, noted, removed, stored, whole_row
 
 _SIGN = np.int64(-(1 << 63))
+_SLOTS = 1 << 22
+#: Smaller sets are similar to no other: of sets of three and four words, three are shared at most.
+LEAST = 4
+#: A token in the prefixes of more sets is compared in cells of two blocks of so many.
+CELL = 1 << 14
+#: Rows that are compared at once, if they are whole cells.
+CHUNK = 1 << 18
 
 
 def _line_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -69,8 +76,25 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n)], names=["token", "n"])
 
 
-def _sets(common, whole: bool):
-    """Per line with a word: its place, set key, size, and prefix or whole set."""
+def _bitmaps(tokens: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """128 parity bits per set, in two numbers: each token flips one bit.
+
+    Tokens that two sets share cancel out, so the bits in which their bitmaps differ
+    are at most as many as the tokens that only one of them has.
+    """
+    place = mix(tokens.view(np.uint64) ^ np.uint64(0x9FB21C651E98DF25)) & np.uint64(127)
+    bit = np.uint64(1) << (place & np.uint64(63))
+    halves = (np.where(place < 64, bit, np.uint64(0)), np.where(place < 64, np.uint64(0), bit))
+    return [signed(np.bitwise_xor.reduceat(half, starts)) for half in halves]
+
+
+def _lists(tokens: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens))
+
+
+def _line_sets(common):
+    """Per line with a word: its place, set key, size, bitmaps and prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             words, line_of, place = _line_words(part.column("text"))
@@ -79,61 +103,208 @@ def _sets(common, whole: bool):
             lines, tokens = _tokens(words, line_of, common.value)
             begin = np.flatnonzero(np.concatenate(([True], lines[1:] != lines[:-1])))
             n = np.diff(np.append(begin, len(lines)))
-            keys = _keys(tokens, begin, n)
-            if whole:
-                ends = np.append(begin, len(tokens)).astype(np.int32)
-                columns = {"key": pa.array(keys), "tokens": pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens))}
-            else:
-                within = np.arange(len(tokens)) - np.repeat(begin, n)
-                size = prefix_length(n)
-                ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
-                prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens[within < np.repeat(size, n)]))
-                row, number = place[0][lines[begin]], place[1][lines[begin]]
-                columns = {
-                    "doc_id": part.column("doc_id").take(pa.array(row)), "text_key": part.column("text_key").take(pa.array(row)),
-                    "line": pa.array(number), "key": pa.array(keys), "n": pa.array(n.astype(np.int32)), "prefix": prefix,
-                }
+            # a set of three words or fewer is similar to no other
+            size = np.where(n >= LEAST, prefix_length(n), 0)
+            within = np.arange(len(tokens)) - np.repeat(begin, n)
+            low, high = _bitmaps(tokens, begin)
+            row, number = pa.array(place[0][lines[begin]]), place[1][lines[begin]]
+            columns = {
+                "doc_id": part.column("doc_id").take(row), "text_key": part.column("text_key").take(row), "line": pa.array(number),
+                "key": pa.array(_keys(tokens, begin, n)), "n": pa.array(n.astype(np.int32)),
+                "low": pa.array(low), "high": pa.array(high), "prefix": _lists(tokens[within < np.repeat(size, n)], size),
+            }
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return run
 
 
-def _verified(pairs: DataFrame, prefixes: DataFrame, docs: DataFrame, classes: DataFrame, common) -> DataFrame:
-    """The pairs of set keys whose whole sets reach the similarity."""
-    pairs = stored(setjoin.bounded_pairs(pairs, prefixes), "bounded")
-    keys = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "wanted")
-    owners = stored(keys.join(classes, "key").select("first.doc_id").distinct(), "owners")
-    slots = docs.sparkSession.sparkContext.broadcast(np.flatnonzero(member_filter(owners, "doc_id")))
+def _entries(classes: DataFrame, asks: Column) -> DataFrame:
+    """A row per prefix token; ``meta`` holds size, position, and whether the set asks."""
+    return classes.select(
+        "first.*", "low", "high", F.shiftleft(F.col("n").cast("bigint"), 34).alias("size"), asks.cast("bigint").alias("asks"),
+        F.posexplode("prefix").alias("pos", "token"),
+    ).select(
+        "doc_id", "text_key", "line", "low", "high", "token",
+        (F.col("size") + F.shiftleft(F.col("pos").cast("bigint"), 3) + F.col("asks") * 4).alias("meta"),
+    )
+
+
+def _cells(entries: DataFrame, hot: DataFrame) -> DataFrame:
+    """Entries with the cell of their token that they are compared in.
+
+    A token of ``hot(token, blocks)`` deals its sets out to blocks, and each two
+    blocks meet in a cell of their own; in such a cell only sets of different blocks
+    are compared (side 1 with side 2). Other tokens have one cell.
+    """
+    own = F.pmod(F.xxhash64("text_key", "line"), F.col("blocks"))
+    cells = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1),
+        lambda k: F.struct(
+            (F.least(own, k) * F.col("blocks") + F.greatest(own, k)).alias("cell"),
+            F.when(own == k, 0).when(own < k, 1).otherwise(2).cast("bigint").alias("side"),
+        ),
+    )
+    one = F.array(F.struct(F.lit(0).cast("bigint").alias("cell"), F.lit(0).cast("bigint").alias("side")))
+    dealt = entries.join(hot, "token", "left").withColumn("at", F.explode(F.when(F.col("blocks").isNull(), one).otherwise(cells)))
+    return dealt.select("token", "at.cell", "doc_id", "text_key", "line", "low", "high", (F.col("meta") + F.col("at.side")).alias("meta"))
+
+
+def _candidates(every: bool):
+    """Pairs of sets of one cell that meet all bounds, from rows in the order of places.
+
+    Bounds: sizes, positions of the shared token, and bits in which the bitmaps
+    differ. A pair is told by the later set, if it asks: with ``every`` each of its
+    pairs, else the one whose bitmap differs least, and if there are ``more``.
+    """
+    names = ("text_key", "line", "low", "high", "meta")
+
+    def pairs(c: dict, group: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def told(x: np.ndarray, y: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
+            columns = [c["text_key"][x], c["line"][x], c["text_key"][y], c["line"][y], more]
+            return pa.RecordBatch.from_arrays([pa.array(v) for v in columns], names=["x_text", "x_line", "y_text", "y_line", "more"])
+
+        order = np.lexsort((c["meta"] >> 34, group))  # where a row came is its place
+        group, meta = group[order], c["meta"][order]
+        low, high = c["low"][order].view(np.uint64), c["high"][order].view(np.uint64)
+        n, pos, asks, side = meta >> 34, (meta >> 3) & ((1 << 31) - 1), (meta & 4) > 0, meta & 3
+        best = np.full(len(order), 1 << 60, dtype=np.int64)  # bits that differ, then the earliest place
+        count = np.zeros(len(order), dtype=np.int64)
+        i, d, held, size = np.arange(len(order)), 0, [], 0
+        while True:
+            d += 1
+            i = i[i < len(order) - d]
+            i = i[(group[i] == group[i + d]) & (4 * n[i + d] <= 5 * n[i])]
+            if len(i) == 0:
+                break
+            j = i + d
+            both = n[i] + n[j]
+            ok = (9 * (n[i] - pos[i]) >= 4 * both) & (9 * (n[j] - pos[j]) >= 4 * both)
+            # different sets of one size miss a word each
+            ok &= ((n[i] != n[j]) | (n[i] >= 9)) & ((side[i] != side[j]) | (side[i] == 0))
+            a, b, both = i[ok], j[ok], both[ok]
+            differ = np.bitwise_count(low[a] ^ low[b]).astype(np.int64) + np.bitwise_count(high[a] ^ high[b])
+            near = 9 * differ <= both
+            a, b, differ = a[near], b[near], differ[near]
+            for x, y in ((a, b), (b, a)):
+                take = (order[x] < order[y]) & asks[y]
+                x, y = x[take], y[take]
+                if every:
+                    held.append((order[x], order[y]))
+                    size += len(x)
+                else:
+                    best[y] = np.minimum(best[y], (differ[take] << 48) + order[x])
+                    count[y] += 1
+            if size > 1 << 18:
+                x, y = (np.concatenate(side_) for side_ in zip(*held, strict=True))
+                yield told(x, y, np.zeros(len(x), dtype=bool))
+                held, size = [], 0
+        if every:
+            if size:
+                x, y = (np.concatenate(side_) for side_ in zip(*held, strict=True))
+                yield told(x, y, np.zeros(len(x), dtype=bool))
+        elif (count > 0).any():
+            y = np.flatnonzero(count)
+            yield told(best[y] & ((1 << 48) - 1), order[y], count[y] > 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+
+        def joined() -> tuple[pa.Table, np.ndarray]:
+            table = pa.Table.from_batches(held)
+            token, cell = table.column("token").to_numpy(), table.column("cell").to_numpy()
+            new = np.ones(len(token), dtype=bool)
+            new[1:] = (token[1:] != token[:-1]) | (cell[1:] != cell[:-1])
+            return table, np.cumsum(new)
+
+        def columns(table: pa.Table) -> dict:
+            return {x: table.column(x).to_numpy() for x in names}
+
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= CHUNK:
+                table, group = joined()
+                last = int(np.searchsorted(group, group[-1]))
+                yield from pairs(columns(table.slice(0, last)), group[:last])
+                held, rows = table.slice(last).to_batches(), 0
+        if held:
+            table, group = joined()
+            yield from pairs(columns(table), group)
+
+    return run
+
+
+def _line_slot(text_key: Column, line: Column) -> Column:
+    return (text_key.bitwiseAND(_SLOTS - 1) + line * 40503).bitwiseAND(_SLOTS - 1).cast("int")
+
+
+def _met(entries: DataFrame, hot: DataFrame, every: bool) -> DataFrame:
+    """Distinct candidate pairs (x earlier than y), stored."""
+    rows = _cells(entries, hot).repartition("token", "cell").sortWithinPartitions("token", "cell", "doc_id", "text_key", "line")
+    schema = "x_text bigint, x_line bigint, y_text bigint, y_line bigint, more boolean"
+    found = rows.drop("doc_id").mapInArrow(_candidates(every), schema)
+    return stored(found.groupBy("x_text", "x_line", "y_text", "y_line").agg(F.max("more").alias("more")), "pairs")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, common) -> DataFrame:
+    """(text_key, line) of the later sets of pairs whose whole sets reach the similarity.
 
-    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        inside = np.zeros(1 << 22, dtype=bool)
-        inside[slots.value] = True
+    Only texts with a wanted line are cut again, and only lines that pass a filter of
+    fixed size are given; the joins that follow are exact.
+    """
+    sides = F.explode(F.array(*[F.struct(F.col(f"{s}_text").alias("text_key"), F.col(f"{s}_line").alias("line")) for s in "xy"]))
+    wanted = stored(pairs.select(sides.alias("of")).select("of.*").distinct(), "wanted")
+    spark = docs.sparkSession
+    texts = spark.sparkContext.broadcast(np.flatnonzero(member_filter(wanted, "text_key")))
+    slots = wanted.select(_line_slot(F.col("text_key"), F.col("line")).alias("slot")).distinct().toArrow().column("slot")
+    lines_in = spark.sparkContext.broadcast(slots.to_numpy())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        inside, lined = np.zeros(_SLOTS, dtype=bool), np.zeros(_SLOTS, dtype=bool)
+        inside[texts.value], lined[lines_in.value] = True, True
         for batch in batches:
             take = inside[batch.column("slot").to_numpy()]
-            if take.any():
-                yield batch.filter(pa.array(take)).select(["text"])
-
-    few = docs.select("text", filter_slot("doc_id").alias("slot")).mapInArrow(chosen, "text string")
-    sets = few.mapInArrow(_sets(common, True), "key bigint, tokens array<bigint>").join(keys, "key", "left_semi")
-    sets = stored(sets.dropDuplicates(["key"]), "sets")
-    a = sets.select(F.col("key").alias("a"), F.col("tokens").alias("a_tokens"))
-    b = sets.select(F.col("key").alias("b"), F.col("tokens").alias("b_tokens"))
-    both = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    return pairs.join(b, "b").join(a, "a").where(9 * both >= 4 * (F.size("a_tokens") + F.size("b_tokens"))).select("a", "b")
-
-
-def _removed(links: DataFrame, classes: DataFrame) -> DataFrame:
-    """(node, component): classes with an earlier link, and the earliest of these."""
-    first = classes.select("key", "first")
-    placed = (
-        links.join(first.select(F.col("key").alias("a"), F.col("first").alias("a_first")), "a")
-        .join(first.select(F.col("key").alias("b"), F.col("first").alias("b_first")), "b")
+            for part in slices(iter([batch.filter(pa.array(take))])) if take.any() else ():
+                words, line_of, place = _line_words(part.column("text"))
+                text_key = part.column("text_key").to_numpy()
+                number = place[1]
+                wants = lined[((text_key[place[0]] & (_SLOTS - 1)) + number * 40503) & (_SLOTS - 1)]
+                words, line_of = words[wants[line_of]], line_of[wants[line_of]]
+                if len(words) == 0:
+                    continue
+                lines, tokens = _tokens(words, line_of, common.value)
+                begin = np.flatnonzero(np.concatenate(([True], lines[1:] != lines[:-1])))
+                sets = _lists(tokens, np.diff(np.append(begin, len(lines))))
+                at = lines[begin]
+                yield pa.RecordBatch.from_arrays([pa.array(text_key[place[0][at]]), pa.array(number[at]), sets], names=["text_key", "line", "tokens"])
+
+    few = docs.select("text_key", filter_slot("text_key").alias("slot"), "text")
+    found = few.mapInArrow(run, "text_key bigint, line bigint, tokens array<bigint>").join(wanted, ["text_key", "line"], "left_semi")
+    sets = stored(found.dropDuplicates(["text_key", "line"]), "sets")
+    x, y = (sets.select(F.col("text_key").alias(f"{s}_text"), F.col("line").alias(f"{s}_line"), F.col("tokens").alias(f"{s}_tokens")) for s in "xy")
+    both = F.size(F.array_intersect("x_tokens", "y_tokens"))
+    near = (
+        pairs.join(x, ["x_text", "x_line"]).join(y, ["y_text", "y_line"])
+        .where(9 * both >= 4 * (F.size("x_tokens") + F.size("y_tokens")))
     )
-    later = F.col("a_first") > F.col("b_first")
-    return placed.select(
-        F.when(later, F.col("a")).otherwise(F.col("b")).alias("node"),
-        F.when(later, F.struct("b_first", "b")).otherwise(F.struct(F.col("a_first").alias("b_first"), F.col("a").alias("b"))).alias("by"),
-    ).groupBy("node").agg(F.min("by").alias("by")).select("node", F.col("by.b").alias("component"))
+    return near.select(F.col("y_text").alias("text_key"), F.col("y_line").alias("line")).distinct()
+
+
+def _hot(classes: DataFrame, words: DataFrame, common) -> DataFrame:
+    """(token, blocks) of the tokens that more than ``CELL`` sets have in their prefix.
+
+    Only words that occur that often in all lines can be such tokens, so no others are
+    counted.
+    """
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                _, token = _tokens(batch.column(0).to_numpy(), np.arange(batch.num_rows), common.value)
+                yield pa.RecordBatch.from_arrays([pa.array(token)], names=["token"])
+
+    often = words.where(F.col("n") > CELL).select("token").mapInArrow(named, "token bigint")
+    sets = classes.select(F.explode("prefix").alias("token")).join(often, "token").groupBy("token").agg(F.count(F.lit(1)).alias("sets"))
+    return stored(sets.where(F.col("sets") > CELL).select("token", F.ceil(F.col("sets") / CELL).cast("bigint").alias("blocks")), "hot")
 
 
 def repeated_lines(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -144,41 +315,46 @@ def repeated_lines(documents: DataFrame, key: str = "doc_id", text: str = "text"
     A line in ``same`` has the set of an earlier line; a line in ``near`` has not, but
     an earlier line's set with Jaccard 0.8 or more. Both hold line numbers from 0.
 
-    Method: words are counted over all lines; sets are ordered by rarity, and joined
-    by the words of their prefixes under length and positional bounds; the overlap
-    of whole sets decides. Lines with one set are one row of the join. A set is first
-    compared with the earliest of its size that shares a word of its prefix, and
-    with neighbours; only pairs with a set that this leaves in are compared further.
+    Method: words are counted over all lines; sets are ordered by rarity and meet at
+    the words of their prefixes, where sizes, positions and bitmaps bound their
+    overlap; the overlap of whole sets decides. Lines with one set are one row of the
+    join. A set is first compared, at each of its prefix words, with the earlier set
+    that is nearest by bitmap. Sets that then have no match, but other candidates,
+    are compared with all of these. A word in the prefixes of very many sets is split
+    into cells of bounded size.
 
     Defined cases: NULL, empty and blank texts have no lines. A NULL key sorts first.
     Repeated rows are one document; a key with several texts is ordered by their
-    hash next. Other columns are not looked at. Words and sets are compared by 64-bit
-    hashes.
+    hash next. Very long lines are whole sets. Other columns are not looked at. Texts,
+    words and sets are compared by 64-bit hashes.
     """
     spark = documents.sparkSession
     docs = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
     counts = docs.select("text").mapInArrow(_word_counts, "token bigint, n bigint")
-    common = spark.sparkContext.broadcast(setjoin.common_tokens(counts))
-    schema = "doc_id bigint, text_key bigint, line bigint, key bigint, n int, prefix array<bigint>"
-    lines = stored(docs.mapInArrow(_sets(common, False), schema), "lines")
-    classes = stored(
-        lines.groupBy("key").agg(F.min(F.struct("doc_id", "text_key", "line")).alias("first"), F.max("n").alias("n"), F.first("prefix").alias("prefix")),
-        "classes",
-    )
-    prefixes = classes.select("key", "n", "prefix")
-    shared = setjoin.shared_tokens(classes.select("key", "n", "prefix", "first"), F.col("first.doc_id"), "shared")
-    tested = stored(setjoin.first_pairs(shared), "pairs")
-    links = stored(_verified(tested, prefixes, docs, classes, common), "links")
-    removed = stored(_removed(links, classes), "removed")
-    apart = setjoin.apart(shared, removed)
-    nowhere = removed.where(F.lit(False)).select(F.col("node").alias("key"), F.col("component").alias("home"))
-    rest = stored(setjoin.remaining_pairs(apart, nowhere, tested), "pairs")
-    links = links.unionByName(stored(_verified(rest, prefixes, docs, classes, common), "links"))
-    removed = _removed(links, classes).select(F.col("node").alias("key"), F.lit(True).alias("near"))
-    flags = classes.select("key", "first").join(removed, "key", "left")
-    own = F.struct("doc_id", "text_key", "line")
-    judged = lines.select("doc_id", "text_key", "line", "key").join(flags, "key").select(
-        "doc_id", "text_key", "line", (own > F.col("first")).alias("same"), F.coalesce("near", F.lit(False)).alias("near")
+    counted = stored(counts.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= setjoin.COMMON_FROM), "counted")
+    common = spark.sparkContext.broadcast(setjoin.common_tokens(counted))
+    schema = "doc_id bigint, text_key bigint, line bigint, key bigint, n int, low bigint, high bigint, prefix array<bigint>"
+    with noted() as made:
+        wide = stored(docs.mapInArrow(_line_sets(common), schema), "lines")
+        place = F.struct("doc_id", "text_key", "line")
+        same_set = [F.first(c).alias(c) for c in ("n", "low", "high", "prefix")]
+        classes = stored(wide.groupBy("key").agg(F.min(place).alias("first"), *same_set), "classes")
+        lines = stored(wide.select("doc_id", "text_key", "line", "key"), "lines")
+        removed(spark, [made.pop(0)])  # the prefixes are in the classes
+    compared = classes.where(F.size("prefix") > 0)
+    hot = _hot(compared, counted, common)
+    pairs = _met(_entries(compared, F.lit(1)), hot, every=False)
+    near = stored(_verified(pairs, docs, common), "near")
+    more = pairs.where("more").select(F.col("y_text").alias("text_key"), F.col("y_line").alias("line")).distinct()
+    left = stored(more.join(near, ["text_key", "line"], "left_anti").withColumn("asks", F.lit(1)), "left")
+    asking = compared.withColumns({"text_key": F.col("first.text_key"), "line": F.col("first.line")}).join(left, ["text_key", "line"], "left")
+    tokens = stored(asking.where("asks = 1").select(F.explode("prefix").alias("token")).distinct(), "tokens")
+    again = _entries(asking.drop("text_key", "line"), F.coalesce("asks", F.lit(0))).join(tokens, "token", "left_semi")
+    others = _met(again, hot, every=True).join(pairs.drop("more"), ["x_text", "x_line", "y_text", "y_line"], "left_anti")
+    near = near.unionByName(_verified(stored(others, "others"), docs, common)).distinct().withColumn("near", F.lit(True))
+    flags = classes.select("key", "first", "first.text_key", "first.line").join(near, ["text_key", "line"], "left").select("key", "first", "near")
+    judged = lines.join(flags, "key").select(
+        "doc_id", "text_key", "line", (place > F.col("first")).alias("same"), F.coalesce("near", F.lit(False)).alias("near")
     )
     return judged.groupBy("doc_id", "text_key").agg(
         F.countDistinct("line").alias("n_lines"),

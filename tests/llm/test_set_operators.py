@@ -135,7 +135,10 @@ def test_empty_benchmark_and_empty_documents(spark, documents):
 # Lines
 
 
-def test_lines_equal_brute_force(documents):
+@pytest.mark.parametrize("cell, chunk", [(1 << 14, 1 << 18), (3, 20)])
+def test_lines_equal_brute_force(documents, monkeypatch, cell, chunk):
+    monkeypatch.setattr(line_dedup, "CELL", cell)
+    monkeypatch.setattr(line_dedup, "CHUNK", chunk)
     rng = random.Random(6)
     lines = [_text(rng, rng.randint(1, 25)) for _ in range(25)]
     texts = []
@@ -167,6 +170,52 @@ def test_lines_equal_brute_force(documents):
         assert (r["text"] or "") == "\n".join(x for i, x in enumerate(parts) if i not in expected[r["doc_id"]])
 
 
+def _removed_lines(data):
+    """{row index: numbers of the lines with an equal or similar earlier line} of (id, text) rows in order."""
+    earlier, expected = [], {}
+    for i, (_, text) in enumerate(data):
+        sets = [frozenset(brute.words(line, lower=True)) for line in (text or "").split("\n")]
+        gone = []
+        for number, s in enumerate(sets):
+            if s and any(s == e or brute.similar(s, e) for e in earlier):
+                gone.append(number)
+            if s:
+                earlier.append(s)
+        expected[i] = gone
+    return expected
+
+
+@pytest.mark.parametrize("cell, chunk, common_from", [(1 << 14, 1 << 18, 12), (12, 50, 2), (4, 7, 10_000)])
+def test_lines_around_the_threshold_equal_brute_force(documents, monkeypatch, cell, chunk, common_from):
+    monkeypatch.setattr(line_dedup, "CELL", cell)
+    monkeypatch.setattr(line_dedup, "CHUNK", chunk)
+    monkeypatch.setattr(setjoin, "COMMON_FROM", common_from)
+    rng = random.Random(60)
+    few = [f"v{i}" for i in range(14)]
+    texts = []
+    for size in (3, 4, 5, 8, 9, 10, 30, 90, 400):
+        line = _text(rng, size)
+        texts += ["\n".join(_edited(rng, line, rng.randint(0, max(1, size // 6))) for _ in range(5)) for _ in range(4)]
+        texts += [" ".join(line.split()[: size - cut]) for cut in range(min(3, size))]
+    texts += ["\n".join(" ".join(rng.sample(few, rng.randint(3, 12))) for _ in range(6)) for _ in range(15)]
+    rng.shuffle(texts)
+    data = list(enumerate(texts))
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.line_report(documents(*data)).collect()}
+    assert got == _removed_lines(data)
+
+
+def test_lines_of_odd_rows(spark):
+    long = " ".join(f"word{i}" for i in range(60_000))
+    df = spark.createDataFrame(
+        [(None, "a b c d e"), (2, "a b c d e"), (1, long), (1, long), (3, long + " more"), (4, "f g h"), (4, "f g h")],
+        "doc_id bigint, text string",
+    )
+    found = sorted((r["doc_id"] or 0, r["removed"]) for r in line_dedup.line_report(df).collect())
+    assert found == [(0, []), (1, []), (1, []), (2, [0]), (3, [0]), (4, []), (4, [])]
+    empty = spark.createDataFrame([], "doc_id bigint, text string")
+    assert line_dedup.line_report(empty).collect() == [] and line_dedup.without_repeated_lines(empty).collect() == []
+
+
 # Scores
 
 
