@@ -99,23 +99,82 @@ def test_fixed_patterns(documents):
     assert kinds[8] == [("assign", 15, 28)]
 
 
-def test_entropy_stretches_equal_brute_force(documents):
+def _plain_base(text):
+    assign = r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    found = []
+    for rank, (pattern, least) in enumerate([(assign, 6), (r"(AKIA[A-Z0-9]+)", 20), (r"([0-9a-f]+)", 24)]):
+        found += [(m.start(), rank, m.end(), secret_scan.PATTERNS[rank][0]) for m in re.finditer(pattern, text) if len(m[1]) >= least]
+    return sorted(found)
+
+
+def _plain_spans(text):
+    """All spans by looking at each window anew."""
+    base = _plain_base(text)
+    left = list(text)
+    for start, _, stop, _ in base:
+        left[start:stop] = " " * (stop - start)
+    stretches = []
+    for number, (kind, _, drawn, characters) in enumerate(secret_scan.CLASSES):
+        bits = np.log2(20) - secret_scan.most_repetition(drawn) / 20e6
+        for m in re.finditer(f"[{characters}]{{20,}}", "".join(left)):
+            s = m[0]
+            name = re.fullmatch("[0-9]{0,4}", re.sub(secret_scan.NAME_PARTS, "", s))
+            if name or any(re.search(p, s) for p in secret_scan.ALLOWED):
+                continue
+            last = None
+            for j in range(len(s) - 19):
+                if brute.entropy(s[j : j + 20]) >= bits - 1e-9:
+                    if last is None or j > last[2] - m.start():
+                        last = [m.start() + j, 3 + number, 0, kind]
+                        stretches.append(last)
+                    last[2] = m.start() + j + 20
+    out, at = [], 0
+    for start, rank, stop, kind in sorted(map(tuple, stretches)):
+        if stop > max(start, at):
+            out.append((max(start, at), rank, stop, kind))
+        at = max(at, stop)
+    return base, sorted(base + out)
+
+
+def test_spans_equal_brute_force(documents):
     rng = random.Random(11)
-    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
-    strings = ["".join(rng.choice(alphabet[: rng.choice([14, 24, 40, 64])]) for _ in range(rng.randint(20, 90))) for _ in range(60)]
-    found = _spans(documents, *[f"x {s} y" for s in strings])
-    for i, s in enumerate(strings):
-        (kind, _, bits) = secret_scan.CLASSES[1]
-        hits = [j for j in range(len(s) - 19) if brute.entropy(s[j : j + 20]) >= bits - 1e-9] if any(c.isdigit() for c in s) else []
-        stretches = []
-        for j in hits:
-            if stretches and j <= stretches[-1][1]:
-                stretches[-1][1] = j + 20
-            else:
-                stretches.append([j, j + 20])
-        base = found[i][0]
-        if not base and not any(x[3] == "entropy_hex" for x in found[i][1]):
-            assert [(x[0] - 2, x[2] - 2) for x in found[i][1] if x[3] == kind] == [tuple(x) for x in stretches]
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    drawn = ["0123456789abcdef", "0123456789ABCDEF", lower + digits, upper + digits, lower + upper + digits, lower + upper + digits + "+/", "ab1"]
+
+    def part():
+        kind = rng.randrange(10)
+        if kind == 0:
+            return rng.choice(["password", "Secret", "api_key", "TOKEN", "token"]) + rng.choice([":", " = ", "=\"", "::"])
+        if kind == 1:
+            return "AKIA" + "".join(rng.choice(upper + digits) for _ in range(rng.choice([3, 15, 16, 30])))
+        if kind == 2:
+            return rng.choice([" ", "\n", "-", "_", "é", "internationalization", "some-well-known-name", "123e4567-e89b-12d3-a456-426614174000"])
+        return "".join(rng.choice(rng.choice(drawn) if kind == 3 else drawn[kind % 7]) for _ in range(rng.randint(1, 60)))
+
+    texts = ["".join(part() + rng.choice(["", " "]) for _ in range(rng.randint(1, 8))) for _ in range(150)]
+    texts += ["token:api: abcdefgh " * 300, "token=abcdef " * 700 + "f" * 30, "x y " * 3000]
+    found = _spans(documents, *texts)
+    assert {3, 4, 5, 6, 7} <= {s[1] for _, spans in found.values() for s in spans}
+    for i, text in enumerate(texts):
+        assert found[i] == _plain_spans(text), text
+
+
+@pytest.mark.parametrize("drawn", [16, 36, 64])
+def test_thresholds_miss_few_random_windows(drawn):
+    windows = np.random.default_rng(1).integers(0, drawn, (20_000, 20))
+    counts = np.stack([(windows == c).sum(axis=1) for c in range(drawn)], axis=1)
+    missed = (np.array(secret_scan._TERMS)[counts].sum(axis=1) > secret_scan.most_repetition(drawn)).mean()
+    assert missed <= secret_scan.MISS + 0.01
+
+
+def test_a_long_run_and_odd_rows_are_scanned_whole(spark):
+    rng = random.Random(12)
+    key = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(20_000))
+    df = spark.createDataFrame([(None, key), (1, ""), (1, ""), (2, None)], "doc_id bigint, text string")
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in secret_scan.secret_spans(df).collect()}
+    assert found[None] == _plain_spans(key)[1] and found[1] == found[2] == []
+    assert secret_scan.secret_spans(df).count() == 4
+    assert secret_scan.secret_spans(df.limit(0)).collect() == []
 
 
 def test_allowed_strings_are_no_secrets(documents):
