@@ -15,6 +15,9 @@ from daybook.llm.setjoin import prefix_length
 from daybook.llm.tables import filter_slot, member_filter, noted, removed, stored, whole_row
 
 _SIGN = np.int64(-(1 << 63))
+_TOP = np.uint64(1 << 63)
+#: Bits of a hash that lead to the common words that start with them.
+LEADING = 18
 _SLOTS = 1 << 22
 #: Smaller sets are similar to no other: of sets of three and four words, three are shared at most.
 LEAST = 4
@@ -45,18 +48,51 @@ def _line_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words, line_of_word, np.stack((line_rows, numbers))
 
 
-def _tokens(words: np.ndarray, lines: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(line, token) of the distinct words of each line, in the global order.
-
-    A token is the word's hash with the sign set, or the rank of a common word, so
-    that plain order of the numbers puts rare words first.
-    """
-    known, rank = common
-    tokens = words | _SIGN
-    if len(known):
-        at = np.minimum(np.searchsorted(known, words), len(known) - 1)
-        tokens = np.where(known[at] == words, rank[at], tokens)
-    order = np.lexsort((tokens, lines))
+class _Ranks:
+    """Ranks of the common words, found from the leading bits of their hashes."""
+
+    def __init__(self, common: tuple[np.ndarray, np.ndarray]) -> None:
+        self.known, self.rank = common
+        edges = np.arange(1 << LEADING, dtype=np.uint64) << np.uint64(64 - LEADING)
+        first = np.searchsorted(self.known.view(np.uint64) ^ _TOP, edges)
+        self.first = np.append(first, len(self.known)).astype(np.int32)
+
+    def tokens(self, words: np.ndarray) -> np.ndarray:
+        """A word's hash with the sign set, or the rank of a common word, so that
+        plain order of the numbers puts rare words first."""
+        out = words | _SIGN
+        lead = ((words.view(np.uint64) ^ _TOP) >> np.uint64(64 - LEADING)).astype(np.int64)
+        at, end = self.first[lead], self.first[lead + 1]
+        open_ = np.flatnonzero(at < end)
+        while len(open_):
+            here = at[open_]
+            hit = self.known[here] == words[open_]
+            out[open_[hit]] = self.rank[here[hit]]
+            open_ = open_[~hit]
+            at[open_] += 1
+            open_ = open_[at[open_] < end[open_]]
+        return out
+
+
+def _by_line(lines: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """The order by line, then token. Sorts one number of the line and what leads the
+    token; where that ties for different tokens, by both columns."""
+    if len(lines) == 0:
+        return np.zeros(0, dtype=np.int64)
+    bits = max(1, int(lines.max()).bit_length())
+    lead = np.where(tokens < 0, (tokens & ~_SIGN) >> 1, (1 << 62) | (tokens << 42)).view(np.uint64)  # ranks are below 2^20
+    number = (lines.astype(np.uint64) << np.uint64(64 - bits)) | (lead >> np.uint64(bits - 1))
+    order = np.argsort(number)
+    number, found = number[order], tokens[order]
+    if ((number[1:] == number[:-1]) & (found[1:] != found[:-1])).any():
+        return np.lexsort((tokens, lines))
+    return order
+
+
+def _tokens(words: np.ndarray, lines: np.ndarray, ranks: _Ranks) -> tuple[np.ndarray, np.ndarray]:
+    """(line, token) of the distinct words of each line, in the global order."""
+    tokens = ranks.tokens(words)
+    order = _by_line(lines, tokens)
     lines, tokens = lines[order], tokens[order]
     new = np.ones(len(tokens), dtype=bool)
     new[1:] = (lines[1:] != lines[:-1]) | (tokens[1:] != tokens[:-1])
@@ -94,23 +130,25 @@ def _lists(tokens: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
 
 
 def _line_sets(common):
-    """Per line with a word: its place, set key, size, bitmaps and prefix."""
+    """Per line with a word: its place, lines of its text, set key, size, bitmaps and prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = _Ranks(common.value)
         for part in slices(batches):
             words, line_of, place = _line_words(part.column("text"))
             if len(words) == 0:
                 continue
-            lines, tokens = _tokens(words, line_of, common.value)
+            lines, tokens = _tokens(words, line_of, ranks)
             begin = np.flatnonzero(np.concatenate(([True], lines[1:] != lines[:-1])))
             n = np.diff(np.append(begin, len(lines)))
             # a set of three words or fewer is similar to no other
             size = np.where(n >= LEAST, prefix_length(n), 0)
             within = np.arange(len(tokens)) - np.repeat(begin, n)
             low, high = _bitmaps(tokens, begin)
-            row, number = pa.array(place[0][lines[begin]]), place[1][lines[begin]]
+            rows, number = place[0][lines[begin]], place[1][lines[begin]]
+            row, of_row = pa.array(rows), np.bincount(rows)[rows]
             columns = {
                 "doc_id": part.column("doc_id").take(row), "text_key": part.column("text_key").take(row), "line": pa.array(number),
-                "key": pa.array(_keys(tokens, begin, n)), "n": pa.array(n.astype(np.int32)),
+                "n_lines": pa.array(of_row), "key": pa.array(_keys(tokens, begin, n)), "n": pa.array(n.astype(np.int32)),
                 "low": pa.array(low), "high": pa.array(high), "prefix": _lists(tokens[within < np.repeat(size, n)], size),
             }
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
@@ -130,44 +168,52 @@ def _entries(classes: DataFrame, asks: Column) -> DataFrame:
 
 
 def _cells(entries: DataFrame, hot: DataFrame) -> DataFrame:
-    """Entries with the cell of their token that they are compared in.
+    """Entries with the cell of their token that they are compared in (``at``).
 
     A token of ``hot(token, blocks)`` deals its sets out to blocks, and each two
     blocks meet in a cell of their own; in such a cell only sets of different blocks
-    are compared (side 1 with side 2). Other tokens have one cell.
+    are compared (side 1 with side 2). Other tokens are a cell.
     """
-    own = F.pmod(F.xxhash64("text_key", "line"), F.col("blocks"))
-    cells = F.transform(
-        F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1),
-        lambda k: F.struct(
-            (F.least(own, k) * F.col("blocks") + F.greatest(own, k)).alias("cell"),
-            F.when(own == k, 0).when(own < k, 1).otherwise(2).cast("bigint").alias("side"),
-        ),
+    blocks, k = F.coalesce("blocks", F.lit(1)), F.col("k")
+    own = F.pmod(F.xxhash64("text_key", "line"), blocks)
+    cell = F.least(own, k) * blocks + F.greatest(own, k)
+    side = F.when(own == k, 0).when(own < k, 1).otherwise(2).cast("bigint")
+    dealt = entries.join(hot, "token", "left").withColumn("k", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+    return dealt.select(
+        F.when(F.col("blocks").isNull(), F.col("token")).otherwise(F.xxhash64("token", cell)).alias("at"),
+        "doc_id", "text_key", "line", "low", "high", (F.col("meta") + side).alias("meta"),
     )
-    one = F.array(F.struct(F.lit(0).cast("bigint").alias("cell"), F.lit(0).cast("bigint").alias("side")))
-    dealt = entries.join(hot, "token", "left").withColumn("at", F.explode(F.when(F.col("blocks").isNull(), one).otherwise(cells)))
-    return dealt.select("token", "at.cell", "doc_id", "text_key", "line", "low", "high", (F.col("meta") + F.col("at.side")).alias("meta"))
 
 
 def _candidates(every: bool):
-    """Pairs of sets of one cell that meet all bounds, from rows in the order of places.
+    """Pairs of sets of one cell that meet all bounds, from rows in the order of cells.
 
     Bounds: sizes, positions of the shared token, and bits in which the bitmaps
-    differ. A pair is told by the later set, if it asks: with ``every`` each of its
-    pairs, else the one whose bitmap differs least, and if there are ``more``.
+    differ. A pair is told by the set that comes later, if it asks: with ``every``
+    each of its pairs, else one whose bitmap differs least, and if there are ``more``.
     """
-    names = ("text_key", "line", "low", "high", "meta")
+    def pairs(table: pa.Table, group: np.ndarray) -> Iterator[pa.RecordBatch]:
+        n = table.column("meta").to_numpy() >> 34
+        order = np.argsort((group << 31) | n)
+        keys = table.column("doc_id")
+        place = [keys.fill_null(-(1 << 63)).to_numpy(), keys.is_valid().to_numpy(), table.column("text_key").to_numpy(), table.column("line").to_numpy()]
+        place = [v[order] for v in place]
+        group, n, meta = group[order], n[order], table.column("meta").to_numpy()[order]
+        low, high = (table.column(c).to_numpy()[order].view(np.uint64) for c in ("low", "high"))
+        pos, asks, side = (meta >> 3) & ((1 << 31) - 1), (meta & 4) > 0, meta & 3
+
+        def earlier(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            out, tie = np.zeros(len(x), dtype=bool), np.ones(len(x), dtype=bool)
+            for v in place:
+                out |= tie & (v[x] < v[y])
+                tie &= v[x] == v[y]
+            return out
 
-    def pairs(c: dict, group: np.ndarray) -> Iterator[pa.RecordBatch]:
         def told(x: np.ndarray, y: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
-            columns = [c["text_key"][x], c["line"][x], c["text_key"][y], c["line"][y], more]
+            columns = [place[2][x], place[3][x], place[2][y], place[3][y], more]
             return pa.RecordBatch.from_arrays([pa.array(v) for v in columns], names=["x_text", "x_line", "y_text", "y_line", "more"])
 
-        order = np.lexsort((c["meta"] >> 34, group))  # where a row came is its place
-        group, meta = group[order], c["meta"][order]
-        low, high = c["low"][order].view(np.uint64), c["high"][order].view(np.uint64)
-        n, pos, asks, side = meta >> 34, (meta >> 3) & ((1 << 31) - 1), (meta & 4) > 0, meta & 3
-        best = np.full(len(order), 1 << 60, dtype=np.int64)  # bits that differ, then the earliest place
+        best = np.full(len(order), 1 << 60, dtype=np.int64)  # bits that differ, then the row
         count = np.zeros(len(order), dtype=np.int64)
         i, d, held, size = np.arange(len(order)), 0, [], 0
         while True:
@@ -185,14 +231,15 @@ def _candidates(every: bool):
             differ = np.bitwise_count(low[a] ^ low[b]).astype(np.int64) + np.bitwise_count(high[a] ^ high[b])
             near = 9 * differ <= both
             a, b, differ = a[near], b[near], differ[near]
-            for x, y in ((a, b), (b, a)):
-                take = (order[x] < order[y]) & asks[y]
+            first = earlier(a, b)
+            for x, y, take in ((a, b, first), (b, a, ~first)):
+                take = take & asks[y]
                 x, y = x[take], y[take]
                 if every:
-                    held.append((order[x], order[y]))
+                    held.append((x, y))
                     size += len(x)
                 else:
-                    best[y] = np.minimum(best[y], (differ[take] << 48) + order[x])
+                    best[y] = np.minimum(best[y], (differ[take] << 48) + x)
                     count[y] += 1
             if size > 1 << 18:
                 x, y = (np.concatenate(side_) for side_ in zip(*held, strict=True))
@@ -204,32 +251,29 @@ def _candidates(every: bool):
                 yield told(x, y, np.zeros(len(x), dtype=bool))
         elif (count > 0).any():
             y = np.flatnonzero(count)
-            yield told(best[y] & ((1 << 48) - 1), order[y], count[y] > 1)
+            yield told(best[y] & ((1 << 48) - 1), y, count[y] > 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
 
         def joined() -> tuple[pa.Table, np.ndarray]:
             table = pa.Table.from_batches(held)
-            token, cell = table.column("token").to_numpy(), table.column("cell").to_numpy()
-            new = np.ones(len(token), dtype=bool)
-            new[1:] = (token[1:] != token[:-1]) | (cell[1:] != cell[:-1])
-            return table, np.cumsum(new)
-
-        def columns(table: pa.Table) -> dict:
-            return {x: table.column(x).to_numpy() for x in names}
+            at = table.column("at").to_numpy()
+            return table, np.cumsum(np.concatenate(([True], at[1:] != at[:-1])))
 
         for batch in batches:
+            if batch.num_rows == 0:
+                continue
             held.append(batch)
             rows += batch.num_rows
             if rows >= CHUNK:
                 table, group = joined()
                 last = int(np.searchsorted(group, group[-1]))
-                yield from pairs(columns(table.slice(0, last)), group[:last])
+                if last:
+                    yield from pairs(table.slice(0, last), group[:last])
                 held, rows = table.slice(last).to_batches(), 0
         if held:
-            table, group = joined()
-            yield from pairs(columns(table), group)
+            yield from pairs(*joined())
 
     return run
 
@@ -240,9 +284,9 @@ def _line_slot(text_key: Column, line: Column) -> Column:
 
 def _met(entries: DataFrame, hot: DataFrame, every: bool) -> DataFrame:
     """Distinct candidate pairs (x earlier than y), stored."""
-    rows = _cells(entries, hot).repartition("token", "cell").sortWithinPartitions("token", "cell", "doc_id", "text_key", "line")
+    rows = _cells(entries, hot).repartition("at").sortWithinPartitions("at")
     schema = "x_text bigint, x_line bigint, y_text bigint, y_line bigint, more boolean"
-    found = rows.drop("doc_id").mapInArrow(_candidates(every), schema)
+    found = rows.mapInArrow(_candidates(every), schema)
     return stored(found.groupBy("x_text", "x_line", "y_text", "y_line").agg(F.max("more").alias("more")), "pairs")
 
 
@@ -260,6 +304,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, common) -> DataFrame:
     lines_in = spark.sparkContext.broadcast(slots.to_numpy())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = _Ranks(common.value)
         inside, lined = np.zeros(_SLOTS, dtype=bool), np.zeros(_SLOTS, dtype=bool)
         inside[texts.value], lined[lines_in.value] = True, True
         for batch in batches:
@@ -272,7 +317,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, common) -> DataFrame:
                 words, line_of = words[wants[line_of]], line_of[wants[line_of]]
                 if len(words) == 0:
                     continue
-                lines, tokens = _tokens(words, line_of, common.value)
+                lines, tokens = _tokens(words, line_of, ranks)
                 begin = np.flatnonzero(np.concatenate(([True], lines[1:] != lines[:-1])))
                 sets = _lists(tokens, np.diff(np.append(begin, len(lines))))
                 at = lines[begin]
@@ -297,10 +342,9 @@ def _hot(classes: DataFrame, words: DataFrame, common) -> DataFrame:
     counted.
     """
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = _Ranks(common.value)
         for batch in batches:
-            if batch.num_rows:
-                _, token = _tokens(batch.column(0).to_numpy(), np.arange(batch.num_rows), common.value)
-                yield pa.RecordBatch.from_arrays([pa.array(token)], names=["token"])
+            yield pa.RecordBatch.from_arrays([pa.array(ranks.tokens(batch.column(0).to_numpy()))], names=["token"])
 
     often = words.where(F.col("n") > CELL).select("token").mapInArrow(named, "token bigint")
     sets = classes.select(F.explode("prefix").alias("token")).join(often, "token").groupBy("token").agg(F.count(F.lit(1)).alias("sets"))
@@ -333,13 +377,13 @@ def repeated_lines(documents: DataFrame, key: str = "doc_id", text: str = "text"
     counts = docs.select("text").mapInArrow(_word_counts, "token bigint, n bigint")
     counted = stored(counts.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= setjoin.COMMON_FROM), "counted")
     common = spark.sparkContext.broadcast(setjoin.common_tokens(counted))
-    schema = "doc_id bigint, text_key bigint, line bigint, key bigint, n int, low bigint, high bigint, prefix array<bigint>"
+    schema = "doc_id bigint, text_key bigint, line bigint, n_lines bigint, key bigint, n int, low bigint, high bigint, prefix array<bigint>"
     with noted() as made:
         wide = stored(docs.mapInArrow(_line_sets(common), schema), "lines")
         place = F.struct("doc_id", "text_key", "line")
         same_set = [F.first(c).alias(c) for c in ("n", "low", "high", "prefix")]
-        classes = stored(wide.groupBy("key").agg(F.min(place).alias("first"), *same_set), "classes")
-        lines = stored(wide.select("doc_id", "text_key", "line", "key"), "lines")
+        classes = stored(wide.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last"), *same_set), "classes")
+        lines = stored(wide.select("doc_id", "text_key", "line", "n_lines", "key"), "lines")
         removed(spark, [made.pop(0)])  # the prefixes are in the classes
     compared = classes.where(F.size("prefix") > 0)
     hot = _hot(compared, counted, common)
@@ -351,15 +395,20 @@ def repeated_lines(documents: DataFrame, key: str = "doc_id", text: str = "text"
     tokens = stored(asking.where("asks = 1").select(F.explode("prefix").alias("token")).distinct(), "tokens")
     again = _entries(asking.drop("text_key", "line"), F.coalesce("asks", F.lit(0))).join(tokens, "token", "left_semi")
     others = _met(again, hot, every=True).join(pairs.drop("more"), ["x_text", "x_line", "y_text", "y_line"], "left_anti")
-    near = near.unionByName(_verified(stored(others, "others"), docs, common)).distinct().withColumn("near", F.lit(True))
-    flags = classes.select("key", "first", "first.text_key", "first.line").join(near, ["text_key", "line"], "left").select("key", "first", "near")
-    judged = lines.join(flags, "key").select(
-        "doc_id", "text_key", "line", (place > F.col("first")).alias("same"), F.coalesce("near", F.lit(False)).alias("near")
+    near = stored(near.unionByName(_verified(stored(others, "others"), docs, common)).distinct().withColumn("near", F.lit(True)), "near")
+    flags = classes.select("key", "first", "last", "first.text_key", "first.line").join(near, ["text_key", "line"], "left")
+    flags = flags.select("key", "first", F.coalesce("near", F.lit(False)).alias("near")).where((F.col("last") > F.col("first")) | F.col("near"))
+    judged = lines.join(flags, "key").select("doc_id", "text_key", "line", (place > F.col("first")).alias("same"), "near").where("same OR near")
+    none = F.lit(None).cast("bigint")
+    told = judged.select(
+        "doc_id", "text_key", none.alias("n_lines"), F.when(F.col("same"), F.col("line")).alias("same"),
+        F.when(F.col("near") & ~F.col("same"), F.col("line")).alias("near"),
     )
-    return judged.groupBy("doc_id", "text_key").agg(
-        F.countDistinct("line").alias("n_lines"),
-        F.sort_array(F.collect_set(F.when(F.col("same"), F.col("line")))).alias("same"),
-        F.sort_array(F.collect_set(F.when(F.col("near") & ~F.col("same"), F.col("line")))).alias("near"),
+    texts = lines.groupBy("doc_id", "text_key").agg(F.max("n_lines").alias("n_lines"))
+    every = texts.withColumns({"same": none, "near": none}).unionByName(told)
+    return every.groupBy("doc_id", "text_key").agg(
+        F.max("n_lines").alias("n_lines"),
+        F.sort_array(F.collect_set("same")).alias("same"), F.sort_array(F.collect_set("near")).alias("near"),
     )
 
 

@@ -349,3 +349,30 @@ def test_rows_of_one_key_are_split_until_they_fit(documents):
         assert size <= 1000 or len(members) == 1
     names = sorted(shards)
     assert not any(b.startswith(a) for a, b in zip(names, names[1:]))
+
+
+def test_words_are_ranked_and_ordered_as_by_plain_sorting():
+    rng = np.random.default_rng(8)
+    vocabulary = np.unique(rng.integers(-(1 << 63), 1 << 63, 3000))
+    vocabulary[1:40] = vocabulary[0] + np.arange(1, 40)  # hashes with equal leading bits
+    vocabulary = np.unique(vocabulary)
+    known, rank = vocabulary[::3], rng.permutation(len(vocabulary[::3]))
+    words = rng.choice(vocabulary, 20_000)
+    lines = np.sort(rng.integers(0, 5000, len(words)))
+    ranked = dict(zip(known.tolist(), rank.tolist(), strict=True))
+    plain = np.array([ranked.get(w, w | -(1 << 63)) for w in words.tolist()])
+    ranks = line_dedup._Ranks((known, rank))
+    assert (ranks.tokens(words) == plain).all()
+    found = plain[line_dedup._by_line(lines, plain)]
+    assert (found == plain[np.lexsort((plain, lines))]).all()
+    nothing = line_dedup._Ranks((known[:0], rank[:0]))
+    assert (nothing.tokens(words) == (words | -(1 << 63))).all()
+    assert len(line_dedup._by_line(lines[:0], plain[:0])) == 0
+
+
+def test_lines_of_rows_without_key_come_first_and_repeated_rows_are_one_document(documents):
+    long = " ".join(f"w{i}" for i in range(60_000))
+    line = " ".join(f"v{i}" for i in range(20))
+    data = [(None, f"{line}\nown words of a row"), (7, f"x\n{line} more"), (7, f"x\n{line} more"), (9, long), (12, f"{long} end\nx")]
+    got = sorted((str(r["doc_id"]), r["n_lines"], r["n_same"], r["removed"]) for r in line_dedup.line_report(documents(*data)).collect())
+    assert got == [("12", 2, 1, [0, 1]), ("7", 2, 0, [1]), ("7", 2, 0, [1]), ("9", 1, 0, []), ("None", 2, 0, [])]
