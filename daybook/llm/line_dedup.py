@@ -17,7 +17,11 @@ from daybook.llm.tables import filter_slot, member_filter, noted, removed, store
 _SIGN = np.int64(-(1 << 63))
 _TOP = np.uint64(1 << 63)
 #: Bits of a hash that lead to the common words that start with them.
-LEADING = 18
+LEADING = 20
+#: Bytes of text that are worked on together; the arrays of so many stay in a core's cache.
+TOGETHER = 1 << 19
+#: Distinct words that a task adds up before it hands them on.
+ADDED = 1 << 20
 _SLOTS = 1 << 22
 #: Smaller sets are similar to no other: of sets of three and four words, three are shared at most.
 LEAST = 4
@@ -104,12 +108,30 @@ def _keys(tokens: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
     return signed(mix(np.add.reduceat(u, starts) + n.astype(np.uint64) * np.uint64(0x14057B7EF767814F)))
 
 
+def _added(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of several (token, n)."""
+    token, n = (np.concatenate(side) for side in zip(*counts, strict=True))
+    order = np.argsort(token)
+    token, n = token[order], n[order]
+    first = np.flatnonzero(np.concatenate((token[:1] == token[:1], token[1:] != token[:-1])))
+    return token[first], np.add.reduceat(n, first) if len(first) else n
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    held, size = [], 0
+    for batch in slices(batches, most=TOGETHER):
         data, offsets = buffers(batch.column(0))
         starts, ends = spans(data, offsets)
-        token, n = np.unique(signed(word_hashes(data, starts, ends, lower=True)), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n)], names=["token", "n"])
+        held.append(np.unique(signed(word_hashes(data, starts, ends, lower=True)), return_counts=True))
+        size += len(held[-1][0])
+        if size > ADDED:
+            held = [_added(held)]
+            size = len(held[0][0])
+            if 2 * size > ADDED:
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in held[0]], names=["token", "n"])
+                held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in _added(held)], names=["token", "n"])
 
 
 def _bitmaps(tokens: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
@@ -133,7 +155,7 @@ def _line_sets(common):
     """Per line with a word: its place, lines of its text, set key, size, bitmaps and prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = _Ranks(common.value)
-        for part in slices(batches):
+        for part in slices(batches, most=TOGETHER):
             words, line_of, place = _line_words(part.column("text"))
             if len(words) == 0:
                 continue
@@ -309,7 +331,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, common) -> DataFrame:
         inside[texts.value], lined[lines_in.value] = True, True
         for batch in batches:
             take = inside[batch.column("slot").to_numpy()]
-            for part in slices(iter([batch.filter(pa.array(take))])) if take.any() else ():
+            for part in slices(iter([batch.filter(pa.array(take))]), most=TOGETHER) if take.any() else ():
                 words, line_of, place = _line_words(part.column("text"))
                 text_key = part.column("text_key").to_numpy()
                 number = place[1]
