@@ -20,6 +20,8 @@ _TOP = np.uint64(1 << 63)
 LEADING = 20
 #: Bytes of text that are worked on together; the arrays of so many stay in a core's cache.
 TOGETHER = 1 << 19
+#: Texts with a wanted line are found by their broadcast keys, if these are so many at most.
+FEW = 1 << 20
 #: Distinct words that a task adds up before it hands them on.
 ADDED = 1 << 20
 _SLOTS = 1 << 22
@@ -215,8 +217,9 @@ def _candidates(every: bool):
     each of its pairs, else one whose bitmap differs least, and if there are ``more``.
     """
     def pairs(table: pa.Table, group: np.ndarray) -> Iterator[pa.RecordBatch]:
-        n = table.column("meta").to_numpy() >> 34
-        order = np.argsort((group << 31) | n)
+        n, alike = table.column("meta").to_numpy() >> 34, group[1:] == group[:-1]
+        order = np.flatnonzero(np.append(alike, False) | np.append(False, alike))  # others meet no set
+        order = order[np.argsort((group[order] << 31) | n[order])]
         keys = table.column("doc_id")
         place = [keys.fill_null(-(1 << 63)).to_numpy(), keys.is_valid().to_numpy(), table.column("text_key").to_numpy(), table.column("line").to_numpy()]
         place = [v[order] for v in place]
@@ -315,20 +318,23 @@ def _met(entries: DataFrame, hot: DataFrame, every: bool) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, common) -> DataFrame:
     """(text_key, line) of the later sets of pairs whose whole sets reach the similarity.
 
-    Only texts with a wanted line are cut again, and only lines that pass a filter of
-    fixed size are given; the joins that follow are exact.
+    Only texts with a wanted line are cut again: those of broadcast keys, or beyond
+    ``FEW`` keys those that pass a filter of fixed size. Only lines that pass such a
+    filter are given; the joins that follow are exact.
     """
     sides = F.explode(F.array(*[F.struct(F.col(f"{s}_text").alias("text_key"), F.col(f"{s}_line").alias("line")) for s in "xy"]))
     wanted = stored(pairs.select(sides.alias("of")).select("of.*").distinct(), "wanted")
     spark = docs.sparkSession
-    texts = spark.sparkContext.broadcast(np.flatnonzero(member_filter(wanted, "text_key")))
+    keys = wanted.select("text_key").distinct()
+    few = keys.count() <= FEW
+    texts = spark.sparkContext.broadcast(None if few else np.flatnonzero(member_filter(wanted, "text_key")))
     slots = wanted.select(_line_slot(F.col("text_key"), F.col("line")).alias("slot")).distinct().toArrow().column("slot")
     lines_in = spark.sparkContext.broadcast(slots.to_numpy())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = _Ranks(common.value)
         inside, lined = np.zeros(_SLOTS, dtype=bool), np.zeros(_SLOTS, dtype=bool)
-        inside[texts.value], lined[lines_in.value] = True, True
+        inside[slice(None) if texts.value is None else texts.value], lined[lines_in.value] = True, True
         for batch in batches:
             take = inside[batch.column("slot").to_numpy()]
             for part in slices(iter([batch.filter(pa.array(take))]), most=TOGETHER) if take.any() else ():
@@ -345,8 +351,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, common) -> DataFrame:
                 at = lines[begin]
                 yield pa.RecordBatch.from_arrays([pa.array(text_key[place[0][at]]), pa.array(number[at]), sets], names=["text_key", "line", "tokens"])
 
-    few = docs.select("text_key", filter_slot("text_key").alias("slot"), "text")
-    found = few.mapInArrow(run, "text_key bigint, line bigint, tokens array<bigint>").join(wanted, ["text_key", "line"], "left_semi")
+    cut = docs.join(F.broadcast(keys), "text_key", "left_semi") if few else docs
+    cut = cut.select("text_key", filter_slot("text_key").alias("slot"), "text")
+    found = cut.mapInArrow(run, "text_key bigint, line bigint, tokens array<bigint>").join(wanted, ["text_key", "line"], "left_semi")
     sets = stored(found.dropDuplicates(["text_key", "line"]), "sets")
     x, y = (sets.select(F.col("text_key").alias(f"{s}_text"), F.col("line").alias(f"{s}_line"), F.col("tokens").alias(f"{s}_tokens")) for s in "xy")
     both = F.size(F.array_intersect("x_tokens", "y_tokens"))

@@ -370,7 +370,9 @@ def test_words_are_ranked_and_ordered_as_by_plain_sorting():
     assert len(line_dedup._by_line(lines[:0], plain[:0])) == 0
 
 
-def test_lines_of_rows_without_key_come_first_and_repeated_rows_are_one_document(documents):
+@pytest.mark.parametrize("few", [0, 1 << 20])
+def test_lines_of_rows_without_key_come_first_and_repeated_rows_are_one_document(documents, monkeypatch, few):
+    monkeypatch.setattr(line_dedup, "FEW", few)
     long = " ".join(f"w{i}" for i in range(60_000))
     line = " ".join(f"v{i}" for i in range(20))
     data = [(None, f"{line}\nown words of a row"), (7, f"x\n{line} more"), (7, f"x\n{line} more"), (9, long), (12, f"{long} end\nx")]
