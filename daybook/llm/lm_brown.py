@@ -9,6 +9,7 @@ from types import SimpleNamespace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +18,11 @@ from daybook.llm.tables import commonest, stored
 
 FOLDS = 10
 ADD = 0.1
-#: Most frequent words that exchange clustering assigns to classes, and the classes.
+#: Most frequent words that are exchanged between classes in rounds, and the classes.
+#: All other training words join the class that suits their contexts best, see ``learn``.
 CLUSTERED = 4096
 CLASSES = 48
-#: Other words have a class by their length in bytes, up to this.
+#: Until then they are told apart by their length in bytes, up to this.
 LENGTHS = 16
 END_CLASS = CLASSES + LENGTHS
 START_CLASS = END_CLASS + 1
@@ -29,8 +31,12 @@ ALL_CLASSES = START_CLASS + 1
 BACKOFF = 20.0
 ROUNDS = 6
 BUCKETS = 32
-#: Words whose counts every task has (16 bytes each); the counts of all others are joined.
+#: Words whose counts and classes every task has (24 bytes each); those of all others
+#: are joined. Results do not depend on it.
 LOOKUP = 1 << 18
+PAIRS = ALL_CLASSES * ALL_CLASSES
+#: So many contexts of words are compared with all classes at a time (384 bytes each).
+CONTEXTS = 1 << 15
 _END = np.int64(0x0E0D0E0D0E0D0E0D)
 
 
@@ -207,43 +213,197 @@ def exchange_classes(pairs: DataFrame, start: np.ndarray, rounds: int = ROUNDS)
     return classes, matrix
 
 
+def _contexts(state):
+    """(word, code, n) of the words that are not clustered: how often a class is beside them.
+
+    The code is (length, side, class); side 0 is the class after the word.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, classes = state.value
+        width = (LENGTHS + 1) * 2 * ALL_CLASSES
+        for batch in slices(batches):
+            tokens = Tokens.of(batch.column(0))
+            units = _units(tokens, known)
+            c = classes[units]
+            at = np.flatnonzero((units >= len(known)) & (tokens.hashes != _END))
+            word, row = np.unique(tokens.hashes[at], return_inverse=True)
+            first = row * width + tokens.length[at] * 2 * ALL_CLASSES
+            before = _before(tokens, c, START_CLASS)[at]
+            found, n = np.unique(np.concatenate((first + c[at + 1], first + ALL_CLASSES + before)), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(word[found // width]), pa.array((found % width).astype(np.int32)), pa.array(n)], names=["word", "code", "n"]
+            )
+
+    return run
+
+
+def _joined_classes(matrix: np.ndarray, row: np.ndarray, code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(class, count) of words that join the class they gain most by.
+
+    ``row``, ascending from 0, is the word of each context, ``code`` its side and
+    class. The gain is the change of the class bigram log likelihood when the word's
+    pairs are added to ``matrix``; of equal gains the first class counts.
+    """
+    table = np.concatenate((matrix[:CLASSES].T, matrix[:, :CLASSES]))
+    out, into = matrix.sum(1)[:CLASSES], matrix.sum(0)[:CLASSES]
+    start = np.flatnonzero(np.diff(row, prepend=-1))
+    total = np.add.reduceat(np.where(code < ALL_CLASSES, n, 0), start)
+    gain = np.add.reduceat(_xlogx(table[code] + n[:, None]) - _xlogx(table)[code], start)
+    for side in (out, into):
+        gain -= _xlogx(side + total[:, None]) - _xlogx(side)
+    return gain.argmax(1), total
+
+
+def _classes_by_context(state):
+    """(word, length, n, c) of words with the list of their contexts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matrix = state.value
+        for batch in batches:
+            lists = batch.column("contexts")
+            ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+            flat = lists.flatten()
+            code, n = flat.field("code").to_numpy().astype(np.int64), flat.field("n").to_numpy()
+            row = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+            order = np.lexsort((code, row))
+            code, n = code[order], n[order]
+            length = code[ends - 1] // (2 * ALL_CLASSES)
+            c, total = np.zeros(len(ends), dtype=np.int64), np.zeros(len(ends), dtype=np.int64)
+            at = 0
+            while at < len(ends):
+                first = ends[at - 1] if at else 0
+                to = max(int(np.searchsorted(ends, first + CONTEXTS, side="right")), at + 1)
+                part = slice(first, ends[to - 1])
+                c[at:to], total[at:to] = _joined_classes(matrix, row[part] - at, code[part] % (2 * ALL_CLASSES), n[part])
+                at = to
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("word"), *(pa.array(x.astype(t)) for x, t in ((length, np.int32), (total, np.int64), (c, np.int32)))],
+                names=["word", "length", "n", "c"],
+            )
+
+    return run
+
+
 @dataclass
 class BrownModel:
     """What every task needs to score a text, of a size that the parameters bound."""
 
-    clustered: np.ndarray
-    classes: np.ndarray
-    transition: np.ndarray  # log10 P(class | class before)
-    emission: np.ndarray  # per class: log10 of the emission's denominator
-    lookup: np.ndarray
+    lookup: np.ndarray  # frequent words, sorted, the end among them
     counts: np.ndarray
+    classes: np.ndarray  # of the words of ``lookup``
+    unseen: np.ndarray  # class of a word that is not in the training texts, by its length
+    emission: np.ndarray  # per class: log10 of the emission's denominator
     train_tokens: int
     base: float  # log10 of the base score's denominator
+    transition: np.ndarray | None = None  # log10 P(class | class before)
+
+
+def _known(tokens: Tokens, m) -> tuple[np.ndarray, np.ndarray]:
+    """(count, class) of the tokens whose word every task has; class -1 of others."""
+    at = _find(m.lookup, tokens.hashes)
+    return np.where(at >= 0, m.counts[at], 0), np.where(at >= 0, m.classes[at], -1)
 
 
-def _class_sizes(counts: DataFrame, clustered: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(tokens, distinct words) of each class in the training texts."""
-    known = counts.sparkSession.sparkContext.broadcast((clustered, classes))
+def _occurrences(model):
+    """The tokens whose class is not at hand, and the class pairs of all others.
 
+    A token: the key of its text, its place, word and context, that is (length, class
+    before + 1, class after + 1), 0 where that neighbour's class is not at hand either.
+    A class pair of training texts: its code as ``context``, and its count ``n``.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        clustered, classes = known.value
-        tokens, words = np.zeros(ALL_CLASSES, dtype=np.int64), np.zeros(ALL_CLASSES, dtype=np.int64)
+        m = SimpleNamespace(**model.value)
+        names = ["text_key", "place", "word", "context", "n"]
+        total = np.zeros(PAIRS, dtype=np.int64)
+        for part in slices(batches):
+            tokens = Tokens.of(part.column("text"))
+            _, c = _known(tokens, m)
+            before = _before(tokens, c, START_CLASS)
+            text_of = np.repeat(np.arange(len(tokens.first)), np.diff(np.append(tokens.first, len(c))))
+            both = part.column("train").to_numpy(zero_copy_only=False)[text_of] & (c >= 0) & (before >= 0)
+            total += np.bincount(before[both] * ALL_CLASSES + c[both], minlength=PAIRS)
+            rare = np.flatnonzero(c < 0)
+            text = text_of[rare]
+            context = (tokens.length[rare] * (ALL_CLASSES + 1) + before[rare] + 1) * (ALL_CLASSES + 1) + c[rare + 1] + 1
+            yield pa.RecordBatch.from_arrays(
+                [part.column("text_key").take(pa.array(text)), pa.array((rare - tokens.first[text]).astype(np.int32)), pa.array(tokens.hashes[rare]),
+                 pa.array(context.astype(np.int32)), pa.nulls(len(rare), pa.int64())],
+                names=names,
+            )
+        pair = np.flatnonzero(total)
+        none = [pa.nulls(len(pair), t) for t in (pa.int64(), pa.int32(), pa.int64())]
+        yield pa.RecordBatch.from_arrays([*none, pa.array(pair.astype(np.int32)), pa.array(total[pair])], names=names)
+
+    return run
+
+
+def _joined_pairs(unseen):
+    """(text_key, known, seen, pairs) of texts with the list of such tokens.
+
+    The pairs are those of classes of which one was not at hand: first codes of a
+    token's class after the one before it, then, PAIRS higher, of the class after it
+    where that is of another kind of token.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_length = unseen.value
+        for batch in batches:
+            lists = batch.column("tokens")
+            sizes = pc.list_value_length(lists).to_numpy()
+            flat = lists.flatten()
+            place, context = (flat.field(x).to_numpy().astype(np.int64) for x in ("place", "context"))
+            n, c = (pc.fill_null(flat.field(x), none).to_numpy().astype(np.int64) for x, none in (("n", 0), ("c", -1)))
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((place, row))
+            context, n, c = context[order], n[order], c[order]
+            after, context = context % (ALL_CLASSES + 1) - 1, context // (ALL_CLASSES + 1)
+            before, length = context % (ALL_CLASSES + 1) - 1, context // (ALL_CLASSES + 1)
+            c = np.where(c < 0, by_length[length], c)
+            before = np.where(before < 0, np.roll(c, 1), before)
+            pairs = np.stack((before * ALL_CLASSES + c, np.where(after < 0, -1, PAIRS + c * ALL_CLASSES + after)), axis=1).ravel()
+            there = pairs >= 0
+            ends = np.cumsum(np.append(0, np.bincount(row, weights=1 + (after >= 0), minlength=len(sizes)))).astype(np.int32)
+            first = np.cumsum(sizes) - sizes
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("text_key"), pa.array(np.add.reduceat((n > 0).astype(np.int64), first)), pa.array(np.add.reduceat(np.log10(n + ADD), first)),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(pairs[there].astype(np.int32)))],
+                names=["text_key", "known", "seen", "pairs"],
+            )
+
+    return run
+
+
+def _pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the class pairs of texts that come ``copies`` times."""
+    total = np.zeros(PAIRS, dtype=np.int64)
+    for batch in batches:
+        lists = batch.column("pairs")
+        copies = np.repeat(batch.column("copies").to_numpy(), pc.list_value_length(lists).to_numpy())
+        np.add.at(total, lists.flatten().to_numpy() % PAIRS, copies)
+    pair = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(pair.astype(np.int32)), pa.array(total[pair])], names=["context", "n"])
+
+
+def _moves(model):
+    """(text_key, known, seen, moves): the score that the joined pairs of a text add."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = SimpleNamespace(**model.value)
+        value = np.concatenate(((m.transition - m.emission).ravel(), m.transition.ravel()))
         for batch in batches:
-            word, length, n = (batch.column(i).to_numpy() for i in range(3))
-            c = classes[_units(Tokens(word, length, np.zeros(0, dtype=np.int64)), clustered)]
-            np.add.at(tokens, c, n)
-            np.add.at(words, c, 1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(ALL_CLASSES)), pa.array(tokens), pa.array(words)], names=["c", "n", "v"])
+            lists = batch.column("pairs")
+            sizes = pc.list_value_length(lists).to_numpy()
+            moves = np.add.reduceat(value[lists.flatten().to_numpy()], np.cumsum(sizes) - sizes)
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("text_key", "known", "seen")), pa.array(moves)], names=["text_key", "known", "seen", "moves"])
 
-    found = counts.select("word", "length", "n").mapInArrow(run, "c bigint, n bigint, v bigint").groupBy("c").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).toArrow()
-    tokens, words = np.zeros(ALL_CLASSES), np.zeros(ALL_CLASSES)
-    at = found.column("c").to_numpy()
-    tokens[at], words[at] = found.column("n").to_numpy(), found.column("v").to_numpy()
-    return tokens, words
+    return run
 
 
 def learn(training: DataFrame) -> tuple[BrownModel, DataFrame]:
-    """The model of ``training(text)`` and its counts (word, length, n) of all words."""
+    """The classes learned from ``training(text)``, and (word, length, n, c) of the words not clustered.
+
+    The most frequent words are exchanged between the classes in rounds. Every other
+    word then joins the class it gains most by, given all its contexts in the training
+    texts; neighbours that are not clustered count there by their length. A word that
+    is not in the training texts has the class which most such words of its length have.
+    """
     spark = training.sparkSession
     counts = stored(
         training.mapInArrow(_word_counts, "word bigint, length bigint, n bigint")
@@ -251,59 +411,73 @@ def learn(training: DataFrame) -> tuple[BrownModel, DataFrame]:
         "words",
     )
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = commonest(counts.select("word", "n"), LOOKUP).toArrow()
+    end = counts.where(F.col("word") == int(_END)).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    no_end = counts.where(F.col("word") != int(_END)).select("word", "n")
+    top = commonest(no_end, LOOKUP).toArrow()
+    if top.num_rows < CLUSTERED:  # few words, or more than LOOKUP of one frequency
+        top = no_end.orderBy(F.desc("n"), "word").limit(CLUSTERED).toArrow()
     words, n = top.column("word").to_numpy(), top.column("n").to_numpy()
-    order = np.lexsort((words, -n))
-    words, n = words[order], n[order]
-    ranked = words[words != _END][:CLUSTERED]
-    by_word = np.argsort(ranked)
-    clustered = ranked[by_word]
+    ranked = np.lexsort((words, -n))[:CLUSTERED]
+    by_word = np.argsort(words[ranked])
+    clustered, times = words[ranked][by_word], n[ranked][by_word]
     pairs = stored(
         training.mapInArrow(_pair_counts(spark.sparkContext.broadcast(clustered)), "a bigint, b bigint, n bigint")
         .groupBy("a", "b").agg(F.sum("n").alias("n")),
         "pairs",
     )
     classes, matrix = exchange_classes(pairs, by_word % CLASSES)  # dealt out by rank
-    tokens, distinct = _class_sizes(counts, clustered, classes)
-    unigram = (matrix.sum(0) + ADD) / (matrix.sum() + ADD * ALL_CLASSES)
-    transition = (matrix + BACKOFF * unigram) / (matrix.sum(1, keepdims=True) + BACKOFF)
-    order = np.argsort(words)
+
+    beside = training.mapInArrow(_contexts(spark.sparkContext.broadcast((clustered, classes))), "word bigint, code int, n bigint")
+    beside = beside.repartition("word").groupBy("word", "code").agg(F.sum("n").alias("n"))
+    lists = beside.groupBy("word").agg(F.collect_list(F.struct("code", "n")).alias("contexts"))
+    rest = stored(lists.mapInArrow(_classes_by_context(spark.sparkContext.broadcast(matrix)), "word bigint, length int, n bigint, c int"), "classes")
+
+    sizes = rest.groupBy("length", "c").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).toArrow()
+    length, c, of_class, v = (sizes.column(x).to_numpy() for x in ("length", "c", "n", "v"))
+    tokens, distinct, by_length = np.zeros(ALL_CLASSES), np.zeros(ALL_CLASSES), np.zeros((LENGTHS + 1, CLASSES))
+    by_length[length, c] = v
+    own = classes[: len(clustered)]
+    np.add.at(tokens, np.concatenate((c, own, [END_CLASS])), np.concatenate((of_class, times, [end])))
+    np.add.at(distinct, np.concatenate((c, own, [END_CLASS])), np.concatenate((v, np.ones(len(own)), [end > 0])))
+    unseen = np.where(by_length.any(1), by_length.argmax(1), by_length.sum(0).argmax())
+
+    more = commonest(rest.select("word", "n", "c"), LOOKUP).toArrow()
+    lookup = np.concatenate((clustered, more.column("word").to_numpy(), [_END]))
+    order = np.argsort(lookup)
     return BrownModel(
-        clustered, classes, np.log10(transition), np.log10(tokens + ADD * (distinct + 1)), words[order], n[order],
-        int(total["n"]), float(np.log10(total["n"] + ADD * (total["v"] + 1))),
-    ), counts
+        lookup[order], np.concatenate((times, more.column("n").to_numpy(), [end]))[order],
+        np.concatenate((own, more.column("c").to_numpy(), [END_CLASS]))[order].astype(np.int64), unseen,
+        np.log10(tokens + ADD * (distinct + 1)), int(total["n"]), float(np.log10(total["n"] + ADD * (total["v"] + 1))),
+    ), rest
+
+
+def _transitions(*counted: DataFrame) -> np.ndarray:
+    """log10 P(class | class before) from counts of class pairs."""
+    matrix = np.zeros(PAIRS)
+    for pairs in counted:
+        found = pairs.groupBy("context").agg(F.sum("n").alias("n")).toArrow()
+        matrix[found.column("context").to_numpy()] += found.column("n").to_numpy()
+    matrix = matrix.reshape(ALL_CLASSES, ALL_CLASSES)
+    unigram = (matrix.sum(0) + ADD) / (matrix.sum() + ADD * ALL_CLASSES)
+    return np.log10((matrix + BACKOFF * unigram) / (matrix.sum(1, keepdims=True) + BACKOFF))
 
 
 def _scores(model):
-    """Scores of the words whose counts are at hand, and the other words of each text."""
+    """Scores of each text as far as they come from words whose counts are at hand."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = SimpleNamespace(**model.value)
         for part in slices(batches):
             tokens = Tokens.of(part.column("text"))
-            c = m.classes[_units(tokens, m.clustered)]
-            at = _find(m.lookup, tokens.hashes)
-            rare = (at < 0) & (tokens.hashes != _END)
-            n = np.where(at >= 0, m.counts[np.maximum(at, 0)] if len(m.counts) else 0, 0)
-            seen = np.log10(n + ADD)
-            moves = m.transition[_before(tokens, c, START_CLASS), c]
-            score = moves - m.emission[c] + np.where(rare, 0, seen)
-            base = np.where(rare, 0, seen) - m.base
-            text_of = np.repeat(np.arange(len(tokens.first)), np.diff(np.append(tokens.first, len(c))))
-            rows, words = text_of[rare], tokens.hashes[rare]
-            order = np.lexsort((words, rows))
-            rows, words = rows[order], words[order]
-            new = np.ones(len(rows), dtype=bool)
-            new[1:] = (rows[1:] != rows[:-1]) | (words[1:] != words[:-1])
-            start = np.flatnonzero(new)
-            times = np.diff(np.append(start, len(rows)))
-            ends = np.searchsorted(rows[start], np.arange(len(tokens.first) + 1)).astype(np.int32)
-            other = pa.StructArray.from_arrays([pa.array(words[start]), pa.array(times)], names=["word", "times"])
-            sums = [np.add.reduceat(v, tokens.first) for v in ((n > 0).astype(np.int64), base, score)]
+            n, c = _known(tokens, m)
+            here = c >= 0
+            before = _before(tokens, c, START_CLASS)
+            seen = np.where(here, np.log10(n + ADD), 0)
+            score = seen + np.where(here & (before >= 0), m.transition[before, c], 0) - np.where(here, m.emission[c], 0)
+            sums = [np.add.reduceat(v, tokens.first) for v in ((n > 0).astype(np.int64), seen - m.base, score)]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("text_key"), pa.array(np.diff(np.append(tokens.first, len(c)))), *map(pa.array, sums),
-                 pa.ListArray.from_arrays(pa.array(ends), other)],
-                names=["doc_id", "text_key", "n_tokens", "n_known", "base_score", "score", "others"],
-            )
+                [part.column("doc_id"), part.column("text_key"), pa.array(np.diff(np.append(tokens.first, len(c)))), *map(pa.array, sums)],
+                names=["doc_id", "text_key", "n_tokens", "n_known", "base_score", "score"],
+            )
 
     return run
 
@@ -316,12 +490,14 @@ def brown_scores(documents: DataFrame, key: str = "doc_id", text: str = "text")
     base score is the add-0.1 unigram. The model: P(word | word before) =
     P(class | class before) * P(word | class); transitions are backed off to class
     frequencies, emissions are add-0.1 within the class, with one share for all
-    unseen words. Exchange clustering puts the most frequent words in classes; other
-    words have classes by length, which also place words never seen in training.
+    unseen words. Exchange clustering puts the most frequent words in classes, every
+    other training word joins one of them by its contexts, and words never seen in
+    training go by their length (see ``learn``).
 
     Counts of words and of pairs are taken over all training texts. Every task is
-    given the counts of the most frequent words; those of all other words are joined
-    by word. Rows of equal text share one sum of it.
+    given counts and classes of the most frequent words; those of all other words are
+    joined by word, to each of their tokens, and the class pairs these take part in are
+    counted and scored then. Rows of equal text share one sum of them.
 
     Defined cases: NULL and empty texts are one end token. A NULL key counts as empty
     text, whose crc32 is 0: held out. Repeated rows learn and score as often as they
@@ -331,28 +507,32 @@ def brown_scores(documents: DataFrame, key: str = "doc_id", text: str = "text")
     spark = documents.sparkSession
     fold = F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(FOLDS))
     training = documents.where(fold != 0).select(F.col(text).alias("text"))
-    model, counts = learn(training)
-    given = spark.sparkContext.broadcast(vars(model))
-    rows = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
-    schema = (
-        "doc_id bigint, text_key bigint, n_tokens bigint, n_known bigint, base_score double, score double, "
-        "others array<struct<word: bigint, times: bigint>>"
+    model, rest = learn(training)
+    rows = documents.select(
+        F.col(key).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), (fold != 0).alias("train"), F.col(text).alias("text")
     )
-    parts = stored(rows.mapInArrow(_scores(given), schema), "scores")
-    copies = parts.groupBy("text_key").agg(F.count(F.lit(1)).alias("copies"))
-    others = parts.select("text_key", F.explode("others").alias("o")).select("text_key", "o.word", "o.times")
-    n = F.coalesce("n", F.lit(0))
-    rest = (
-        others.join(counts.select("word", "n"), "word", "left").groupBy("text_key").agg(
-            F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known"),
-            F.sum(F.col("times") * F.log10(n + F.lit(ADD))).alias("seen"),
-        ).join(copies, "text_key")
-        .select("text_key", (F.col("known") / F.col("copies")).cast("bigint").alias("known"), (F.col("seen") / F.col("copies")).alias("seen"))
+    given = spark.sparkContext.broadcast(vars(model))
+    tokens = rows.select("text_key", "train", "text").mapInArrow(_occurrences(given), "text_key bigint, place int, word bigint, context int, n bigint")
+    tokens = stored(tokens, "tokens")
+    each = tokens.where("n is null").select("text_key", "place", "word", "context").distinct()
+    lists = each.join(rest.select("word", "n", "c"), "word", "left").groupBy("text_key").agg(
+        F.collect_list(F.struct("place", "context", "n", "c")).alias("tokens")
     )
-    seen = F.coalesce("seen", F.lit(0.0))
+    schema = "text_key bigint, known bigint, seen double, pairs array<int>"
+    joined = stored(lists.mapInArrow(_joined_pairs(spark.sparkContext.broadcast(model.unseen)), schema), "joined")
+    copies = rows.where("train").groupBy("text_key").agg(F.count(F.lit(1)).alias("copies"))
+    late = joined.select("text_key", "pairs").join(copies, "text_key").select("copies", "pairs").mapInArrow(_pair_sums, "context int, n bigint")
+    model.transition = _transitions(tokens.where("n is not null").select("context", "n"), late)
+
+    given = spark.sparkContext.broadcast(vars(model))
+    schema = "doc_id bigint, text_key bigint, n_tokens bigint, n_known bigint, base_score double, score double"
+    parts = rows.select("doc_id", "text_key", "text").mapInArrow(_scores(given), schema)
+    added = joined.mapInArrow(_moves(given), "text_key bigint, known bigint, seen double, moves double")
     held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(FOLDS)) == 0
-    return parts.join(rest, "text_key", "left").select(
-        "doc_id", held.alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
+    known, seen, moves = (F.coalesce(c, F.lit(0)) for c in ("known", "seen", "moves"))
+    score = F.col("score") + seen + moves
+    return parts.join(added, "text_key", "left").select(
+        "doc_id", held.alias("held_out"), "n_tokens", (F.col("n_known") + known).alias("n_known"),
         F.lit(model.train_tokens).cast("bigint").alias("train_tokens"), (F.col("base_score") + seen).alias("base_score"),
-        (F.col("score") + seen).alias("score"), F.pow(F.lit(10.0), -(F.col("score") + seen) / F.col("n_tokens")).alias("perplexity"),
+        score.alias("score"), F.pow(F.lit(10.0), -score / F.col("n_tokens")).alias("perplexity"),
     )
