@@ -9,6 +9,7 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from llm_tables import documents, rows  # noqa: F401
 
 from daybook.llm import arrowtext, license_scan, secret_scan, token_counts
@@ -250,3 +251,21 @@ def test_a_notice_inside_a_long_paragraph_is_found(documents):
     df = documents((1, f"{filler} This work is licensed under the GNU General Public License, version 3. {filler}"))
     found = license_scan.license_notices(df).collect()
     assert [(r["family"], r["confirmed"]) for r in found] == [("GPL-3.0", True)]
+
+
+def test_every_paragraph_without_cue_is_learned_and_calibrated_with(spark, documents, monkeypatch):
+    """Of 5,200 paragraphs, long ones in pieces, none is left out of the fit or the level."""
+    lines = [" ".join(f"w{i}x{j}" for j in range(12)) for i in range(5_195)] + [" ".join(f"v{i}x{j}" for j in range(400)) for i in range(5)]
+    df = documents(*enumerate("\n".join(lines[i::20]) for i in range(20)))
+    seen = {}
+    fit, level = license_scan.LogisticRegression.fit, license_scan._level
+    monkeypatch.setattr(license_scan.LogisticRegression, "fit", lambda self, rows: [seen.update(fit=rows.where("label = 0").count()), fit(self, rows)][1])
+    monkeypatch.setattr(license_scan, "_level", lambda shares: [seen.update(level=shares.count()), level(shares)][1])
+    license_scan.train(df)
+    assert seen["fit"] + seen["level"] == 5_195 + 5 * 12 and min(seen.values()) > 2_000
+
+
+def test_the_level_leaves_the_false_share_above(spark):
+    shares = spark.range(10_000).select((F.col("id") / 10_000).alias("share"))
+    assert license_scan._level(shares) == 0.999 and license_scan._level(shares.where("id < 100")) == 0.5
+    assert license_scan._level(shares.where("id < 0")) == 0.5
