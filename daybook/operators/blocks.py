@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.operators.cuts import sampled_cuts
+from daybook.operators.cuts import Cuts, sampled_cuts
 
 BLOCK = "_block"
 LEAD_IN = "_lead_in"
@@ -96,11 +96,17 @@ def with_block(df: DataFrame, series: Series) -> DataFrame:
     keys from adding it to one of two otherwise equal branches, which would
     then not share their shuffle. The block is never NULL for the same reason.
     """
+    return _blocked(df, series)[0]
+
+
+def _blocked(df: DataFrame, series: Series) -> tuple[DataFrame, Cuts | None]:
+    """The rows with their block, and the bounds of the blocks if these are sampled."""
     placed = reduce(Column.__and__, [F.col(c).isNotNull() for c in (*series.keys, series.order)])
     if series.block_rows:
         rows = df.where(placed)
-        return sampled_cuts(rows, series.keys, series.places, series.block_rows).place(rows, BLOCK)
-    return df.where(placed).withColumn(BLOCK, F.coalesce(block_number(df, series), F.lit(0).cast("long")))
+        cuts = sampled_cuts(rows, series.keys, series.places, series.block_rows)
+        return cuts.place(rows, BLOCK), cuts
+    return df.where(placed).withColumn(BLOCK, F.coalesce(block_number(df, series), F.lit(0).cast("long"))), None
 
 
 def block_number(df: DataFrame, series: Series) -> Column:
@@ -164,11 +170,12 @@ def with_lead_in(df: DataFrame, series: Series, n: int, columns: Sequence[str] |
     are NULL there. Drop the copies with ``own_rows``.
     """
     columns = list(dict.fromkeys([*series.places[1:], *(columns or [])]))
-    blocked = with_block(df, series)
+    blocked, cuts = _blocked(df, series)
     copies = lead_in_rows(blocked, series, columns, n)
-    return blocked.withColumn(LEAD_IN, F.lit(False)).unionByName(
+    rows = blocked.withColumn(LEAD_IN, F.lit(False)).unionByName(
         copies.withColumn(LEAD_IN, F.lit(True)), allowMissingColumns=True
     )
+    return cuts.dealt(rows, series.block_keys) if cuts else rows
 
 
 def own_rows(df: DataFrame) -> DataFrame:

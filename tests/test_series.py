@@ -397,3 +397,12 @@ def test_ordered_strings_do_not_depend_on_ranges(spark):
     expected = {k: " | ".join(sorted(t for kk, t, n in texts if kk == k and t for _ in range(n))) or None for k in "abc"}
     for size in (7, 100_000):
         assert dict(rows(concat.joined_in_order(counted, ["k"], "text", "copies", " | ", size))) == expected
+
+
+def test_tasks_of_sampled_blocks_have_a_bounded_number_of_rows(spark, monkeypatch):
+    """Rows that compress to nearly nothing are not merged into a few large tasks."""
+    monkeypatch.setattr(cuts, "TASK_ROWS", 5_000)
+    rows = spark.range(200_000).selectExpr("'a' AS asset", "DATE '2020-01-01' AS date", "CAST(id % 1000 AS DOUBLE) AS close", "id % 7 AS tie")
+    led = blocks.with_lead_in(rows, Series(block_rows=500, ties=("tie",)), 3)
+    sizes = [len(part) for part in led.select("close").rdd.glom().collect()]
+    assert len(sizes) == 40 and sum(sizes) >= 200_000 and max(sizes) < 15_000
