@@ -35,6 +35,7 @@ BUCKETS = 32
 #: are joined. Results do not depend on it.
 LOOKUP = 1 << 18
 PAIRS = ALL_CLASSES * ALL_CLASSES
+CODES = (LENGTHS + 1) * PAIRS
 #: So many contexts of words are compared with all classes at a time (384 bytes each).
 CONTEXTS = 1 << 15
 _END = np.int64(0x0E0D0E0D0E0D0E0D)
@@ -90,8 +91,8 @@ def _before(tokens: Tokens, values: np.ndarray, start: int) -> np.ndarray:
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         tokens = Tokens.of(batch.column(0))
-        word, index, n = np.unique(tokens.hashes, return_index=True, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(tokens.length[index]), pa.array(n)], names=["word", "length", "n"])
+        word, n = np.unique(tokens.hashes, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(n)], names=["word", "n"])
 
 
 def _pair_counts(clustered):
@@ -214,29 +215,41 @@ def exchange_classes(pairs: DataFrame, start: np.ndarray, rounds: int = ROUNDS)
 
 
 def _contexts(state):
-    """(word, code, n) of the words that are not clustered: how often a class is beside them.
+    """(word, code, n) of the words that are not clustered: how often two classes are around them.
 
-    The code is (length, side, class); side 0 is the class after the word.
+    The code is (length, class before, class after).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, classes = state.value
-        width = (LENGTHS + 1) * 2 * ALL_CLASSES
         for batch in slices(batches):
             tokens = Tokens.of(batch.column(0))
             units = _units(tokens, known)
             c = classes[units]
             at = np.flatnonzero((units >= len(known)) & (tokens.hashes != _END))
-            word, row = np.unique(tokens.hashes[at], return_inverse=True)
-            first = row * width + tokens.length[at] * 2 * ALL_CLASSES
-            before = _before(tokens, c, START_CLASS)[at]
-            found, n = np.unique(np.concatenate((first + c[at + 1], first + ALL_CLASSES + before)), return_counts=True)
+            hashes, before = tokens.hashes[at], _before(tokens, c, START_CLASS)[at]
+            word = np.unique(hashes)
+            row = np.searchsorted(word, hashes)
+            code = (tokens.length[at] * ALL_CLASSES + before) * ALL_CLASSES + c[at + 1]
+            found, n = np.unique(row * CODES + code, return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(word[found // width]), pa.array((found % width).astype(np.int32)), pa.array(n)], names=["word", "code", "n"]
+                [pa.array(word[found // CODES]), pa.array((found % CODES).astype(np.int32)), pa.array(n)], names=["word", "code", "n"]
             )
 
     return run
 
 
+def _sides(row: np.ndarray, code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, code, n) of each side, in order: code is the class after a word, or ALL_CLASSES + the class before it."""
+    width = 2 * ALL_CLASSES
+    after, before = code % ALL_CLASSES, code // ALL_CLASSES % ALL_CLASSES
+    key = np.concatenate((row * width + after, row * width + ALL_CLASSES + before))
+    order = np.argsort(key)
+    key, n = key[order], np.concatenate((n, n))[order]
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    key = key[first]
+    return key // width, key % width, np.add.reduceat(n, first) if len(first) else n
+
+
 def _joined_classes(matrix: np.ndarray, row: np.ndarray, code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(class, count) of words that join the class they gain most by.
 
@@ -264,16 +277,14 @@ def _classes_by_context(state):
             flat = lists.flatten()
             code, n = flat.field("code").to_numpy().astype(np.int64), flat.field("n").to_numpy()
             row = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-            order = np.lexsort((code, row))
-            code, n = code[order], n[order]
-            length = code[ends - 1] // (2 * ALL_CLASSES)
+            length = code[ends - 1] // PAIRS
             c, total = np.zeros(len(ends), dtype=np.int64), np.zeros(len(ends), dtype=np.int64)
             at = 0
             while at < len(ends):
                 first = ends[at - 1] if at else 0
                 to = max(int(np.searchsorted(ends, first + CONTEXTS, side="right")), at + 1)
                 part = slice(first, ends[to - 1])
-                c[at:to], total[at:to] = _joined_classes(matrix, row[part] - at, code[part] % (2 * ALL_CLASSES), n[part])
+                c[at:to], total[at:to] = _joined_classes(matrix, *_sides(row[part] - at, code[part], n[part]))
                 at = to
             yield pa.RecordBatch.from_arrays(
                 [batch.column("word"), *(pa.array(x.astype(t)) for x, t in ((length, np.int32), (total, np.int64), (c, np.int32)))],
@@ -406,8 +417,7 @@ def learn(training: DataFrame) -> tuple[BrownModel, DataFrame]:
     """
     spark = training.sparkSession
     counts = stored(
-        training.mapInArrow(_word_counts, "word bigint, length bigint, n bigint")
-        .groupBy("word").agg(F.max("length").alias("length"), F.sum("n").alias("n")),
+        training.mapInArrow(_word_counts, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")),
         "words",
     )
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()

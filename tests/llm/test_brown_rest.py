@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from daybook.llm import lm_brown
@@ -84,3 +85,24 @@ def test_the_class_joined_raises_the_likelihood_most():
             row.append(word), code.append(i), n.append(sides.ravel()[i])
     c, total = lm_brown._joined_classes(matrix, np.array(row), np.array(code), np.array(n))
     assert c.tolist() == expected and (total > 0).all()
+
+
+def test_a_context_is_one_row_and_gives_both_sides():
+    """Tokens between the same two classes are one row, whose sides are counted on their own."""
+    size, rng = lm_brown.ALL_CLASSES, np.random.default_rng(7)
+    row = np.sort(rng.integers(0, 5, 400))
+    row = np.unique(row, return_inverse=True)[1]
+    before, after, n = rng.integers(0, 6, 400), rng.integers(0, 6, 400), rng.integers(1, 9, 400)
+    expected = {}
+    for r, b, a, times in zip(row, before, after, n, strict=True):
+        for code in (int(a), size + int(b)):
+            expected[int(r), code] = expected.get((int(r), code), 0) + int(times)
+    got = lm_brown._sides(row, (3 * size + before) * size + after, n)
+    assert [(int(r), int(c), int(k)) for r, c, k in zip(*got, strict=True)] == [(*key, expected[key]) for key in sorted(expected)]
+
+    class Shared:
+        value = (np.array([], dtype=np.int64), np.arange(lm_brown.CLASSES, lm_brown.ALL_CLASSES))
+
+    text = pa.RecordBatch.from_arrays([pa.array(["aa bbb aa bbb aa", "aa bbb"])], names=["text"])
+    found = [r for batch in lm_brown._contexts(Shared)(iter([text])) for r in batch.to_pylist()]
+    assert sum(r["n"] for r in found) == 7 and len(found) == 5
