@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import re
 
 import numpy as np
 import pandas as pd
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from daybook.operators import blocks, concat, cuts, metrics, series, stored_series, transforms
 from daybook.operators.blocks import Series
 from daybook.plans import relations as rel
+from daybook.plans.catalogue import QUERIES
 
 SCHEMA = "asset string, date date, close double"
 
@@ -399,6 +402,36 @@ def test_ordered_strings_do_not_depend_on_ranges(spark):
         assert dict(rows(concat.joined_in_order(counted, ["k"], "text", "copies", " | ", size))) == expected
 
 
+def test_strings_in_pieces_give_the_digest_of_the_whole(spark, tmp_path):
+    """Texts longer than a piece, characters of several bytes, many copies, keys and texts that are NULL."""
+    texts = [(k, None if i % 11 == 0 else f"t{i % 50:02d}" + "é☃" * (i % 40), 1 + i % 3) for k in ("a", None) for i in range(200)]
+    texts += [("b", None, 2), ("c", "", 1), ("d", "", 3), ("d", None, 1), ("e", "x" * 1_000, 500)]
+    counted = spark.createDataFrame(texts, "k string, text string, copies int")
+    joined = {k: " | ".join(sorted(t for kk, t, n in texts if kk == k and t is not None for _ in range(n))) for k, _, _ in texts}
+    expected = {k: (len(t), hashlib.md5(t.encode()).hexdigest()) for k, t in joined.items()} | {"b": (None, None)}
+    for size in (7, 100_000):
+        for most in (64, 1 << 20):
+            pieces = concat.joined_in_order(counted, ["k"], "text", "copies", " | ", size, piece_bytes=most)
+            assert pieces.agg(F.max("_size")).first()[0] <= most
+            assert {k: (n, digest) for k, n, digest in rows(concat.digests_in_order(pieces, ["k"], " | "))} == expected
+
+
+def test_titles_of_a_language_are_not_put_together_in_a_task(spark, tmp_path):
+    """One title, copied beyond what a string can hold, gives its length and MD5."""
+    title, copies = "é" * 50_000, 21_500
+    one = spark.createDataFrame([("en", title, copies)], "k string, text string, copies long")
+    [(_, n, digest)] = rows(concat.digests_in_order(concat.joined_in_order(one, ["k"], "text", "copies", " | ", 200, piece_bytes=1 << 20), ["k"], " | "))
+    state = hashlib.md5((title).encode())
+    for _ in range(copies - 1):
+        state.update((" | " + title).encode())
+    assert (n, digest) == (copies * 50_003 - 3, state.hexdigest()) and copies * 100_003 > 1 << 31
+    spark.createDataFrame([("en", "b"), ("en", "a"), ("en", "b"), (None, "c")], "lang string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = QUERIES["ordered_titles"](spark, str(tmp_path))
+    expected = {("en", 9, hashlib.md5(b"a | b | b").hexdigest()), (None, 1, hashlib.md5(b"c").hexdigest())}
+    assert set(rows(out)) == expected
+    assert not re.search("listagg|collect_list|array_join", out._jdf.queryExecution().executedPlan().toString())
+
+
 def test_tasks_of_sampled_blocks_have_a_bounded_number_of_rows(spark, monkeypatch):
     """Rows that compress to nearly nothing are not merged into a few large tasks."""
     monkeypatch.setattr(cuts, "TASK_ROWS", 5_000)
