@@ -114,3 +114,47 @@ def test_paragraphs_with_and_without_cue_in_one_text(documents):
     df = documents(*enumerate("\n".join(pair) for pair in zip(plain, cued, strict=True)))
     found = license_scan.license_notices(df).collect()
     assert {(r["doc_id"], r["paragraph"]) for r in found} == {(i, 1) for i in range(40)}
+
+
+def _model(threshold, **weights):
+    """A model that knows single words: the family's weight of each."""
+    labels = [license_scan.NONE, "MIT", "GPL-3.0"]
+    by_class = np.zeros((3, license_scan.FEATURES))
+    for word, (family, weight) in weights.items():
+        _, _, _, [feature] = license_scan._grams(pa.array([word]), cut=False)
+        by_class[labels.index(family), feature] = weight
+    return license_scan.LicenseModel(by_class, np.array([3.0, 0.0, 0.0]), labels, threshold)
+
+
+def test_every_paragraph_is_scored_and_every_family_of_it_given(documents):
+    """Also those without a cue word; a line has a row for each family, and for unknown but beside the same family."""
+    model = _model(0.9, alpha=("MIT", 9.0), beta=("GPL-3.0", 9.0), gamma=("GPL-3.0", 4.0), delta=("MIT", 4.0))
+    f = [f"w{i}" for i in range(300)]
+    texts = [
+        "x y\nalpha here\n\nz", " ".join([*f[:10], "alpha", *f, "beta", *f[:70]]), "gamma", "a license\nother", None, "",
+        " ".join([*f[:20], "beta", *f[:30], "gamma", *f[:30]]), " ".join([*f[:5], "beta", *f[:150], "gamma", *f[:20]]), " ".join([*f, "license", *f]),
+        "license alpha", "license gamma", " ".join([*f[:20], "beta", *f[:30], "delta", *f[:30]]),
+    ]
+    found = license_scan.license_notices(documents(*enumerate(texts), (None, "alpha"), (2, "gamma")), model=model).collect()
+    assert sorted([(-1 if r["doc_id"] is None else r["doc_id"], r["paragraph"], r["family"]) for r in found]) == [
+        (-1, 0, "MIT"), (0, 1, "MIT"), (1, 0, "GPL-3.0"), (1, 0, "MIT"), (2, 0, "unknown"), (2, 0, "unknown"), (3, 0, "none"),
+        (6, 0, "GPL-3.0"), (7, 0, "GPL-3.0"), (7, 0, "unknown"), (8, 0, "none"), (9, 0, "MIT"), (10, 0, "unknown"), (11, 0, "GPL-3.0"), (11, 0, "unknown"),
+    ]
+
+
+def test_pieces_of_all_paragraphs_with_their_words(spark):
+    texts = [None, *TEXTS, "--\u00e9", " ".join(f"T{i}, \u00fcb" for i in range(150))]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, content string")
+    cut = df.select("i", F.posexplode(license_scan._pieces(license_scan.paragraph_words(F.col("content")))).alias("piece", "words")).where(F.size("words") > 0)
+    expected = {(r["i"], r["piece"]): " ".join(r["words"]) for r in cut.collect()}
+    scored = _model(0.5, mit=("MIT", 9.0)).likeliest(df.select("i", (F.col("i") >= 0).alias("cued"), "content")).collect()
+    assert {(r["i"], r["piece"]): r["words"] for r in scored} == expected and len(scored) == len(expected)
+    assert {r["i"] for r in scored if r["family"] == "MIT"} == {i for i, t in enumerate(texts) if t and "MIT" in t}
+
+
+def test_other_text_is_none_where_no_paragraph_is_learned(documents):
+    """The only paragraph has a cue: what lies around its notice is no notice of another family."""
+    filler = " ".join(f"wort{i}" for i in range(200))
+    df = documents((1, f"{filler} This work is licensed under the GNU General Public License, version 3. {filler}"))
+    scored = license_scan.train(df).likeliest(df.select("doc_id", F.lit(True).alias("cued"), F.col("text").alias("content"))).collect()
+    assert [r["family"] for r in sorted(scored, key=lambda r: r["piece"])] == [*["none"] * 5, "GPL-3.0", "GPL-3.0", *["none"] * 5]
